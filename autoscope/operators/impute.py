@@ -17,6 +17,9 @@ from autoscope.operators.stats import means_by
 # Sentinel and the categorical columns filled before encoding.
 SENTINEL = "N/A"
 CATEGORICAL_COLUMNS = ["body_type", "make_name", "transmission_display", "listing_color", "state_id"]
+# The columns the means job fills before grouping (model_name
+# is filled here, make_name is not -- the consumer does the opposite).
+MEANS_FILL_COLUMNS = ["body_type", "model_name", "transmission_display", "listing_color", "state_id"]
 # The nine measures filled from make+model means.
 MODEL_MEASURES = ["horsepower", "engine_cylinders", "fuel_tank_volume", "back_legroom",
                   "height", "width", "length", "city_fuel_economy", "highway_fuel_economy"]
@@ -37,6 +40,16 @@ def mileage_by_state(df: DataFrame) -> DataFrame:
             .groupBy("state_id").agg(F.avg("mileage").alias("mean_mileage")))
 
 
+def means_by_model(df: DataFrame) -> DataFrame:
+    """nine means per (model_name, make_name) after the means-job fill."""
+    return means_by(fill_sentinel(df, MEANS_FILL_COLUMNS), ["model_name", "make_name"], MODEL_MEASURES)
+
+
+def means_by_body(df: DataFrame) -> DataFrame:
+    """three means per (make_name, body_type) after the means-job fill."""
+    return means_by(fill_sentinel(df, MEANS_FILL_COLUMNS), ["make_name", "body_type"], BODY_MEASURES)
+
+
 def impute_mileage(df: DataFrame, state_means: DataFrame, keep_observed: bool = False) -> DataFrame:
     """K2: new listings get mileage 5; the others get their state's mean.
 

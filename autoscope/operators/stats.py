@@ -47,6 +47,14 @@ def running_total(df: DataFrame, value: str, order: list[Column | str], out: str
                   .drop("_rid", "_run", "_off"))
 
 
+def dense_row_key(df: DataFrame, order: list[Column | str], out: str = "row_key") -> DataFrame:
+    """C1, dense variant: 1..n in ``order`` order (a total order), layout
+    independent.  A running count, so the same distributed prefix sum:
+    no single-task window, no collect."""
+    one = "_one"
+    return running_total(df.withColumn(one, F.lit(1).cast("long")), one, order, out).drop(one)
+
+
 def group_stats(df: DataFrame, key: str = "state_id") -> DataFrame:
     """mean price, mean mileage and row count per key, null key excluded."""
     return (df.filter(F.col(key).isNotNull())

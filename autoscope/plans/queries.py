@@ -39,8 +39,15 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+NUDGE = 1e-8  # same in the SQL twins
+
+
 def rnd(col: str, alias: str | None = None):
-    return F.round(F.col(col), R).alias(alias or col)
+    """Round to R decimals after a 1e-8 nudge.  A mean that is an exact
+    decimal tie (e.g. 34.3609375) comes out one ulp above in one engine and
+    one ulp below in another (summation order); the nudge -- far above ulp
+    noise, far below the 1e-6 grid -- sends both the same way."""
+    return F.round(F.col(col) + NUDGE, R).alias(alias or col)
 
 
 # ---------------------------------------------------------------------------
@@ -56,14 +63,14 @@ def _state_stats(spark, d):
 
 
 @register("state_stats", with_listings(
-    f"SELECT state_id, round(mean_price, {R}) AS mean_price, round(mean_mileage, {R}) AS mean_mileage, "
+    f"SELECT state_id, round(mean_price + 1e-8, {R}) AS mean_price, round(mean_mileage + 1e-8, {R}) AS mean_mileage, "
     f"trans_count FROM ({_STATE_STATS_SQL}) s"))
 def q_state_stats(spark, d):
     return _state_stats(spark, d).select("state_id", rnd("mean_price"), rnd("mean_mileage"), "trans_count")
 
 
 @register("state_top5_price", with_listings(
-    f"SELECT state_id, round(mean_price, {R}) AS mean_price FROM ({_STATE_STATS_SQL}) s "
+    f"SELECT state_id, round(mean_price + 1e-8, {R}) AS mean_price FROM ({_STATE_STATS_SQL}) s "
     "ORDER BY s.mean_price DESC, state_id LIMIT 5"))
 def q_state_top5_price(spark, d):
     top = stats.top_n(_state_stats(spark, d), 5, [F.desc("mean_price"), "state_id"])
@@ -71,7 +78,7 @@ def q_state_top5_price(spark, d):
 
 
 @register("state_bottom5_mileage", with_listings(
-    f"SELECT state_id, round(mean_mileage, {R}) AS mean_mileage FROM ({_STATE_STATS_SQL}) s "
+    f"SELECT state_id, round(mean_mileage + 1e-8, {R}) AS mean_mileage FROM ({_STATE_STATS_SQL}) s "
     "ORDER BY s.mean_mileage ASC, state_id LIMIT 5"))
 def q_state_bottom5_mileage(spark, d):
     low = stats.top_n(_state_stats(spark, d), 5, [F.asc("mean_mileage"), "state_id"])
@@ -79,7 +86,7 @@ def q_state_bottom5_mileage(spark, d):
 
 
 @register("stats_excluding_state", with_listings(
-    f"SELECT state_id, round(mean_price, {R}) AS mean_price, round(mean_mileage, {R}) AS mean_mileage, "
+    f"SELECT state_id, round(mean_price + 1e-8, {R}) AS mean_price, round(mean_mileage + 1e-8, {R}) AS mean_mileage, "
     f"trans_count FROM ({_STATE_STATS_SQL}) s WHERE state_id <> "
     f"(SELECT state_id FROM ({_STATE_STATS_SQL}) t ORDER BY mean_price DESC, state_id LIMIT 1)"))
 def q_stats_excluding_state(spark, d):
@@ -97,9 +104,9 @@ def _share_sql(key: str, drop_null: bool, running: bool) -> str:
     where = f"WHERE {key} IS NOT NULL" if drop_null else ""
     cum = (f", round(sum(n) OVER (ORDER BY n DESC, {key} ASC NULLS FIRST "
            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) * 100.0 / "
-           f"(SELECT count(*) FROM listings), {R}) AS cum_percent") if running else ""
+           f"(SELECT count(*) FROM listings) + 1e-8, {R}) AS cum_percent") if running else ""
     return with_listings(
-        f"SELECT {key}, n, round(n * 100.0 / (SELECT count(*) FROM listings), {R}) AS percent{cum} "
+        f"SELECT {key}, n, round(n * 100.0 / (SELECT count(*) FROM listings) + 1e-8, {R}) AS percent{cum} "
         f"FROM (SELECT {key}, count(*) AS n FROM listings {where} GROUP BY {key}) g")
 
 
@@ -264,3 +271,211 @@ def q_unmatched_total(spark, d):
 @register("city_union", with_listings("SELECT us_city, state_id, state_name FROM cities"))
 def q_city_union(spark, d):
     return L.city_table(spark, d)
+
+
+# ---------------------------------------------------------------------------
+# Group-mean tables (the means job)
+# ---------------------------------------------------------------------------
+_FILL_MEANS = {c: f"coalesce({c}, 'N/A')" for c in impute.MEANS_FILL_COLUMNS}
+
+
+def _filled_listing_sql(fills: dict[str, str]) -> str:
+    """``listings`` with some text columns replaced by their filled value."""
+    return "SELECT * REPLACE (" + ", ".join(f"{e} AS {c}" for c, e in fills.items()) + ") FROM listings"
+
+
+_MEANS_MODEL_SQL = ("SELECT model_name, make_name, " + ", ".join(
+    f"avg({c}) AS mean_{c}" for c in impute.MODEL_MEASURES)
+    + f" FROM ({_filled_listing_sql(_FILL_MEANS)}) f GROUP BY model_name, make_name")
+_MEAN_MILEAGE_SQL = ("SELECT coalesce(state_id, 'N/A') AS state_id, avg(mileage) AS mean_mileage "
+                     "FROM listings GROUP BY 1")
+
+
+@register("mean_by_state", with_listings(
+    f"SELECT state_id, round(mean_mileage + 1e-8, {R}) AS mean_mileage FROM ({_MEAN_MILEAGE_SQL}) m"))
+def q_mean_by_state(spark, d):
+    return impute.mileage_by_state(L.listings(spark, d)).select("state_id", rnd("mean_mileage"))
+
+
+@register("means_by_model", with_listings(
+    "SELECT model_name, make_name, " + ", ".join(f"round(mean_{c} + 1e-8, {R}) AS mean_{c}" for c in impute.MODEL_MEASURES)
+    + f" FROM ({_MEANS_MODEL_SQL}) m"))
+def q_means_by_model(spark, d):
+    m = impute.means_by_model(L.listings(spark, d))
+    return m.select("model_name", "make_name", *[rnd(f"mean_{c}") for c in impute.MODEL_MEASURES])
+
+
+@register("means_by_body", with_listings(
+    "SELECT make_name, body_type, " + ", ".join(f"round(avg({c}) + 1e-8, {R}) AS mean_{c}" for c in impute.BODY_MEASURES)
+    + f" FROM ({_filled_listing_sql(_FILL_MEANS)}) f GROUP BY make_name, body_type"))
+def q_means_by_body(spark, d):
+    m = impute.means_by_body(L.listings(spark, d))
+    return m.select("make_name", "body_type", *[rnd(f"mean_{c}") for c in impute.BODY_MEASURES])
+
+
+@register("groups_still_missing", with_listings(
+    "SELECT model_name, make_name FROM (" + _MEANS_MODEL_SQL + ") m WHERE mean_horsepower IS NULL "
+    "OR mean_engine_cylinders IS NULL OR mean_fuel_tank_volume IS NULL"))
+def q_groups_still_missing(spark, d):
+    """Groups whose mean is still null -- imputation cannot help them."""
+    m = impute.means_by_model(L.listings(spark, d))
+    return profile.groups_still_missing(
+        m, ["mean_horsepower", "mean_engine_cylinders", "mean_fuel_tank_volume"]).select("model_name", "make_name")
+
+
+# ---------------------------------------------------------------------------
+# K1-K5: imputation (the features job up to encoding)
+# ---------------------------------------------------------------------------
+_FILL_FEATURES = {c: f"coalesce({c}, 'N/A')" for c in impute.CATEGORICAL_COLUMNS}
+
+
+def _mileage_sql(keep_observed: bool) -> str:
+    new = "CASE WHEN is_new = 1 THEN 5 END"
+    if keep_observed:
+        old, filled = "mileage", f"coalesce({new}, mileage, mean_mileage)"
+    else:
+        old, filled = new, f"coalesce({new}, mean_mileage)"
+    return (f"SELECT f.* REPLACE ({old} AS mileage), {filled} AS mileage_filled "
+            f"FROM ({_filled_listing_sql(_FILL_FEATURES)}) f "
+            f"LEFT JOIN ({_MEAN_MILEAGE_SQL}) m ON f.state_id = m.state_id")
+
+
+def _features_stage(spark, d, keep_observed: bool = False):
+    """K1 -> K2 over the prepared listings, means from the means job."""
+    lst = L.listings(spark, d)
+    state_means = impute.mileage_by_state(lst)
+    return impute.impute_mileage(impute.fill_sentinel(lst), state_means, keep_observed)
+
+
+def _mileage_query(keep_observed: bool):
+    sql = with_listings(
+        f"SELECT listing_key, state_id, is_new, mileage AS old_mileage, round(mileage_filled + 1e-8, {R}) AS mileage "
+        f"FROM ({_mileage_sql(keep_observed)}) q")
+
+    def fn(spark, d):
+        out = _features_stage(spark, d, keep_observed)
+        return out.select("listing_key", "state_id", "is_new", "old_mileage", rnd("mileage"))
+    return sql, fn
+
+
+for _name, _keep in [("impute_mileage", False), ("impute_mileage_keep_observed", True)]:
+    _sql, _fn = _mileage_query(_keep)
+    register(_name, _sql)(_fn)
+
+
+@register("spot_check_mileage", with_listings(
+    f"SELECT state_id, old_mileage, round(mileage_filled + 1e-8, {R}) AS mileage, is_new FROM "
+    f"(SELECT state_id, mileage AS old_mileage, mileage_filled, is_new FROM ({_mileage_sql(False)}) q) s "
+    "WHERE old_mileage IS NULL"))
+def q_spot_check_mileage(spark, d):
+    """Listings whose (rewritten) mileage was missing, before and after."""
+    out = _features_stage(spark, d).withColumn("mileage", rnd("mileage"))
+    return profile.spot_check(out, "old_mileage", ["state_id", "old_mileage", "mileage", "is_new"])
+
+
+_GROUP_FILL_SQL = (
+    "SELECT g.* REPLACE (" + ", ".join(f"coalesce(CAST(g.{c} AS DOUBLE), m.mean_{c}) AS {c}" for c in impute.MODEL_MEASURES)
+    + f") FROM ({_mileage_sql(False)}) g LEFT JOIN ({_MEANS_MODEL_SQL}) m "
+    "ON g.make_name = m.make_name AND g.model_name = m.model_name")
+_IMPUTED_COLS = ["listing_key", "make_name", "model_name"]
+
+
+def _imputed(spark, d):
+    """K1 -> K2 -> K3/K4 with means from the means job."""
+    stage = _features_stage(spark, d)
+    means = impute.means_by_model(L.listings(spark, d))
+    return impute.impute_group_means(stage, ["make_name", "model_name"], impute.MODEL_MEASURES, means=means)
+
+
+@register("impute_group_means", with_listings(
+    "SELECT listing_key, make_name, model_name, " + ", ".join(f"round({c} + 1e-8, {R}) AS {c}" for c in impute.MODEL_MEASURES)
+    + f" FROM ({_GROUP_FILL_SQL}) q"))
+def q_impute_group_means(spark, d):
+    return _imputed(spark, d).select(*_IMPUTED_COLS, *[rnd(c) for c in impute.MODEL_MEASURES])
+
+
+@register("impute_window", with_listings(
+    "SELECT listing_key, make_name, model_name, " + ", ".join(
+        f"round(coalesce(CAST({c} AS DOUBLE), avg({c}) OVER (PARTITION BY make_name, model_name)) + 1e-8, {R}) AS {c}"
+        for c in impute.MODEL_MEASURES) + " FROM listings"))
+def q_impute_window(spark, d):
+    """K5: group-mean fill computed in-query; null keys form their own group
+    (window semantics) via a null-safe join, not a window."""
+    lst = L.listings(spark, d)
+    out = impute.impute_group_means(lst, ["make_name", "model_name"], impute.MODEL_MEASURES, null_keys_match=True)
+    return out.select(*_IMPUTED_COLS, *[rnd(c) for c in impute.MODEL_MEASURES])
+
+
+# The complete-case filter columns (two of them are not model inputs).
+COMPLETE_CASE_COLUMNS = ["horsepower", "engine_cylinders", "fuel_tank_volume", "back_legroom", "height",
+                         "width", "length", "city_fuel_economy", "highway_fuel_economy"]
+
+
+@register("complete_cases", with_listings(
+    "SELECT listing_key, make_name, model_name FROM (" + _GROUP_FILL_SQL + ") q WHERE "
+    + " AND ".join(f"{c} IS NOT NULL" for c in COMPLETE_CASE_COLUMNS)))
+def q_complete_cases(spark, d):
+    return profile.complete_cases(_imputed(spark, d), COMPLETE_CASE_COLUMNS).select(*_IMPUTED_COLS)
+
+
+# ---------------------------------------------------------------------------
+# Correlation matrix, colour-scale bounds
+# ---------------------------------------------------------------------------
+# The 18 numeric columns of the correlation matrix.
+CORR_COLUMNS = ["price", "front_legroom", "back_legroom", "height", "width", "length", "wheelbase",
+                "year", "mileage", "engine_cylinders", "fuel_tank_volume", "horsepower", "power", "torque",
+                "savings_amount", "seller_rating", "city_fuel_economy", "highway_fuel_economy"]
+
+
+def _corr_sql() -> str:
+    from itertools import combinations
+    pairs = list(combinations(CORR_COLUMNS, 2))
+    aggs = ", ".join([f"corr({a}, {b}) AS p{i}" for i, (a, b) in enumerate(pairs)]
+                     + [f"corr({c}, {c}) AS d{i}" for i, c in enumerate(CORR_COLUMNS)])
+    items = []
+    for i, (a, b) in enumerate(pairs):
+        items.append(f"struct_pack(col_a := '{a}', col_b := '{b}', corr := round(p{i} + 1e-8, {R}))")
+        items.append(f"struct_pack(col_a := '{b}', col_b := '{a}', corr := round(p{i} + 1e-8, {R}))")
+    for i, c in enumerate(CORR_COLUMNS):
+        items.append(f"struct_pack(col_a := '{c}', col_b := '{c}', corr := round(d{i} + 1e-8, {R}))")
+    return with_listings(f"SELECT unnest([{', '.join(items)}], recursive := true) FROM (SELECT {aggs} FROM listings) w")
+
+
+@register("corr_matrix", _corr_sql())
+def q_corr_matrix(spark, d):
+    return stats.corr_matrix(L.listings(spark, d), CORR_COLUMNS).select("col_a", "col_b", rnd("corr"))
+
+
+@register("count_bounds", with_listings(
+    f"SELECT min(trans_count) AS min_trans_count, max(trans_count) AS max_trans_count FROM ({_STATE_STATS_SQL}) s"))
+def q_count_bounds(spark, d):
+    return stats.min_max(_state_stats(spark, d), "trans_count")
+
+
+# ---------------------------------------------------------------------------
+# C1 (dense), J1-J3: keys and splits
+# ---------------------------------------------------------------------------
+@register("row_key", with_listings(
+    "SELECT listing_key, CAST(row_number() OVER (ORDER BY listing_key) AS BIGINT) AS row_key FROM clean"))
+def q_row_key(spark, d):
+    keys = L.cleaned(spark, d).select("listing_key")
+    return stats.dense_row_key(keys, ["listing_key"], "row_key")
+
+
+@register("hash_split", with_listings(
+    "SELECT listing_key, CASE WHEN b < 800 THEN 'train' ELSE 'test' END AS split FROM "
+    "(SELECT listing_key, (('0x' || substr(md5(listing_key), 1, 8))::BIGINT % 1000) AS b FROM listings) q"))
+def q_hash_split(spark, d):
+    from autoscope.operators.split import with_split_label
+    lst = L.listings(spark, d).select("listing_key")
+    return with_split_label(lst, "listing_key", [0.8, 0.2], ["train", "test"])
+
+
+@register("random_split_sizes")
+def q_random_split_sizes(spark, d):
+    """Down-sample 0.9 / 0.1 with seed 651; sizes of both parts."""
+    from autoscope.operators.split import random_split
+    lst = L.listings(spark, d).select("listing_key")
+    parts = random_split(lst, [0.9, 0.1])
+    return (parts[0].agg(F.count(F.lit(1)).alias("n_rows")).withColumn("part", F.lit(0))
+            .unionByName(parts[1].agg(F.count(F.lit(1)).alias("n_rows")).withColumn("part", F.lit(1))))

@@ -335,7 +335,7 @@ def _mileage_sql(keep_observed: bool) -> str:
         old, filled = "mileage", f"coalesce({new}, mileage, mean_mileage)"
     else:
         old, filled = new, f"coalesce({new}, mean_mileage)"
-    return (f"SELECT f.* REPLACE ({old} AS mileage), {filled} AS mileage_filled "
+    return (f"SELECT f.* REPLACE ({filled} AS mileage), {old} AS old_mileage "
             f"FROM ({_filled_listing_sql(_FILL_FEATURES)}) f "
             f"LEFT JOIN ({_MEAN_MILEAGE_SQL}) m ON f.state_id = m.state_id")
 
@@ -349,7 +349,7 @@ def _features_stage(spark, d, keep_observed: bool = False):
 
 def _mileage_query(keep_observed: bool):
     sql = with_listings(
-        f"SELECT listing_key, state_id, is_new, mileage AS old_mileage, round(mileage_filled + 1e-8, {R}) AS mileage "
+        f"SELECT listing_key, state_id, is_new, old_mileage, round(mileage + 1e-8, {R}) AS mileage "
         f"FROM ({_mileage_sql(keep_observed)}) q")
 
     def fn(spark, d):
@@ -364,9 +364,8 @@ for _name, _keep in [("impute_mileage", False), ("impute_mileage_keep_observed",
 
 
 @register("spot_check_mileage", with_listings(
-    f"SELECT state_id, old_mileage, round(mileage_filled + 1e-8, {R}) AS mileage, is_new FROM "
-    f"(SELECT state_id, mileage AS old_mileage, mileage_filled, is_new FROM ({_mileage_sql(False)}) q) s "
-    "WHERE old_mileage IS NULL"))
+    f"SELECT state_id, old_mileage, round(mileage + 1e-8, {R}) AS mileage, is_new FROM "
+    f"({_mileage_sql(False)}) q WHERE old_mileage IS NULL"))
 def q_spot_check_mileage(spark, d):
     """Listings whose (rewritten) mileage was missing, before and after."""
     out = _features_stage(spark, d).withColumn("mileage", rnd("mileage"))
@@ -479,3 +478,209 @@ def q_random_split_sizes(spark, d):
     parts = random_split(lst, [0.9, 0.1])
     return (parts[0].agg(F.count(F.lit(1)).alias("n_rows")).withColumn("part", F.lit(0))
             .unionByName(parts[1].agg(F.count(F.lit(1)).alias("n_rows")).withColumn("part", F.lit(1))))
+
+
+# ---------------------------------------------------------------------------
+# Encoding, assembly, scaling (fit on the whole imputed table, as the
+# features job does)
+# ---------------------------------------------------------------------------
+def _encoded(spark, d):
+    from autoscope.operators import features as FE
+    imp = _imputed(spark, d)
+    model = FE.fit_encoding(imp)
+    return model, model.transform(imp)
+
+
+def _rank_cte(c: str) -> str:
+    return (f"r_{c} AS (SELECT value, CAST(row_number() OVER (ORDER BY n DESC, value) - 1 AS BIGINT) AS idx, "
+            f"count(*) OVER () AS nlev FROM (SELECT {c} AS value, count(*) AS n FROM imp GROUP BY 1) g)")
+
+
+_ENC_CTES = f"imp AS ({_GROUP_FILL_SQL}), " + ", ".join(_rank_cte(c) for c in impute.CATEGORICAL_COLUMNS)
+_ENC_JOIN = "imp " + " ".join(f"JOIN r_{c} ON imp.{c} = r_{c}.value" for c in impute.CATEGORICAL_COLUMNS)
+
+
+@register("index_categories", with_listings(
+    " UNION ALL ".join(f"SELECT '{c}' AS column_name, value, idx FROM r_{c}" for c in impute.CATEGORICAL_COLUMNS),
+    _ENC_CTES))
+def q_index_categories(spark, d):
+    from autoscope.operators import features as FE
+    model, _ = _encoded(spark, d)
+    return FE.index_table(spark, model)
+
+
+@register("onehot_rows", with_listings(
+    "SELECT listing_key, " + ", ".join(
+        f"CAST(CASE WHEN r_{c}.idx < r_{c}.nlev - 1 THEN r_{c}.idx ELSE -1 END AS BIGINT) AS {c}_hot"
+        for c in impute.CATEGORICAL_COLUMNS) + f" FROM {_ENC_JOIN}", _ENC_CTES))
+def q_onehot_rows(spark, d):
+    from autoscope.operators import features as FE
+    _, enc = _encoded(spark, d)
+    hot = FE.hot_positions(enc.select("listing_key", *FE.index_cols(impute.CATEGORICAL_COLUMNS),
+                                      *FE.onehot_cols(impute.CATEGORICAL_COLUMNS)))
+    return hot.select("listing_key", *[c + "_hot" for c in impute.CATEGORICAL_COLUMNS])
+
+
+def _assembled(spark, d):
+    """P3 up to the feature vector: encode, complete-case filter, assemble."""
+    from autoscope.operators import features as FE
+    model, enc = _encoded(spark, d)
+    complete = profile.complete_cases(enc, COMPLETE_CASE_COLUMNS)
+    return model, FE.assemble(complete, FE.model_inputs())
+
+
+def _numeric_sql_features():
+    from autoscope.operators.features import NUMERIC_FEATURES
+    return NUMERIC_FEATURES
+
+
+_COMPLETE_WHERE = " AND ".join(f"imp.{c} IS NOT NULL" for c in COMPLETE_CASE_COLUMNS)
+
+
+def _assemble_sql() -> str:
+    num = _numeric_sql_features()
+    nhot = " + ".join(f"CASE WHEN r_{c}.idx < r_{c}.nlev - 1 THEN 1 ELSE 0 END" for c in impute.CATEGORICAL_COLUMNS)
+    size = " + ".join(f"(r_{c}.nlev - 1)" for c in impute.CATEGORICAL_COLUMNS) + f" + {len(num)}"
+    nnz = f"({nhot})" + "".join(f" + CASE WHEN CAST(imp.{c} AS DOUBLE) <> 0 THEN 1 ELSE 0 END" for c in num)
+    vsum = f"CAST({nhot} AS DOUBLE)" + "".join(f" + CAST(imp.{c} AS DOUBLE)" for c in num)
+    return (f"SELECT listing_key, CAST({size} AS INTEGER) AS size, CAST({nnz} AS INTEGER) AS nnz, "
+            f"round({vsum} + 1e-8, {R}) AS vsum FROM {_ENC_JOIN} WHERE {_COMPLETE_WHERE}")
+
+
+@register("assemble_rows", with_listings(_assemble_sql(), _ENC_CTES))
+def q_assemble_rows(spark, d):
+    from pyspark.ml.functions import vector_to_array
+    _, asm = _assembled(spark, d)
+    arr = vector_to_array(F.col("features"))
+    return asm.select("listing_key", F.size(arr).alias("size"),
+                      F.size(F.filter(arr, lambda x: x != 0)).alias("nnz"),
+                      F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x).alias("vsum")
+                      ).select("listing_key", "size", "nnz", rnd("vsum"))
+
+
+def _scaled_sql() -> str:
+    num = _numeric_sql_features()
+    cols = ", ".join(f"round(CAST(imp.{c} AS DOUBLE) / stddev_samp(CAST(imp.{c} AS DOUBLE)) OVER () + 1e-8, {R}) "
+                     f"AS scaled_{c}" for c in num)
+    return f"SELECT listing_key, {cols} FROM {_ENC_JOIN} WHERE {_COMPLETE_WHERE}"
+
+
+@register("scaled_rows", with_listings(_scaled_sql(), _ENC_CTES))
+def q_scaled_rows(spark, d):
+    from pyspark.ml.functions import vector_to_array
+    from autoscope.operators import features as FE
+    _, asm = _assembled(spark, d)
+    scaled = FE.fit_scaler(asm).transform(asm)
+    arr = vector_to_array(F.col("scaledFeatures"))
+    n_num = len(FE.NUMERIC_FEATURES)
+    size = F.size(arr)
+    return (scaled.select("listing_key", arr.alias("a"), size.alias("n"))
+                  .select("listing_key", *[F.round(F.element_at("a", F.col("n") - (n_num - 1 - i)) + NUDGE, R)
+                                           .alias(f"scaled_{c}") for i, c in enumerate(FE.NUMERIC_FEATURES)]))
+
+
+# ---------------------------------------------------------------------------
+# One-feature ridge / GLR, checkable in closed form
+# (normal-equation solver; penalty on standardised coefficients with the
+# label standardised: slope = corr / (1 + lambda / sd_y) * sd_y / sd_x,
+# population standard deviations)
+# ---------------------------------------------------------------------------
+SIG = "%.6e"  # model outputs compared at 7 significant digits
+
+
+def sig(col, alias: str):
+    return F.format_string(SIG, col).alias(alias)
+
+
+def _one_feature(spark, d, part: str | None = None):
+    """Complete-case rows with a label: ``(listing_key, features=[horsepower], label=price)``."""
+    from autoscope.operators import features as FE
+    from autoscope.operators.split import with_split_label
+    imp = profile.complete_cases(_imputed(spark, d), COMPLETE_CASE_COLUMNS).filter(F.col("price").isNotNull())
+    if part is not None:
+        imp = with_split_label(imp, "listing_key", [0.8, 0.2], ["train", "test"]).filter(F.col("split") == part)
+    asm = FE.assemble(imp.select("listing_key", "horsepower", "price"), ["horsepower"])
+    return asm.select("listing_key", "horsepower", "features", F.col("price").alias("label"))
+
+
+_ONE_DATA = ("SELECT listing_key, horsepower AS x, price AS y, "
+             "CASE WHEN ('0x' || substr(md5(listing_key), 1, 8))::BIGINT % 1000 < 800 THEN 'train' ELSE 'test' END AS split "
+             f"FROM ({_GROUP_FILL_SQL}) imp WHERE {_COMPLETE_WHERE.replace('imp.', '')} AND price IS NOT NULL")
+
+
+def _closed_form(lam: float, where: str = "") -> str:
+    return (f"SELECT corr(x, y) / (1 + {lam} / stddev_pop(y)) * stddev_pop(y) / stddev_pop(x) AS slope, "
+            f"avg(y) - corr(x, y) / (1 + {lam} / stddev_pop(y)) * stddev_pop(y) / stddev_pop(x) * avg(x) AS intercept "
+            f"FROM one {where}")
+
+
+_TRAIN = "WHERE split = 'train'"
+
+
+def _fit_sql(lam: float) -> str:
+    return with_listings(
+        f"SELECT 'horsepower' AS term, printf('{SIG}', slope) AS value FROM cf "
+        f"UNION ALL SELECT 'intercept', printf('{SIG}', intercept) FROM cf",
+        f"one AS ({_ONE_DATA}), cf AS ({_closed_form(lam)})")
+
+
+def _coef_rows(spark, model):
+    from autoscope.operators.models import coefficients
+    return coefficients(spark, model, ["horsepower"]).select("term", sig(F.col("value"), "value"))
+
+
+@register("ridge_fit", _fit_sql(0.1))
+def q_ridge_fit(spark, d):
+    from autoscope.operators.models import ridge
+    return _coef_rows(spark, ridge().fit(_one_feature(spark, d)))
+
+
+@register("glr_fit", _fit_sql(0.2))
+def q_glr_fit(spark, d):
+    from autoscope.operators.models import glr
+    return _coef_rows(spark, glr(reg_param=0.2).fit(_one_feature(spark, d)))
+
+
+def _metrics_sql(pred_from: str) -> str:
+    return (f"SELECT count(*) AS n, printf('{SIG}', 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))) AS r2, "
+            f"printf('{SIG}', sqrt(sum((y - p) * (y - p)) / count(*))) AS rmse, "
+            f"printf('{SIG}', avg(abs(y - p))) AS mae, "
+            f"printf('{SIG}', avg((p - (SELECT avg(y) FROM {pred_from})) * (p - (SELECT avg(y) FROM {pred_from})))) "
+            f"AS explained_variance FROM {pred_from}")
+
+
+def _metric_cols(df):
+    return df.select("n", *[sig(F.col(c), c) for c in ["r2", "rmse", "mae", "explained_variance"]])
+
+
+@register("fit_summary", with_listings(
+    _metrics_sql("pred").replace("SELECT count(*) AS n, ", "SELECT "),
+    f"one AS ({_ONE_DATA}), cf AS ({_closed_form(0.1)}), "
+    "pred AS (SELECT y, slope * x + intercept AS p FROM one, cf)"))
+def q_fit_summary(spark, d):
+    """M2: the ridge model's training summary (R^2, RMSE, MAE, explained variance)."""
+    from autoscope.operators.models import ridge, training_summary
+    s = training_summary(spark, ridge().fit(_one_feature(spark, d)))
+    return s.select(*[sig(F.col(c), c) for c in ["r2", "rmse", "mae", "explained_variance"]])
+
+
+@register("eval_metrics", with_listings(
+    _metrics_sql("pred"),
+    f"one AS ({_ONE_DATA}), cf AS ({_closed_form(0.1, _TRAIN)}), "
+    "pred AS (SELECT y, slope * x + intercept AS p FROM one, cf WHERE split = 'test')"))
+def q_eval_metrics(spark, d):
+    """Fit on the train part, score the test part, all metrics in one pass."""
+    from autoscope.operators.evaluate import regression_metrics
+    from autoscope.operators.models import ridge
+    model = ridge().fit(_one_feature(spark, d, "train"))
+    return _metric_cols(regression_metrics(model.transform(_one_feature(spark, d, "test"))))
+
+
+@register("predict_ridge", with_listings(
+    f"SELECT listing_key, printf('{SIG}', slope * x + intercept) AS prediction FROM one, cf WHERE split = 'test'",
+    f"one AS ({_ONE_DATA}), cf AS ({_closed_form(0.1, _TRAIN)})"))
+def q_predict_ridge(spark, d):
+    """M4: batch scoring of the test part."""
+    from autoscope.operators.models import ridge
+    model = ridge().fit(_one_feature(spark, d, "train"))
+    return model.transform(_one_feature(spark, d, "test")).select("listing_key", sig(F.col("prediction"), "prediction"))

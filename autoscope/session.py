@@ -39,6 +39,7 @@ def build_session(master: str | None = None, app: str = "autoscope",
         builder = builder.master(master)
     conf = dict(SCALE_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.driver.memory"] = os.environ.get("AUTOSCOPE_DRIVER_MEMORY", "16g")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -684,3 +684,182 @@ def q_predict_ridge(spark, d):
     from autoscope.operators.models import ridge
     model = ridge().fit(_one_feature(spark, d, "train"))
     return model.transform(_one_feature(spark, d, "test")).select("listing_key", sig(F.col("prediction"), "prediction"))
+
+
+# ---------------------------------------------------------------------------
+# M2-M11, A6, N3 on the full feature vector: iterative learners, no SQL twin
+# (checked by invariants in tests).  Train / test is the layout-independent
+# hash split (80/20); the training input is lineage-cut once.
+# ---------------------------------------------------------------------------
+def _xy(spark, d):
+    """P3 output with split labels: ``(listing_key, features, label, split)``."""
+    from autoscope.operators.models import cut_lineage
+    from autoscope.operators.split import with_split_label
+    _, asm = _assembled(spark, d)
+    xy = asm.filter(F.col("price").isNotNull()).select("listing_key", "features", F.col("price").alias("label"))
+    return cut_lineage(with_split_label(xy, "listing_key", [0.8, 0.2], ["train", "test"]))
+
+
+def _train_test(spark, d):
+    xy = _xy(spark, d)
+    return xy.filter(F.col("split") == "train"), xy.filter(F.col("split") == "test")
+
+
+def _scores(model, test):
+    from autoscope.operators.evaluate import regression_metrics
+    return regression_metrics(model.transform(test))
+
+
+@register("lr_report")
+def q_lr_report(spark, d):
+    """M1 + M2 + M3: ridge on all features; summary row and named weights."""
+    from autoscope.operators.models import coefficients, feature_names, ridge
+    train, _ = _train_test(spark, d)
+    model = ridge().fit(train)
+    coef = coefficients(spark, model, feature_names(train))
+    summ = model.summary
+    return coef.withColumns({"r2": F.lit(float(summ.r2)), "iterations": F.lit(int(summ.totalIterations))})
+
+
+@register("cv_glr")
+def q_cv_glr(spark, d):
+    """M5 + M6 + M7 + M8: 5-fold CV of gaussian GLR over regParam {0,.2,.4,.6,.8}."""
+    from autoscope.operators.models import cross_validate, cv_report, glr, grid
+    train, _ = _train_test(spark, d)
+    est = glr()
+    cvm = cross_validate(est, grid(est.regParam, [0.0, 0.2, 0.4, 0.6, 0.8]), train)
+    return cv_report(spark, cvm, "regParam")
+
+
+@register("gbt_scores")
+def q_gbt_scores(spark, d):
+    """M9: boosted trees, depth 10, scored on the test part."""
+    from autoscope.operators.models import gbt
+    train, test = _train_test(spark, d)
+    return _scores(gbt(max_depth=10, seed=None).fit(train), test)
+
+
+@register("boosted_alt_scores")
+def q_boosted_alt_scores(spark, d):
+    """The second boosted learner (re-aimed at GBT), scored on test."""
+    from autoscope.operators.models import boosted_alt
+    train, test = _train_test(spark, d)
+    return _scores(boosted_alt().fit(train), test)
+
+
+@register("fm_scores")
+def q_fm_scores(spark, d):
+    """L5 + M11 + M6: scale, then 5-fold CV of FM over factorSize {2,4,8};
+    the refit best model scored on test."""
+    from autoscope.operators import features as FE
+    from autoscope.operators.models import cross_validate, cut_lineage, fm, grid
+    train, test = _train_test(spark, d)
+    scaler = FE.fit_scaler(train)
+    prep = lambda df: scaler.transform(df).select("listing_key", F.col("scaledFeatures").alias("features"), "label")
+    train_s = cut_lineage(prep(train))
+    est = fm()
+    cvm = cross_validate(est, grid(est.factorSize, [2, 4, 8]), train_s)
+    return _scores(cvm, prep(test))
+
+
+@register("save_load_scores")
+def q_save_load_scores(spark, d):
+    """A5 + A6 + N3: fit, save under a run-stamped path, load, re-score;
+    one row: rows scored, rows whose prediction is unchanged."""
+    from pyspark.ml.regression import LinearRegressionModel
+    from autoscope.operators.models import ridge
+    from autoscope.session import scratch_path
+    from autoscope.sources.io import load_model, run_stamp, save_model
+    train, test = _train_test(spark, d)
+    model = ridge().fit(train)
+    path = scratch_path(spark, f"models/ridge_{run_stamp()}")
+    save_model(model, path)
+    loaded = load_model(LinearRegressionModel, path)
+    a = model.transform(test).select("listing_key", F.col("prediction").alias("p1"))
+    b = loaded.transform(test).select("listing_key", F.col("prediction").alias("p2"))
+    j = a.join(b, "listing_key")
+    return j.agg(F.count(F.lit(1)).alias("n_scored"),
+                 F.count_if(F.col("p1") == F.col("p2")).alias("n_equal"))
+
+
+# ---------------------------------------------------------------------------
+# Map table (state polygons derived from the nation table)
+# ---------------------------------------------------------------------------
+def _parts(spark, d):
+    from autoscope.operators import geo
+    feats = geo.features_from_states(testdata.table(spark, d, "nation"), "n_nationkey", "n_name", "n_regionkey")
+    return geo.drop_part(geo.explode_parts(feats))
+
+
+_PARTS_SQL = ("SELECT feature_pos, state_id, part FROM (SELECT n_nationkey AS feature_pos, n_name AS state_id, "
+              "unnest(range(CASE WHEN n_nationkey = 1 THEN 40 WHEN n_nationkey % 3 = 0 THEN 2 + n_nationkey % 4 "
+              "ELSE 1 END)) AS part, n_regionkey FROM nation) g WHERE NOT (feature_pos = 1 AND part = 38)")
+
+
+@register("polygon_parts", with_listings(
+    "SELECT feature_pos, state_id, CAST(part AS INTEGER) AS part, 4 AS n_points, "
+    "CAST(feature_pos * 100 + part AS DOUBLE) AS x0 FROM (" + _PARTS_SQL + ") p"))
+def q_polygon_parts(spark, d):
+    p = _parts(spark, d)
+    return p.select("feature_pos", "state_id", "part", F.size(F.col("polygon")[0]).alias("n_points"),
+                    F.col("polygon")[0][0][0].alias("x0"))
+
+
+_MAP_COLS = "p.state_id, feature_pos, CAST(part AS INTEGER) AS part"
+
+
+def _map_sql(exclude: bool) -> str:
+    where = (f"WHERE s.state_id <> (SELECT state_id FROM ({_STATE_STATS_SQL}) t ORDER BY mean_price DESC, state_id "
+             "LIMIT 1)") if exclude else ""
+    return with_listings(
+        f"SELECT {_MAP_COLS}, round(s.mean_price + 1e-8, {R}) AS mean_price, "
+        f"round(s.mean_mileage + 1e-8, {R}) AS mean_mileage, s.trans_count FROM ({_PARTS_SQL}) p "
+        f"JOIN ({_STATE_STATS_SQL}) s ON p.state_id = s.state_id {where}")
+
+
+def _map_query(exclude: bool) -> QueryFn:
+    def fn(spark, d):
+        from autoscope.operators import geo
+        s = _state_stats(spark, d)
+        excl = None
+        if exclude:
+            excl = stats.top_n(s, 1, [F.desc("mean_price"), "state_id"]).select("state_id").scalar()
+        out = geo.map_table(_parts(spark, d).drop("polygon"), s)
+        if excl is not None:
+            out = out.filter(F.col("state_id") != excl)
+        return out.select("state_id", "feature_pos", "part", rnd("mean_price"), rnd("mean_mileage"), "trans_count")
+    return fn
+
+
+register("map_table", _map_sql(False))(_map_query(False))
+register("map_table_excluding_state", _map_sql(True))(_map_query(True))
+
+
+# ---------------------------------------------------------------------------
+# A1, A2, A4: CSV and Parquet round trips through the shared scratch folder
+# ---------------------------------------------------------------------------
+def _scratch(spark, name: str) -> str:
+    import uuid
+    from autoscope.session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("csv_roundtrip", with_listings(
+    "SELECT " + ", ".join(n for n, _ in testdata.RAW_LISTING_COLUMNS) + " FROM raw"))
+def q_csv_roundtrip(spark, d):
+    """A1 + A4: the raw listings (quotes, newlines in cells) written as
+    quoted CSV and scanned back as all-string columns."""
+    from autoscope.sources.io import NULL_MARKER, read_csv, write_csv
+    raw = testdata.raw_listings(spark, d)
+    path = _scratch(spark, "csv")
+    write_csv(raw, path)
+    return read_csv(spark, path, columns=raw.columns, null_value=NULL_MARKER)
+
+
+@register("parquet_roundtrip", with_listings("SELECT * FROM clean"))
+def q_parquet_roundtrip(spark, d):
+    """A2 + A4: cleaned listings written as Parquet and read back."""
+    from autoscope.sources.io import read_parquet, write_parquet
+    path = _scratch(spark, "parquet")
+    write_parquet(L.cleaned(spark, d).drop("rowno"), path)
+    return read_parquet(spark, path)

@@ -15,7 +15,8 @@ def string_schema(columns: list[str]) -> T.StructType:
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
-             multiline: bool = True, partitions: int | None = None) -> DataFrame:
+             multiline: bool = True, partitions: int | None = None,
+             null_value: str | None = None) -> DataFrame:
     """A1: header CSV, ``"`` escaped by doubling, newlines kept inside cells.
 
     Every column is read as string (cleaning types them).  Passing
@@ -23,10 +24,15 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
     A multi-line CSV file cannot be split, so each file is one task; with
     many input files that is fine, for one big file pass ``partitions`` to
     spread the rows right after the scan (or land Parquet once and re-read).
+    By default an empty field is null (the raw file's convention); pass the
+    writer's ``null_value`` to keep empty strings apart from nulls.
     """
     reader = (spark.read.option("header", "true").option("escape", '"')
               .option("quote", '"').option("multiLine", str(multiline).lower())
+              .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
               .option("mode", "PERMISSIVE"))
+    if null_value is not None:
+        reader = reader.option("nullValue", null_value)
     if columns is not None:
         reader = reader.schema(string_schema(columns))
     df = reader.csv(path)
@@ -35,10 +41,16 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
     return df
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV sink with the same quoting conventions as ``read_csv``."""
+NULL_MARKER = "\\N"
+
+
+def write_csv(df: DataFrame, path: str, null_value: str = NULL_MARKER) -> None:
+    """CSV sink with the same quoting conventions as ``read_csv``; values are
+    written verbatim (no whitespace trimming), nulls as ``null_value``."""
     (df.write.mode("overwrite").option("header", "true").option("escape", '"')
-       .option("quote", '"').option("quoteAll", "true").csv(path))
+       .option("quote", '"').option("quoteAll", "true").option("nullValue", null_value)
+       .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+       .csv(path))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

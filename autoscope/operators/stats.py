@@ -115,22 +115,48 @@ def means_by(df: DataFrame, keys: list[str], cols: list[str], prefix: str = "mea
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """F8: pairwise Pearson correlation in long form ``(col_a, col_b, corr)``.
 
-    One aggregation pass computes every unordered pair; rows with a null in
-    either column of a pair are skipped for that pair (pairwise-complete,
-    like pandas).  The diagonal and the mirrored half are emitted so the
-    long form covers the full matrix.
+    Pairwise-complete like pandas: a row counts for a pair only when both
+    columns are present.  Instead of one online ``corr`` aggregate per pair
+    (several divisions per row each), rows are grouped by their null
+    pattern and each group keeps plain moment sums -- count, sums and
+    cross-products of mean-shifted values -- in one partial aggregate
+    (a handful of groups, so skew-proof).  A pair's statistics are then
+    the sums over the patterns that contain both columns: a second
+    aggregate over (patterns x pairs) rows, a table of a few thousand rows.
+    The diagonal and the mirrored half are emitted for the full matrix.
     """
-    pairs = list(combinations(cols, 2))
-    aggs = [F.corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
-    aggs += [F.corr(c, c).alias(f"d{i}") for i, c in enumerate(cols)]
-    wide = df.agg(*aggs)
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        entries += [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"p{i}").alias("corr")),
-                    F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"p{i}").alias("corr"))]
-    for i, c in enumerate(cols):
-        entries.append(F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.col(f"d{i}").alias("corr")))
-    return wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    k = len(cols)
+    x = [F.col(c).cast("double") for c in cols]
+    # shift by the column means (one cheap pass) for numerical stability
+    means = df.agg(*[F.avg(xc).alias(f"m{i}") for i, xc in enumerate(x)]).first()
+    shift = [float(means[f"m{i}"]) if means[f"m{i}"] is not None else 0.0 for i in range(k)]
+    d = [(x[i] - F.lit(shift[i])).alias(f"d{i}") for i in range(k)]
+    mask = sum((F.when(x[i].isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i in range(k)), F.lit(0))
+    centred = df.select(mask.alias("mask"), *d)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    moments = centred.groupBy("mask").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(f"d{i}").alias(f"s{i}") for i in range(k)],
+        *[F.sum(F.col(f"d{i}") * F.col(f"d{j}")).alias(f"p{i}_{j}") for i, j in pairs])
+    entries = [F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"),
+                        F.lit((1 << i) | (1 << j)).alias("need"),
+                        F.col(f"s{i}").alias("sa"), F.col(f"s{j}").alias("sb"),
+                        F.col(f"p{i}_{i}").alias("saa"), F.col(f"p{j}_{j}").alias("sbb"),
+                        F.col(f"p{i}_{j}").alias("sab")) for i, j in pairs]
+    long = (moments.select("mask", "n", F.explode(F.array(*entries)).alias("e"))
+                   .filter((F.col("mask").bitwiseAND(F.col("e.need"))) == F.col("e.need")))
+    agg = long.groupBy("e.col_a", "e.col_b").agg(
+        F.sum("n").alias("n"), F.sum("e.sa").alias("sa"), F.sum("e.sb").alias("sb"),
+        F.sum("e.saa").alias("saa"), F.sum("e.sbb").alias("sbb"), F.sum("e.sab").alias("sab"))
+    n = F.col("n").cast("double")
+    cov = F.col("sab") / n - (F.col("sa") / n) * (F.col("sb") / n)
+    va = F.col("saa") / n - (F.col("sa") / n) * (F.col("sa") / n)
+    vb = F.col("sbb") / n - (F.col("sb") / n) * (F.col("sb") / n)
+    corr = F.when(F.col("n") >= 2, F.try_divide(cov, F.sqrt(va * vb)))
+    half = agg.select("col_a", "col_b", corr.alias("corr"))
+    mirror = half.filter(F.col("col_a") != F.col("col_b")).select(
+        F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
+    return half.unionByName(mirror)
 
 
 def min_max(df: DataFrame, col: str) -> DataFrame:

@@ -38,6 +38,8 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
     df = reader.csv(path)
     if partitions:
         df = df.repartition(partitions)
+    else:
+        df = spread(df)
     return df
 
 
@@ -53,6 +55,22 @@ def write_csv(df: DataFrame, path: str, null_value: str = NULL_MARKER) -> None:
        .csv(path))
 
 
+def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Spread a narrow scan over the cluster.
+
+    A table stored as one file with one row group (or one multi-line CSV)
+    scans as a single task, and broadcast joins keep that single partition
+    all the way up the plan.  When the scan has fewer partitions than the
+    cluster has cores, one hash exchange (on ``key`` when given, so a later
+    join on it can reuse the partitioning) spreads the rows; a wide scan --
+    the normal case for large data -- is returned untouched, no shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """A2: Parquet scan (column pruning and row-group pushdown built in)."""
     return spark.read.parquet(path)

@@ -149,9 +149,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Write ``build()`` once per application into the shared checkpoint
+    folder and read it back (a lineage cut that survives executor loss).
+
+    This is the prepare-once / analyse-many shape of the original jobs: the
+    raw file is landed as Parquet once, the prepared table is written once,
+    and every analysis scans the written table instead of replaying the
+    joins and cleaning.  Keyed by application id, so a new application
+    (possibly on changed inputs) always rebuilds.
+    """
+    from autoscope.session import scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    path = _LANDED.get(key)
+    if path is None:
+        import uuid
+        path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex[:12]}")
+        build().write.mode("overwrite").parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(path)
+
+
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All-string listings table (stand-in for the raw listings CSV)."""
-    li = table(spark, sf_dir, "lineitem")
+    """All-string listings table (stand-in for the raw listings CSV), landed
+    as Parquet once per application."""
+    return landed(spark, sf_dir, "raw_listings", lambda: derive_raw_listings(spark, sf_dir))
+
+
+def raw_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All-string cities table (stand-in for the cities CSV), landed once."""
+    return landed(spark, sf_dir, "raw_cities", lambda: derive_raw_cities(spark, sf_dir))
+
+
+def derive_raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw listings derivation itself (lazy plan over the test tables)."""
+    from autoscope.sources.io import spread
+    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     orders = table(spark, sf_dir, "orders")
     cust = table(spark, sf_dir, "customer")
     part = table(spark, sf_dir, "part")
@@ -161,8 +197,8 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(*[F.expr(e).alias(n) for n, e in RAW_LISTING_COLUMNS])
 
 
-def raw_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All-string cities table (stand-in for the cities CSV)."""
+def derive_raw_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw cities derivation itself (lazy plan over the test tables)."""
     cust = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")

@@ -17,7 +17,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from autoscope.session import ensure_checkpoint_dir
+from autoscope.session import materialize
 
 SEED = 651
 
@@ -25,8 +25,7 @@ SEED = 651
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (survives executor
     loss, unlike a cache or a local checkpoint) and return the re-read."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialize(df, "train")
 
 
 def ridge(max_iter: int = 50, reg_param: float = 0.1, elastic_net: float = 0.0,

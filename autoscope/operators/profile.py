@@ -72,6 +72,35 @@ def numeric_summary(df: DataFrame, cols: list[str], accuracy: int = 10000) -> Da
     return wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """Exact interpolated quantiles (``quantile_cont``) of several columns,
+    distributed: ``(col_name, p, value)``.
+
+    The columns are unpivoted to ``(col_name, v)`` and ranked by one
+    range-partitioned running count (no single-task sort, no collect of
+    values); the two ranks each quantile needs are picked by a join with a
+    small table of wanted ranks (#columns x #probs x 2 rows).
+    """
+    from autoscope.operators.stats import running_total
+
+    entries = [F.struct(F.lit(c).alias("col_name"), F.col(f"`{c}`").cast("double").alias("v")) for c in cols]
+    long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").filter(F.col("v").isNotNull())
+    counts = long.groupBy("col_name").agg(F.count(F.lit(1)).alias("n"))
+    # first global rank of each column = rows of the columns sorted before it
+    ranked = running_total(long.withColumn("_one", F.lit(1).cast("long")), "_one", ["col_name", "v"], "g")
+    starts = ranked.groupBy("col_name").agg(F.min("g").alias("g0"))
+    wanted = []
+    for p in probs:
+        pos = (F.col("n") - 1) * F.lit(p)
+        wanted.append(F.struct(F.lit(p).alias("p"), F.floor(pos).cast("long").alias("lo"),
+                               F.ceil(pos).cast("long").alias("hi"), (pos - F.floor(pos)).alias("frac")))
+    need = counts.select("col_name", F.explode(F.array(*wanted)).alias("w")).select("col_name", "w.*")
+    at = (ranked.join(starts, "col_name").select("col_name", (F.col("g") - F.col("g0")).alias("r"), "v"))
+    lo = need.join(at.withColumnRenamed("r", "lo").withColumnRenamed("v", "v_lo"), ["col_name", "lo"])
+    both = lo.join(at.withColumnRenamed("r", "hi").withColumnRenamed("v", "v_hi"), ["col_name", "hi"])
+    return both.select("col_name", "p", (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("value"))
+
+
 def all_present(cols: list[str]) -> Column:
     """AND of ``isNotNull`` over columns."""
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])

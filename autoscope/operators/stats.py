@@ -13,6 +13,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from autoscope.session import materialize
+
 
 def _order_cols(order: list[Column | str]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
@@ -25,8 +27,9 @@ def running_total(df: DataFrame, value: str, order: list[Column | str], out: str
     1. range-partition on the order keys (rows of one range stay together,
        ranges are ordered);
     2. running sum inside each range (a window partitioned by range id);
-    3. materialise that once with ``checkpoint()`` so the range layout is
-       fixed -- re-running a range exchange could sample other bounds;
+    3. materialise that once in the shared folder (``materialize``) so the
+       range layout is fixed -- re-running a range exchange could sample
+       other bounds -- and executor loss cannot change it;
     4. per-range totals (at most ``partitions`` rows, a size bound set by
        us, so broadcasting them is safe) -> exclusive prefix -> add.
     ``order`` must be a total order (include a unique tie-breaker).
@@ -37,7 +40,7 @@ def running_total(df: DataFrame, value: str, order: list[Column | str], out: str
     ranged = df.repartitionByRange(n, *cols).withColumn("_rid", F.spark_partition_id())
     w_in = (Window.partitionBy("_rid").orderBy(*cols)
                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    within = ranged.withColumn("_run", F.sum(value).over(w_in)).checkpoint(eager=True)
+    within = materialize(ranged.withColumn("_run", F.sum(value).over(w_in)), "running")
     totals = within.groupBy("_rid").agg(F.sum(value).alias("_tot"))
     # at most n rows: ordering them in one task is bounded by configuration
     w_prev = Window.orderBy("_rid").rowsBetween(Window.unboundedPreceding, -1)

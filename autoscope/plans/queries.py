@@ -863,3 +863,75 @@ def q_parquet_roundtrip(spark, d):
     path = _scratch(spark, "parquet")
     write_parquet(L.cleaned(spark, d).drop("rowno"), path)
     return read_parquet(spark, path)
+
+
+# ---------------------------------------------------------------------------
+# B4, S1, N2, P1-P4
+# ---------------------------------------------------------------------------
+# Numeric columns summarised (the typed measures of the listings table).
+SUMMARY_COLUMNS = ["price", "mileage", "year", "horsepower", "engine_cylinders", "fuel_tank_volume",
+                   "back_legroom", "height", "width", "length", "daysonmarket", "seller_rating"]
+
+
+def _summary_sql() -> str:
+    parts = []
+    for c in SUMMARY_COLUMNS:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS col_name, count({x}) AS count, round(avg({x}) + 1e-8, {R}) AS mean, "
+            f"round(stddev_samp({x}) + 1e-8, {R}) AS stddev, min({x}) AS min, "
+            f"round(quantile_cont({x}, 0.25) + 1e-8, {R}) AS p25, round(quantile_cont({x}, 0.5) + 1e-8, {R}) AS p50, "
+            f"round(quantile_cont({x}, 0.75) + 1e-8, {R}) AS p75, max({x}) AS max FROM listings")
+    return with_listings(" UNION ALL ".join(parts))
+
+
+@register("summary_stats", _summary_sql())
+def q_summary_stats(spark, d):
+    """Count, mean, stddev, min, quartiles (exact), max per numeric column."""
+    lst = L.listings(spark, d)
+    x = {c: F.col(c).cast("double") for c in SUMMARY_COLUMNS}
+    entries = [F.struct(F.lit(c).alias("col_name"), F.count(x[c]).alias("count"), F.avg(x[c]).alias("mean"),
+                        F.stddev_samp(x[c]).alias("stddev"), F.min(x[c]).alias("min"), F.max(x[c]).alias("max"))
+               for c in SUMMARY_COLUMNS]
+    moments = lst.agg(F.array(*entries).alias("a")).select(F.explode("a").alias("e")).select("e.*")
+    q = profile.exact_quantiles(lst, SUMMARY_COLUMNS, [0.25, 0.5, 0.75])
+    quart = q.groupBy("col_name").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value"))
+    quart = quart.toDF("col_name", "p25", "p50", "p75")
+    return (moments.join(quart, "col_name")
+                   .select("col_name", "count", rnd("mean"), rnd("stddev"), "min", rnd("p25"), rnd("p50"),
+                           rnd("p75"), "max"))
+
+
+@register("price_sorted", with_listings(
+    "SELECT listing_key, make_name, model_name, price, state_id FROM listings "
+    "ORDER BY price DESC NULLS LAST, listing_key, state_id NULLS FIRST LIMIT 20"))
+def q_price_sorted(spark, d):
+    """Listings by price, highest first (the first 20 rows a preview shows)."""
+    lst = L.listings(spark, d).select("listing_key", "make_name", "model_name", "price", "state_id")
+    return stats.top_n(lst, 20, [F.desc_nulls_last("price"), "listing_key", F.asc_nulls_first("state_id")])
+
+
+@register("sample_predictions", with_listings(
+    f"SELECT listing_key, printf('{SIG}', slope * x + intercept) AS prediction, printf('{SIG}', y) AS label "
+    "FROM one, cf WHERE split = 'test' ORDER BY listing_key LIMIT 5",
+    f"one AS ({_ONE_DATA}), cf AS ({_closed_form(0.1, _TRAIN)})"))
+def q_sample_predictions(spark, d):
+    """A few scored test rows (ordered, so the rows are defined)."""
+    from autoscope.operators.evaluate import sample_predictions
+    from autoscope.operators.models import ridge
+    model = ridge().fit(_one_feature(spark, d, "train"))
+    pred = sample_predictions(model.transform(_one_feature(spark, d, "test")), 5, ["listing_key"])
+    return pred.select("listing_key", sig(F.col("prediction"), "prediction"), sig(F.col("label"), "label"))
+
+
+@register("pipeline_metrics")
+def q_pipeline_metrics(spark, d):
+    """The four jobs chained through Parquet in the shared folder
+    (prepare, means, features, train with the boosted learner); the test
+    metrics of the run."""
+    from autoscope.plans import jobs
+    out = _scratch(spark, "jobs")
+    p = jobs.prepare(spark, testdata.raw_listings(spark, d), testdata.raw_cities(spark, d), out)
+    m = jobs.means(spark, p.cleaned, out)
+    xy = jobs.features(spark, p.sample, m, f"{out}/xy.parquet")
+    return jobs.train(spark, xy, out).metrics

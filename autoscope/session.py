@@ -74,3 +74,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A location under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df, name: str = "cut"):
+    """Cut lineage: write ``df`` once as Parquet under the shared checkpoint
+    folder and return the re-read table.
+
+    Like ``checkpoint()`` it survives executor loss (the data sits in the
+    shared folder, not on an executor), but it computes ``df`` only once --
+    an RDD checkpoint of an unpersisted plan runs it twice -- and the
+    re-read is a columnar scan with pruning and pushdown.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"cut/{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

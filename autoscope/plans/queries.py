@@ -935,3 +935,13 @@ def q_pipeline_metrics(spark, d):
     m = jobs.means(spark, p.cleaned, out)
     xy = jobs.features(spark, p.sample, m, f"{out}/xy.parquet")
     return jobs.train(spark, xy, out).metrics
+
+
+@register("city_state_join_dedupe", with_listings(
+    "SELECT listing_key, city, us_city, s.state_id AS state_id, s.state_name AS state_name "
+    "FROM clean LEFT JOIN (SELECT us_city, min(struct_pack(state_id := state_id, state_name := state_name)) AS s "
+    "FROM cities GROUP BY us_city) c ON clean.city = c.us_city"))
+def q_city_state_join_dedupe(spark, d):
+    """E1 with ``dedupe=True`` (H3): one state per city, the smallest state_id."""
+    out = enrich.attach_state(L.cleaned(spark, d), L.city_table(spark, d), dedupe=True)
+    return out.select("listing_key", "city", "us_city", "state_id", "state_name")

@@ -66,3 +66,25 @@ def test_numeric_summary(spark):
     df = spark.range(1, 101).selectExpr("cast(id as double) as x")
     r = profile.numeric_summary(df, ["x"]).first()
     assert r["count"] == 100 and r.min == 1.0 and r.max == 100.0 and r.p50 == 50.0
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+    random.seed(5)
+    rows = [(random.random() * 100, float(random.randint(0, 9)) if i % 7 else None) for i in range(3001)]
+    df = spark.createDataFrame(rows, "a double, b double").repartition(5)
+    got = {(r.col_name, r.p): r.value for r in profile.exact_quantiles(df, ["a", "b"], [0.25, 0.5, 0.9]).collect()}
+    for ci, c in enumerate(["a", "b"]):
+        vals = np.array([r[ci] for r in rows if r[ci] is not None])
+        for p in [0.25, 0.5, 0.9]:
+            assert math.isclose(got[(c, p)], float(np.quantile(vals, p)), rel_tol=1e-12, abs_tol=1e-12)
+
+
+def test_attach_state_dedupe(spark):
+    from autoscope.operators.enrich import attach_state
+    lst = spark.createDataFrame([("k1", "ftmyers"), ("k2", "nowhere")], "listing_key string, city string")
+    dim = spark.createDataFrame([("ftmyers", "FL", "Florida"), ("ftmyers", "CA", "California")],
+                                "us_city string, state_id string, state_name string")
+    assert attach_state(lst, dim).count() == 3
+    got = sorted((r.listing_key, r.state_id) for r in attach_state(lst, dim, dedupe=True).collect())
+    assert got == [("k1", "CA"), ("k2", None)]

@@ -23,6 +23,29 @@ SCALE_CONF = {
 }
 
 
+ADVISORY_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def partition_conf(input_bytes: int, total_cores: int,
+                   target_bytes: int = ADVISORY_PARTITION_BYTES) -> dict[str, str]:
+    """Partition sizing for a job over ``input_bytes`` of input on
+    ``total_cores`` executor cores.
+
+    Scan splits and shuffle partitions aim at ``target_bytes`` each (so a
+    task's working set fits executor memory and spills stay small); the
+    initial shuffle partition count is generous (at least 2 waves of tasks)
+    and AQE coalesces the small ones at runtime.  100 TB at 128 MB gives
+    ~800k initial partitions, which AQE reduces per stage from real sizes.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // target_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+    }
+
+
 def build_session(master: str | None = None, app: str = "autoscope",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:

@@ -65,8 +65,11 @@ def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = N
     join on it can reuse the partitioning) spreads the rows; a wide scan --
     the normal case for large data -- is returned untouched, no shuffle.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no RDD view of the plan (e.g. a remote session): leave as is
         return df
     return df.repartition(target, key) if key else df.repartition(target)
 

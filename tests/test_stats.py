@@ -88,3 +88,11 @@ def test_attach_state_dedupe(spark):
     assert attach_state(lst, dim).count() == 3
     got = sorted((r.listing_key, r.state_id) for r in attach_state(lst, dim, dedupe=True).collect())
     assert got == [("k1", "CA"), ("k2", None)]
+
+
+def test_partition_conf_scales_with_input():
+    from autoscope.session import partition_conf
+    small = partition_conf(10 * 1024 ** 2, 8)
+    big = partition_conf(100 * 1024 ** 4, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (128 * 1024 ** 2)

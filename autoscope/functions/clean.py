@@ -15,6 +15,20 @@ from pyspark.sql import functions as F
 
 ColumnLike = Column | str
 
+# ---------------------------------------------------------------------------
+# Patterns and words the cleaning rules must use to give the
+# original results.
+# ---------------------------------------------------------------------------
+DATE_FORMAT = "yyyy-MM-dd"
+FLAG_TRUE = "TRUE"
+FLAG_FALSE = "FALSE"
+UNIT_SEPARATOR = " "                      # number before the first space
+LETTERS = "[a-zA-Z]"                      # stripped from cylinder text
+DIGITS = "[0-9]"                          # stripped from engine text
+CITY_PREFIXES = [("^fort ", "ft "), ("^saint ", "st ")]
+NOT_LETTERS = "[^a-zA-Z]"                 # stripped from city keys
+NOT_LOWER_ALNUM = "[^a-z0-9]"             # stripped from model keys
+
 
 def _c(col: ColumnLike) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -44,40 +58,40 @@ def to_int(col: ColumnLike) -> Column:
 def to_flag(col: ColumnLike) -> Column:
     """TRUE/FALSE text (any case) to 1/0, anything else null."""
     up = F.upper(_c(col))
-    return F.when(up == "TRUE", F.lit(1)).when(up == "FALSE", F.lit(0))
+    return F.when(up == FLAG_TRUE, F.lit(1)).when(up == FLAG_FALSE, F.lit(0))
 
 
-def to_date(col: ColumnLike, fmt: str = "yyyy-MM-dd") -> Column:
+def to_date(col: ColumnLike, fmt: str = DATE_FORMAT) -> Column:
     """Text to date, null on bad input."""
     return F.try_to_date(_c(col), fmt)
 
 
 def number_before_space(col: ColumnLike) -> Column:
     """Leading number of a "38.2 in" style value, as double."""
-    return F.split(_c(col), " ").getItem(0).try_cast("double")
+    return F.split(_c(col), UNIT_SEPARATOR).getItem(0).try_cast("double")
 
 
 def engine_cylinders(col: ColumnLike) -> Column:
     """Strip ASCII letters ("V6 Flex" -> "6 "), then int."""
-    return F.regexp_replace(_c(col), "[a-zA-Z]", "").try_cast("int")
+    return F.regexp_replace(_c(col), LETTERS, "").try_cast("int")
 
 
 def engine_family(col: ColumnLike) -> Column:
     """Strip digits, lower ("V8 Hybrid" -> "v hybrid")."""
-    return F.lower(F.regexp_replace(_c(col), "[0-9]", ""))
+    return F.lower(F.regexp_replace(_c(col), DIGITS, ""))
 
 
 def city_key(col: ColumnLike) -> Column:
     """C11: lower; leading 'fort ' -> 'ft ', 'saint ' -> 'st '; keep letters only."""
     s = F.lower(_c(col))
-    s = F.regexp_replace(s, "^fort ", "ft ")
-    s = F.regexp_replace(s, "^saint ", "st ")
-    return F.regexp_replace(s, "[^a-zA-Z]", "")
+    for pattern, short in CITY_PREFIXES:
+        s = F.regexp_replace(s, pattern, short)
+    return F.regexp_replace(s, NOT_LETTERS, "")
 
 
 def model_key(col: ColumnLike) -> Column:
     """Lower, keep a-z and 0-9."""
-    return F.regexp_replace(F.lower(_c(col)), "[^a-z0-9]", "")
+    return F.regexp_replace(F.lower(_c(col)), NOT_LOWER_ALNUM, "")
 
 
 RULES: dict[str, Callable[[ColumnLike], Column]] = {

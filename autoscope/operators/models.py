@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from autoscope.session import materialize
 
+# The seed of the seeded learners.
 SEED = 651
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The seed of every split and sample.
 SEED = 651
 BUCKETS = 1000
 

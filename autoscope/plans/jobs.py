@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from autoscope.operators import evaluate, features as FE, impute, models, profile, split
+from autoscope.operators.enrich import attach_state
 from autoscope.plans import listings as L
 from autoscope.sources import io
 
@@ -21,6 +22,7 @@ from autoscope.sources import io
 # two of them -- the fuel economies -- are not model inputs).
 COMPLETE_CASE_COLUMNS = ["horsepower", "engine_cylinders", "fuel_tank_volume", "back_legroom", "height",
                          "width", "length", "city_fuel_economy", "highway_fuel_economy"]
+# Down-sample (keep the 10% part) and train/test weights.
 SAMPLE_WEIGHTS = [0.9, 0.1]
 TRAIN_WEIGHTS = [0.7, 0.3]
 
@@ -40,7 +42,6 @@ def prepare(spark: SparkSession, listings_csv: str | DataFrame, cities_csv: str
            if isinstance(listings_csv, str) else listings_csv)
     cities_raw = io.read_csv(spark, cities_csv) if isinstance(cities_csv, str) else cities_csv
     cleaned = L.clean_listings(raw)
-    from autoscope.operators.enrich import attach_state
     enriched = attach_state(cleaned, L.cities(spark, cities_raw), dedupe=dedupe_cities)
     paths = PreparePaths(cleaned=f"{out_dir}/listings_clean.parquet", sample=f"{out_dir}/sample.parquet")
     io.write_parquet(enriched, paths.cleaned)

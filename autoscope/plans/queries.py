@@ -405,9 +405,7 @@ def q_impute_window(spark, d):
     return out.select(*_IMPUTED_COLS, *[rnd(c) for c in impute.MODEL_MEASURES])
 
 
-# The complete-case filter columns (two of them are not model inputs).
-COMPLETE_CASE_COLUMNS = ["horsepower", "engine_cylinders", "fuel_tank_volume", "back_legroom", "height",
-                         "width", "length", "city_fuel_economy", "highway_fuel_economy"]
+from autoscope.plans.jobs import COMPLETE_CASE_COLUMNS  # noqa: E402  (fixed values live with the job)
 
 
 @register("complete_cases", with_listings(

@@ -30,14 +30,17 @@ def running_total(df: DataFrame, value: str, order: list[Column | str], out: str
     3. materialise that once in the shared folder (``materialize``) so the
        range layout is fixed -- re-running a range exchange could sample
        other bounds -- and executor loss cannot change it;
-    4. per-range totals (at most ``partitions`` rows, a size bound set by
-       us, so broadcasting them is safe) -> exclusive prefix -> add.
+    4. per-range totals (at most one row per range, bounded by the shuffle
+       partition setting, so broadcasting them is safe) -> exclusive prefix
+       -> add.
     ``order`` must be a total order (include a unique tie-breaker).
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = _order_cols(order)
-    ranged = df.repartitionByRange(n, *cols).withColumn("_rid", F.spark_partition_id())
+    # without an explicit count AQE may coalesce adjacent ranges (a small
+    # table does not become hundreds of tiny ranges); coalesced ranges stay
+    # contiguous and ordered, which is all the prefix logic needs
+    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    ranged = ranged.withColumn("_rid", F.spark_partition_id())
     w_in = (Window.partitionBy("_rid").orderBy(*cols)
                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     within = materialize(ranged.withColumn("_run", F.sum(value).over(w_in)), "running")

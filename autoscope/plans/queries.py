@@ -639,8 +639,9 @@ def q_glr_fit(spark, d):
     return _coef_rows(spark, glr(reg_param=0.2).fit(_one_feature(spark, d)))
 
 
-def _metrics_sql(pred_from: str) -> str:
-    return (f"SELECT count(*) AS n, printf('{SIG}', 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))) AS r2, "
+def _metrics_sql(pred_from: str, with_n: bool = True) -> str:
+    n = "count(*) AS n, " if with_n else ""
+    return (f"SELECT {n}printf('{SIG}', 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))) AS r2, "
             f"printf('{SIG}', sqrt(sum((y - p) * (y - p)) / count(*))) AS rmse, "
             f"printf('{SIG}', avg(abs(y - p))) AS mae, "
             f"printf('{SIG}', avg((p - (SELECT avg(y) FROM {pred_from})) * (p - (SELECT avg(y) FROM {pred_from})))) "
@@ -652,7 +653,7 @@ def _metric_cols(df):
 
 
 @register("fit_summary", with_listings(
-    _metrics_sql("pred").replace("SELECT count(*) AS n, ", "SELECT "),
+    _metrics_sql("pred", with_n=False),
     f"one AS ({_ONE_DATA}), cf AS ({_closed_form(0.1)}), "
     "pred AS (SELECT y, slope * x + intercept AS p FROM one, cf)"))
 def q_fit_summary(spark, d):

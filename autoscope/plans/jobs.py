@@ -71,12 +71,20 @@ def means(spark: SparkSession, cleaned_path: str, out_dir: str) -> MeansPaths:
 
 
 def impute_and_encode(df: DataFrame, state_means: DataFrame, model_means: DataFrame,
-                      keep_observed_mileage: bool = False):
-    """K1 -> K2 -> K3/K4 -> L3 (fit on the whole table) -> D2 -> L4."""
+                      keep_observed_mileage: bool = False, filter_before_encoding: bool = False):
+    """K1 -> K2 -> K3/K4 -> L3 (fit on the whole table) -> D2 -> L4.
+
+    ``filter_before_encoding=True`` applies the complete-case filter (D2)
+    before fitting the encoders, so category indices are ranked on the rows
+    the model sees (the filter tests post-join columns, so it cannot be
+    pushed below the joins either way).
+    """
     filled = impute.fill_sentinel(df)
     filled = impute.impute_mileage(filled, state_means, keep_observed=keep_observed_mileage)
     filled = impute.impute_group_means(filled, ["make_name", "model_name"], impute.MODEL_MEASURES,
                                        means=model_means)
+    if filter_before_encoding:
+        filled = profile.complete_cases(filled, COMPLETE_CASE_COLUMNS)
     enc_model = FE.fit_encoding(filled)
     encoded = enc_model.transform(filled)
     complete = profile.complete_cases(encoded, COMPLETE_CASE_COLUMNS)
@@ -84,11 +92,12 @@ def impute_and_encode(df: DataFrame, state_means: DataFrame, model_means: DataFr
 
 
 def features(spark: SparkSession, sample_path: str, means_paths: MeansPaths, out_path: str,
-             keep_observed_mileage: bool = False) -> str:
+             keep_observed_mileage: bool = False, filter_before_encoding: bool = False) -> str:
     """Sample -> imputed -> encoded -> ``(features, label)`` Parquet."""
     df = io.read_parquet(spark, sample_path)
     _, assembled = impute_and_encode(df, io.read_parquet(spark, means_paths.by_state),
-                                     io.read_parquet(spark, means_paths.by_model), keep_observed_mileage)
+                                     io.read_parquet(spark, means_paths.by_model), keep_observed_mileage,
+                                     filter_before_encoding)
     io.write_parquet(FE.to_xy(assembled), out_path)
     return out_path
 

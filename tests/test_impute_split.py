@@ -39,3 +39,26 @@ def test_random_split_sizes(spark):
     parts = split.random_split(df, [0.9, 0.1])
     sizes = [p.count() for p in parts]
     assert sum(sizes) == 10000 and 800 < sizes[1] < 1200
+
+
+def test_encoding_on_complete_cases_only(spark):
+    """make 'x' is most frequent overall but mostly incomplete: fitted on
+    complete cases only, 'y' takes index 0."""
+    from autoscope.plans import jobs
+    cols = ["make_name", "body_type", "transmission_display", "listing_color", "state_id", "model_name",
+            "is_new", "year", "mileage"] + jobs.COMPLETE_CASE_COLUMNS
+    rows = []
+    for i, (make, hp) in enumerate([("x", None), ("x", None), ("x", 1.0), ("y", 2.0), ("y", 3.0)]):
+        other = [1.0] * (len(jobs.COMPLETE_CASE_COLUMNS) - 1)
+        rows.append((make, f"b{i % 2}", f"t{i % 2}", f"c{i % 2}", f"S{i % 2}", "m", 0, 2000 + i, 10.0 * i,
+                     hp, *other))
+    schema = ", ".join(f"{c} string" for c in cols[:6]) + ", is_new int, year int, mileage double, " + \
+        ", ".join(f"{c} double" for c in jobs.COMPLETE_CASE_COLUMNS)
+    df = spark.createDataFrame(rows, schema)
+    state_means = impute.mileage_by_state(df)
+    no_means = impute.means_by_model(df.limit(0))
+    m_all, out_all = jobs.impute_and_encode(df, state_means, no_means)
+    m_cc, out_cc = jobs.impute_and_encode(df, state_means, no_means, filter_before_encoding=True)
+    assert m_all.stages[0].labelsArray[1] == ["x", "y"]
+    assert m_cc.stages[0].labelsArray[1] == ["y", "x"]
+    assert out_all.count() == out_cc.count() == 3

@@ -72,35 +72,93 @@ def numeric_summary(df: DataFrame, cols: list[str], accuracy: int = 10000) -> Da
     return wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
-    """Exact interpolated quantiles (``quantile_cont``) of several columns,
-    distributed: ``(col_name, p, value)``.
-
-    The columns are unpivoted to ``(col_name, v)`` and ranked by one
-    range-partitioned running count (no single-task sort, no collect of
-    values); the two ranks each quantile needs are picked by a join with a
-    small table of wanted ranks (#columns x #probs x 2 rows).
-    """
-    from autoscope.operators.stats import running_total
-
+def _unpivot_values(df: DataFrame, cols: list[str]) -> DataFrame:
     entries = [F.struct(F.lit(c).alias("col_name"), F.col(f"`{c}`").cast("double").alias("v")) for c in cols]
-    long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").filter(F.col("v").isNotNull())
-    counts = long.groupBy("col_name").agg(F.count(F.lit(1)).alias("n"))
-    # first global rank of each column = rows of the columns sorted before it
-    ranked = running_total(long.withColumn("_one", F.lit(1).cast("long")), "_one", ["col_name", "v"], "g")
-    starts = ranked.groupBy("col_name").agg(F.min("g").alias("g0"))
+    return df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").filter(F.col("v").isNotNull())
+
+
+def _wanted_ranks(counts: DataFrame, probs: list[float]) -> DataFrame:
+    """Per column and probability: the two 0-based ranks ``quantile_cont`` interpolates."""
     wanted = []
     for p in probs:
         pos = (F.col("n") - 1) * F.lit(p)
         wanted.append(F.struct(F.lit(p).alias("p"), F.floor(pos).cast("long").alias("lo"),
                                F.ceil(pos).cast("long").alias("hi"), (pos - F.floor(pos)).alias("frac")))
-    need = counts.select("col_name", F.explode(F.array(*wanted)).alias("w")).select("col_name", "w.*")
-    at = (ranked.join(starts, "col_name").select("col_name", (F.col("g") - F.col("g0")).alias("r"), "v"))
-    lo = need.join(at.withColumnRenamed("r", "lo").withColumnRenamed("v", "v_lo"), ["col_name", "lo"])
-    both = lo.join(at.withColumnRenamed("r", "hi").withColumnRenamed("v", "v_hi"), ["col_name", "hi"])
+    return counts.select("col_name", "n", F.explode(F.array(*wanted)).alias("w")).select("col_name", "n", "w.*")
+
+
+def _interpolate(need: DataFrame, at: DataFrame, keys: list[str]) -> DataFrame:
+    lo = need.join(at.withColumnRenamed("r", "lo").withColumnRenamed("v", "v_lo"), keys + ["lo"])
+    both = lo.join(at.withColumnRenamed("r", "hi").withColumnRenamed("v", "v_hi"), keys + ["hi"])
     return both.select("col_name", "p", (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("value"))
 
 
+def exact_quantiles_full_sort(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """Exact ``quantile_cont`` by ranking every value (one range-partitioned
+    running count over the unpivoted columns).  Always exact; shuffles all
+    values -- ``exact_quantiles`` narrows that to a thin band first."""
+    from autoscope.operators.stats import running_total
+
+    long = _unpivot_values(df, cols)
+    need = _wanted_ranks(long.groupBy("col_name").agg(F.count(F.lit(1)).alias("n")), probs)
+    ranked = running_total(long.withColumn("_one", F.lit(1).cast("long")), "_one", ["col_name", "v"], "g")
+    starts = ranked.groupBy("col_name").agg(F.min("g").alias("g0"))
+    at = ranked.join(starts, "col_name").select("col_name", (F.col("g") - F.col("g0")).alias("r"), "v")
+    return _interpolate(need, at, ["col_name"])
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = 10000) -> DataFrame:
+    """Exact interpolated quantiles (``quantile_cont``) of several columns:
+    ``(col_name, p, value)``, without sorting all values.
+
+    1. one pass: count and ``percentile_approx`` at ``p -/+ 2/accuracy``
+       per column -- the sketch's rank error is at most n/accuracy, so the
+       exact order statistics lie between those two values;
+    2. values below the bracket are only counted (a partial aggregate);
+       values inside it -- a band of about 4n/accuracy rows per quantile
+       unless ties widen it -- are ranked exactly by the distributed
+       running count;
+    3. rank = count below + rank inside the band.  Should a bracket ever
+       miss (the guarantee failed), the full-sort method answers instead,
+       so the result is exact either way.
+    The (columns x probabilities) bracket table is tiny and broadcast.
+    """
+    from autoscope.operators.stats import running_total
+
+    spark = df.sparkSession
+    eps = 2.0 / accuracy
+    lo_ps = [max(0.0, p - eps) for p in probs]
+    hi_ps = [min(1.0, p + eps) for p in probs]
+    long = _unpivot_values(df, cols)
+    k = len(probs)
+    sketch = long.groupBy("col_name").agg(F.count(F.lit(1)).alias("n"),
+                                          F.percentile_approx("v", lo_ps + hi_ps, accuracy).alias("b"))
+    need = _wanted_ranks(sketch.select("col_name", "n"), probs)
+    brackets = sketch.select("col_name", F.explode(F.array(*[
+        F.struct(F.lit(p).alias("p"), F.col("b")[i].alias("b_lo"), F.col("b")[k + i].alias("b_hi"))
+        for i, p in enumerate(probs)])).alias("x")).select("col_name", "x.*")
+    brackets = materialize_small(brackets)
+    tagged = long.join(F.broadcast(brackets), "col_name")
+    below = (tagged.filter(F.col("v") < F.col("b_lo")).groupBy("col_name", "p")
+                   .agg(F.count(F.lit(1)).alias("n_below")))
+    band = tagged.filter((F.col("v") >= F.col("b_lo")) & (F.col("v") <= F.col("b_hi"))).select("col_name", "p", "v")
+    ranked = running_total(band.withColumn("_one", F.lit(1).cast("long")), "_one", ["col_name", "p", "v"], "g")
+    starts = ranked.groupBy("col_name", "p").agg(F.min("g").alias("g0"))
+    at = (ranked.join(starts, ["col_name", "p"]).join(below, ["col_name", "p"], "left")
+                .select("col_name", "p", (F.coalesce("n_below", F.lit(0)) + F.col("g") - F.col("g0")).alias("r"), "v"))
+    fast = _interpolate(need, at, ["col_name", "p"])
+    rows = fast.collect()  # at most len(cols) * len(probs) rows
+    if len(rows) == len(cols) * len(probs):
+        return spark.createDataFrame(rows, "col_name string, p double, value double")
+    return exact_quantiles_full_sort(df, cols, probs)
+
+
+def materialize_small(df: DataFrame) -> DataFrame:
+    """A small computed table (bounded by columns x probabilities) as a
+    local relation, so it is computed once and broadcast cheaply."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def all_present(cols: list[str]) -> Column:
     """AND of ``isNotNull`` over columns."""
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])

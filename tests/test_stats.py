@@ -96,3 +96,14 @@ def test_partition_conf_scales_with_input():
     big = partition_conf(100 * 1024 ** 4, 8000)
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (128 * 1024 ** 2)
+
+
+def test_exact_quantiles_band_equals_full_sort(spark):
+    random.seed(9)
+    rows = [(random.gauss(0, 1), float(random.randint(0, 3))) for _ in range(20000)]
+    df = spark.createDataFrame(rows, "a double, b double").repartition(6)
+    fast = {(r.col_name, r.p): r.value for r in profile.exact_quantiles(df, ["a", "b"], [0.1, 0.5, 0.75], 100).collect()}
+    full = {(r.col_name, r.p): r.value for r in profile.exact_quantiles_full_sort(df, ["a", "b"], [0.1, 0.5, 0.75]).collect()}
+    assert fast.keys() == full.keys()
+    for key in fast:
+        assert math.isclose(fast[key], full[key], rel_tol=1e-12, abs_tol=1e-12)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from autoscope.functions import clean as C
 from autoscope.operators import enrich, impute, profile, stats
+from autoscope.operators.features import NUMERIC_FEATURES
 from autoscope.plans import listings as L
 from autoscope.plans.oracle import rule, with_listings
 from autoscope.sources import testdata
@@ -527,16 +528,11 @@ def _assembled(spark, d):
     return model, FE.assemble(complete, FE.model_inputs())
 
 
-def _numeric_sql_features():
-    from autoscope.operators.features import NUMERIC_FEATURES
-    return NUMERIC_FEATURES
-
-
 _COMPLETE_WHERE = " AND ".join(f"imp.{c} IS NOT NULL" for c in COMPLETE_CASE_COLUMNS)
 
 
 def _assemble_sql() -> str:
-    num = _numeric_sql_features()
+    num = NUMERIC_FEATURES
     nhot = " + ".join(f"CASE WHEN r_{c}.idx < r_{c}.nlev - 1 THEN 1 ELSE 0 END" for c in impute.CATEGORICAL_COLUMNS)
     size = " + ".join(f"(r_{c}.nlev - 1)" for c in impute.CATEGORICAL_COLUMNS) + f" + {len(num)}"
     nnz = f"({nhot})" + "".join(f" + CASE WHEN CAST(imp.{c} AS DOUBLE) <> 0 THEN 1 ELSE 0 END" for c in num)
@@ -557,7 +553,7 @@ def q_assemble_rows(spark, d):
 
 
 def _scaled_sql() -> str:
-    num = _numeric_sql_features()
+    num = NUMERIC_FEATURES
     cols = ", ".join(f"round(CAST(imp.{c} AS DOUBLE) / stddev_samp(CAST(imp.{c} AS DOUBLE)) OVER () + 1e-8, {R}) "
                      f"AS scaled_{c}" for c in num)
     return f"SELECT listing_key, {cols} FROM {_ENC_JOIN} WHERE {_COMPLETE_WHERE}"

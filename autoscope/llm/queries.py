@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid
+from . import langid, pii, tokens
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,13 @@ def query(f):
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op7(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.op9(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.op3(table(spark, sf_dir, "documents"))

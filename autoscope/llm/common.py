@@ -14,3 +14,15 @@ def id_remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as empty text."""
     text = F.coalesce(doc_id.cast("string"), F.lit(""))
     return F.crc32(text.cast("binary")) % n
+
+
+#: rows of a key list that may be broadcast (long keys: tens of megabytes);
+#: longer lists are joined by shuffle
+BROADCAST_ROWS = 4_000_000
+
+
+def bounded(keys: DataFrame, rows: int | None = None) -> DataFrame:
+    """``keys`` with a broadcast hint if it has at most ``BROADCAST_ROWS``
+    rows (counted here), else unchanged for a shuffled join."""
+    n = keys.count() if rows is None else rows
+    return F.broadcast(keys) if n <= BROADCAST_ROWS else keys

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, pii, tokens
+from . import jaccard_join, langid, pii, tokens
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.op3(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.op1(table(spark, sf_dir, "documents"))

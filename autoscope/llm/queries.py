@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, langid, pii, tokens
+from . import decontaminate, jaccard_join, langid, pii, tokens
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,11 @@ def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.op1(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.op5(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op5_decontamination"] = decontaminate.ORACLE

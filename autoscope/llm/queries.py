@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, langid, pii, tokens
+from . import decontaminate, jaccard_join, langid, mixing, pii, tokens
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,8 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op5_decontamination"] = decontaminate.ORACLE
+
+
+@query
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op8(table(spark, sf_dir, "documents"))

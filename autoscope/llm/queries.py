@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, langid, mixing, pii, tokens
+from . import decontaminate, jaccard_join, langid, mixing, pii, tokens, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,11 @@ ORACLE["op5_decontamination"] = decontaminate.ORACLE
 @query
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op8(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.op10(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op10_topk_search"] = topk.ORACLE

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, langid, mixing, pii, tokens, topk
+from . import decontaminate, jaccard_join, langid, lm_scoring, mixing, pii, suffix_dedup, tokens, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,13 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op10_topk_search"] = topk.ORACLE
+
+
+@query
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.op2(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.op6(table(spark, sf_dir, "documents"))

@@ -83,6 +83,14 @@ def arrow_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)), offsets
 
 
+def slices(batches, rows: int = 1024):
+    """Record batches of at most ``rows`` rows, so that what a task makes
+    from one stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes with one space between rows, row starts).
 

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, langid, lm_scoring, mixing, pii, suffix_dedup, tokens, topk
+from . import decontaminate, jaccard_join, langid, line_dedup, lm_scoring, mixing, pii, suffix_dedup, tokens, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,8 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.op6(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.op4(table(spark, sf_dir, "documents"))

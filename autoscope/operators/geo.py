@@ -30,9 +30,16 @@ def explode_parts(features: DataFrame) -> DataFrame:
     return features.select("feature_pos", "state_id", F.posexplode(parts).alias("part", "polygon"))
 
 
-def drop_part(parts: DataFrame, feature_pos: int = OUTLIER_PART[0], part: int = OUTLIER_PART[1]) -> DataFrame:
-    """O2: drop one part by (feature position, part position)."""
-    return parts.filter(~((F.col("feature_pos") == feature_pos) & (F.col("part") == part)))
+def drop_part(parts: DataFrame, feature_pos: int = OUTLIER_PART[0], part: int = OUTLIER_PART[1],
+              state_id: str | None = None) -> DataFrame:
+    """O2: drop one part by (feature position, part position).
+
+    Features read one per line have no position; name the feature by
+    ``state_id`` then.  Rows whose position (or state) is null stay.
+    """
+    feature = (F.col("feature_pos").eqNullSafe(F.lit(feature_pos)) if state_id is None
+               else F.col("state_id").eqNullSafe(F.lit(state_id)))
+    return parts.filter(~(feature & F.col("part").eqNullSafe(F.lit(part))))
 
 
 def map_table(parts: DataFrame, state_stats: DataFrame, exclude_state: str | None = None) -> DataFrame:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 # The seed of every split and sample.
 SEED = 651
-BUCKETS = 1000
 
 
 def random_split(df: DataFrame, weights: list[float], seed: int = SEED) -> list[DataFrame]:
@@ -22,38 +21,34 @@ def random_split(df: DataFrame, weights: list[float], seed: int = SEED) -> list[
     return df.randomSplit(weights, seed)
 
 
-def hash_bucket(key: str | Column, buckets: int = BUCKETS) -> Column:
-    """Bucket in [0, buckets) from the first 32 bits of md5(key)."""
+def hash32(key: str | Column) -> Column:
+    """The first 32 bits of md5(key); a null key counts as the empty text."""
     k = F.col(key) if isinstance(key, str) else key
-    first32 = F.conv(F.substring(F.md5(k.cast("string")), 1, 8), 16, 10).cast("long")
-    return (first32 % buckets).cast("int")
+    text = F.coalesce(k.cast("string"), F.lit(""))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
-def hash_split(df: DataFrame, key: str | Column, weights: list[float],
-               buckets: int = BUCKETS) -> list[DataFrame]:
-    """Layout-independent split by key hash; parts are disjoint and
-    cover every row.  Weights are normalised and mapped to bucket ranges."""
-    total = float(sum(weights))
-    bounds, acc = [], 0.0
+def hash_bounds(weights: list[float]) -> list[tuple[int, int]]:
+    """Normalised weights as adjoining ranges of 32-bit hashes."""
+    total, acc, bounds = float(sum(weights)), 0.0, []
     for w in weights:
-        lo = round(acc / total * buckets)
-        acc += w
-        hi = round(acc / total * buckets)
-        bounds.append((lo, hi))
-    b = hash_bucket(key, buckets)
-    return [df.filter((b >= lo) & (b < hi)) for lo, hi in bounds]
+        lo, acc = round(acc / total * 2**32), acc + w
+        bounds.append((lo, round(acc / total * 2**32)))
+    return bounds
+
+
+def hash_split(df: DataFrame, key: str | Column, weights: list[float]) -> list[DataFrame]:
+    """Layout-independent split by key hash; parts are disjoint and
+    cover every row, those with a null key included."""
+    h = hash32(key)
+    return [df.filter((h >= lo) & (h < hi)) for lo, hi in hash_bounds(weights)]
 
 
 def with_split_label(df: DataFrame, key: str | Column, weights: list[float],
-                     names: list[str], buckets: int = BUCKETS) -> DataFrame:
+                     names: list[str]) -> DataFrame:
     """J3 as one column: ``split`` names the part each row falls in."""
-    total = float(sum(weights))
-    b = hash_bucket(key, buckets)
-    expr, acc = None, 0.0
-    for w, name in zip(weights, names):
-        lo = round(acc / total * buckets)
-        acc += w
-        hi = round(acc / total * buckets)
-        cond = (b >= lo) & (b < hi)
+    h, expr = hash32(key), None
+    for (lo, hi), name in zip(hash_bounds(weights), names):
+        cond = (h >= lo) & (h < hi)
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     return df.withColumn("split", expr)

@@ -19,11 +19,11 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
              null_value: str | None = None) -> DataFrame:
     """A1: header CSV, ``"`` escaped by doubling, newlines kept inside cells.
 
-    Every column is read as string (cleaning types them).  Passing
-    ``columns`` gives an explicit schema so no inference pass runs.
-    A multi-line CSV file cannot be split, so each file is one task; with
-    many input files that is fine, for one big file pass ``partitions`` to
-    spread the rows right after the scan (or land Parquet once and re-read).
+    Every column is read as string (cleaning types them), by the header's
+    names; ``columns`` selects and orders them.  A multi-line CSV file cannot
+    be split, so each file is one task; with many input files that is fine,
+    for one big file pass ``partitions`` to spread the rows right after the
+    scan (or land Parquet once and re-read).
     By default an empty field is null (the raw file's convention); pass the
     writer's ``null_value`` to keep empty strings apart from nulls.
     """
@@ -33,14 +33,10 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
               .option("mode", "PERMISSIVE"))
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
-    if columns is not None:
-        reader = reader.schema(string_schema(columns))
     df = reader.csv(path)
-    if partitions:
-        df = df.repartition(partitions)
-    else:
-        df = spread(df)
-    return df
+    if columns is not None:
+        df = df.select(*[F.col(f"`{c}`") for c in columns])
+    return df.repartition(partitions) if partitions else df
 
 
 NULL_MARKER = "\\N"
@@ -55,23 +51,16 @@ def write_csv(df: DataFrame, path: str, null_value: str = NULL_MARKER) -> None:
        .csv(path))
 
 
-def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Spread a narrow scan over the cluster.
+def spread(df: DataFrame, partitions: int, key: str | None = None) -> DataFrame:
+    """``partitions`` partitions by one exchange, on ``key`` when given so
+    that a later join on it can reuse them.
 
-    A table stored as one file with one row group (or one multi-line CSV)
-    scans as a single task, and broadcast joins keep that single partition
-    all the way up the plan.  When the scan has fewer partitions than the
-    cluster has cores, one hash exchange (on ``key`` when given, so a later
-    join on it can reuse the partitioning) spreads the rows; a wide scan --
-    the normal case for large data -- is returned untouched, no shuffle.
+    For tables stored as one file with one row group (or one multi-line CSV):
+    they scan as a single task, and broadcast joins keep that single partition
+    all the way up the plan.  Always explicit: what follows a scan must not
+    change with the size of the cluster.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # no RDD view of the plan (e.g. a remote session): leave as is
-        return df
-    return df.repartition(target, key) if key else df.repartition(target)
+    return df.repartition(partitions, key) if key else df.repartition(partitions)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

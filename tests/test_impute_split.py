@@ -34,6 +34,15 @@ def test_hash_split_disjoint_covering_layout_free(spark):
     assert sorted(r.key for r in again.collect()) == sorted(r.key for r in b.collect())
 
 
+def test_hash_split_covers_null_keys_and_small_parts(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "key string")
+    assert sum(p.count() for p in split.hash_split(df, "key", [0.5, 0.5])) == 3
+    assert split.with_split_label(df, "key", [0.5, 0.5], ["x", "y"]).where("split is null").count() == 0
+    big = spark.range(200_000).selectExpr("cast(id as string) as key")
+    sizes = [p.count() for p in split.hash_split(big, "key", [0.9996, 0.0004])]
+    assert sum(sizes) == 200_000 and 40 < sizes[1] < 160
+
+
 def test_random_split_sizes(spark):
     df = spark.range(10000)
     parts = split.random_split(df, [0.9, 0.1])

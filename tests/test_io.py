@@ -1,6 +1,8 @@
 """Scans and sinks: quoted multi-line CSV, Parquet, literal table, GeoJSON."""
 import json
 
+import pytest
+
 from autoscope.operators import geo
 from autoscope.sources import io
 
@@ -52,3 +54,33 @@ def test_geojson_collection_and_parts(spark, tmp_path):
     assert got == [(0, "AA", 0, 1), (1, "BB", 0, 1), (1, "BB", 1, 2), (2, "CC", 0, 1)]
     kept = geo.drop_part(parts, 1, 1)
     assert kept.count() == 3
+
+
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("b,a\n1,2\n")
+    row = io.read_csv(spark, str(tmp_path / "x.csv"), columns=["a", "b"]).first()
+    assert (row.a, row.b) == ("2", "1")
+
+
+def test_drop_part_keeps_rows_without_a_position(spark):
+    from autoscope.operators import geo
+    parts = spark.range(40).selectExpr("cast(null as int) as feature_pos", "'S' as state_id", "cast(id as int) as part")
+    assert geo.drop_part(parts).count() == 40
+    assert geo.drop_part(parts, state_id="S").count() == 39
+
+
+def test_scratch_is_removed_and_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    import os
+    from autoscope import session
+    with session.scratch(spark):
+        path = session.materialize(spark.range(3), "t").inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: {})
+    monkeypatch.setattr(session, "SparkSession", object)
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(type("S", (), {"sparkContext": Context}))

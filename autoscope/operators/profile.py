@@ -23,7 +23,7 @@ def null_profile(df: DataFrame) -> DataFrame:
 
     One aggregation over all columns (a single scan), then an unpivot of
     that single row into ``(col_name, null_count, ratio)``, sorted by ratio
-    descending, then column name.
+    descending, then column name.  An empty table has null ratios.
     """
     cols = df.columns
     wide = df.agg(F.count(F.lit(1)).alias("__n"),
@@ -32,7 +32,7 @@ def null_profile(df: DataFrame) -> DataFrame:
                for i, c in enumerate(cols)]
     long = wide.select("__n", F.explode(F.array(*entries)).alias("e"))
     return (long.select("e.col_name", "e.null_count",
-                        (F.col("e.null_count") / F.col("__n")).alias("ratio"))
+                        F.try_divide("e.null_count", "__n").alias("ratio"))
                 .orderBy(F.desc("ratio"), F.asc("col_name")))
 
 
@@ -41,35 +41,29 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct().orderBy(F.asc_nulls_first(col))
 
 
-def summary(df: DataFrame, *stats: str) -> DataFrame:
-    """Count, mean, stddev, min, quartiles, max for every column.
+def summary(df: DataFrame, numbers: list[str], texts: list[str]) -> DataFrame:
+    """One row per column.
 
-    Spark's ``summary`` computes the quartiles with a bounded-memory sketch
-    (``percentile_approx``), one pass for all columns.
+    Numbers: count, mean, stddev, min, exact quartiles, max.  Texts and other
+    types: count, min_text, max_text.  The moments of all columns are one
+    aggregate; the quartiles come from counted distinct values.  A column
+    without values has count 0 and nulls.
     """
-    return df.summary(*stats)
-
-
-def numeric_summary(df: DataFrame, cols: list[str], accuracy: int = 10000) -> DataFrame:
-    """B4 in long form for numeric columns: one pass, bounded memory.
-
-    ``(col_name, count, mean, stddev, min, p25, p50, p75, max)``; quartiles
-    from ``percentile_approx`` (relative rank error 1/accuracy).
-    """
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"q{i}")]
-    wide = df.agg(*aggs)
-    entries = [F.struct(F.lit(c).alias("col_name"), F.col(f"c{i}").alias("count"),
-                        F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("stddev"),
-                        F.col(f"lo{i}").alias("min"), F.col(f"q{i}")[0].alias("p25"),
-                        F.col(f"q{i}")[1].alias("p50"), F.col(f"q{i}")[2].alias("p75"),
-                        F.col(f"hi{i}").alias("max"))
-               for i, c in enumerate(cols)]
-    return wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    entries = []
+    for c in numbers:
+        x, none = F.col(f"`{c}`").cast("double"), F.lit(None)
+        entries.append(F.struct(
+            F.lit(c).alias("col_name"), F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"),
+            F.min(x).alias("min"), F.max(x).alias("max"), none.cast("string").alias("min_text"), none.cast("string").alias("max_text")))
+    for c in texts:
+        x, none = F.col(f"`{c}`").cast("string"), F.lit(None).cast("double")
+        entries.append(F.struct(
+            F.lit(c).alias("col_name"), F.count(x).alias("count"), none.alias("mean"), none.alias("stddev"), none.alias("min"),
+            none.alias("max"), F.min(x).alias("min_text"), F.max(x).alias("max_text")))
+    moments = df.agg(F.array(*entries).alias("a")).select(F.explode("a").alias("e")).select("e.*")
+    quartiles = exact_quantiles(df, numbers, [0.25, 0.5, 0.75]).groupBy("col_name").pivot("p", [0.25, 0.5, 0.75]).agg(
+        F.first("value")).toDF("col_name", "p25", "p50", "p75")
+    return moments.join(quartiles, "col_name", "left")
 
 
 def _unpivot_values(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -87,76 +81,40 @@ def _wanted_ranks(counts: DataFrame, probs: list[float]) -> DataFrame:
     return counts.select("col_name", "n", F.explode(F.array(*wanted)).alias("w")).select("col_name", "n", "w.*")
 
 
-def _interpolate(need: DataFrame, at: DataFrame, keys: list[str]) -> DataFrame:
-    lo = need.join(at.withColumnRenamed("r", "lo").withColumnRenamed("v", "v_lo"), keys + ["lo"])
-    both = lo.join(at.withColumnRenamed("r", "hi").withColumnRenamed("v", "v_hi"), keys + ["hi"])
-    return both.select("col_name", "p", (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("value"))
+def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``(col_name, v, n)``: every distinct value of several numeric columns
+    with its frequency.  Ties -- one value may hold most of a column --
+    collapse in the map-side step."""
+    return _unpivot_values(df, cols).groupBy("col_name", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
-def exact_quantiles_full_sort(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
-    """Exact ``quantile_cont`` by ranking every value (one range-partitioned
-    running count over the unpivoted columns).  Always exact; shuffles all
-    values -- ``exact_quantiles`` narrows that to a thin band first."""
-    from autoscope.operators.stats import running_total
-
-    long = _unpivot_values(df, cols)
-    need = _wanted_ranks(long.groupBy("col_name").agg(F.count(F.lit(1)).alias("n")), probs)
-    ranked = running_total(long.withColumn("_one", F.lit(1).cast("long")), "_one", ["col_name", "v"], "g")
-    starts = ranked.groupBy("col_name").agg(F.min("g").alias("g0"))
-    at = ranked.join(starts, "col_name").select("col_name", (F.col("g") - F.col("g0")).alias("r"), "v")
-    return _interpolate(need, at, ["col_name"])
-
-
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = 10000) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
     """Exact interpolated quantiles (``quantile_cont``) of several columns:
-    ``(col_name, p, value)``, without sorting all values.
-
-    1. one pass: count and ``percentile_approx`` at ``p -/+ 2/accuracy``
-       per column -- the sketch's rank error is at most n/accuracy, so the
-       exact order statistics lie between those two values;
-    2. values below the bracket are only counted (a partial aggregate);
-       values inside it -- a band of about 4n/accuracy rows per quantile
-       unless ties widen it -- are ranked exactly by the distributed
-       running count;
-    3. rank = count below + rank inside the band.  Should a bracket ever
-       miss (the guarantee failed), the full-sort method answers instead,
-       so the result is exact either way.
-    The (columns x probabilities) bracket table is tiny and broadcast.
+    ``(col_name, p, value)``, null for a column without values.
+
+    Distinct values are counted first; a distributed prefix sum over the
+    counts gives each value the range of ranks it holds, and the value that
+    holds a wanted rank is picked.  No row travels but one per distinct
+    value and task.  The wanted ranks (columns x probabilities) are broadcast.
     """
     from autoscope.operators.stats import running_total
 
-    spark = df.sparkSession
-    eps = 2.0 / accuracy
-    lo_ps = [max(0.0, p - eps) for p in probs]
-    hi_ps = [min(1.0, p + eps) for p in probs]
-    long = _unpivot_values(df, cols)
-    k = len(probs)
-    sketch = long.groupBy("col_name").agg(F.count(F.lit(1)).alias("n"),
-                                          F.percentile_approx("v", lo_ps + hi_ps, accuracy).alias("b"))
-    need = _wanted_ranks(sketch.select("col_name", "n"), probs)
-    brackets = sketch.select("col_name", F.explode(F.array(*[
-        F.struct(F.lit(p).alias("p"), F.col("b")[i].alias("b_lo"), F.col("b")[k + i].alias("b_hi"))
-        for i, p in enumerate(probs)])).alias("x")).select("col_name", "x.*")
-    brackets = materialize_small(brackets)
-    tagged = long.join(F.broadcast(brackets), "col_name")
-    below = (tagged.filter(F.col("v") < F.col("b_lo")).groupBy("col_name", "p")
-                   .agg(F.count(F.lit(1)).alias("n_below")))
-    band = tagged.filter((F.col("v") >= F.col("b_lo")) & (F.col("v") <= F.col("b_hi"))).select("col_name", "p", "v")
-    ranked = running_total(band.withColumn("_one", F.lit(1).cast("long")), "_one", ["col_name", "p", "v"], "g")
-    starts = ranked.groupBy("col_name", "p").agg(F.min("g").alias("g0"))
-    at = (ranked.join(starts, ["col_name", "p"]).join(below, ["col_name", "p"], "left")
-                .select("col_name", "p", (F.coalesce("n_below", F.lit(0)) + F.col("g") - F.col("g0")).alias("r"), "v"))
-    fast = _interpolate(need, at, ["col_name", "p"])
-    rows = fast.collect()  # at most len(cols) * len(probs) rows
-    if len(rows) == len(cols) * len(probs):
-        return spark.createDataFrame(rows, "col_name string, p double, value double")
-    return exact_quantiles_full_sort(df, cols, probs)
-
-
-def materialize_small(df: DataFrame) -> DataFrame:
-    """A small computed table (bounded by columns x probabilities) as a
-    local relation, so it is computed once and broadcast cheaply."""
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+    counts = running_total(value_counts(df, cols), "n", ["col_name", "v"], "upto")
+    sizes = counts.groupBy("col_name").agg(F.sum("n").alias("total"), F.max("upto").alias("last"))
+    held = (counts.join(F.broadcast(sizes), "col_name")
+                  .withColumn("after", F.col("upto") - (F.col("last") - F.col("total")))
+                  .select("col_name", "v", (F.col("after") - F.col("n")).alias("first"), "after"))
+    need = _wanted_ranks(sizes.select("col_name", F.col("total").alias("n")), probs)
+
+    def at(rank: str, name: str) -> DataFrame:
+        found = held.join(F.broadcast(need), "col_name").where((F.col(rank) >= F.col("first")) & (F.col(rank) < F.col("after")))
+        return found.select("col_name", "p", "frac", F.col("v").alias(name))
+
+    both = at("lo", "v_lo").join(at("hi", "v_hi").drop("frac"), ["col_name", "p"])
+    value = F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))
+    asked = [F.struct(F.lit(c).alias("col_name"), F.lit(p).alias("p")) for c in cols for p in probs]
+    wanted = df.sparkSession.range(1).select(F.explode(F.array(*asked)).alias("e")).select("e.*")
+    return wanted.join(both.select("col_name", "p", value.alias("value")), ["col_name", "p"], "left")
 
 
 def all_present(cols: list[str]) -> Column:

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -51,19 +56,17 @@ def build_session(master: str | None = None, app: str = "autoscope",
                   extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the scale settings applied.
 
-    ``master`` defaults to ``local[$BENCH_CPUS]`` (or ``local[*]``); on a
-    cluster pass ``None`` and let spark-submit decide.
+    ``master`` is set only when given: without it spark-submit, the session
+    that is running, or Spark's own default decides.
     """
     builder = SparkSession.builder.appName(app)
-    if master is None and "SPARK_MASTER" not in os.environ:
-        cpus = os.environ.get("BENCH_CPUS", "*")
-        master = f"local[{cpus}]"
     if master:
         builder = builder.master(master)
     conf = dict(SCALE_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
-    conf["spark.driver.memory"] = os.environ.get("AUTOSCOPE_DRIVER_MEMORY", "16g")
+    if master and master.startswith("local"):  # tasks run in the driver then
+        conf["spark.driver.memory"] = os.environ.get("AUTOSCOPE_DRIVER_MEMORY", "8g")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -79,7 +82,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names it (a shared file system all executors see).  Only when
-    it is unset -- local tests -- do we create one of our own.
+    it is unset and everything runs in this process -- a local test session --
+    do we create one of our own; on a cluster a machine's own folder would
+    lose data, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -87,8 +92,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: a local test session.  A cluster always names a shared one.
+        if not re.match(r"local(\[.*\])?$", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="autoscope-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -108,8 +115,30 @@ def materialize(df, name: str = "cut"):
     an RDD checkpoint of an unpersisted plan runs it twice -- and the
     re-read is a columnar scan with pruning and pushdown.
     """
-    import uuid
     spark = df.sparkSession
     path = scratch_path(spark, f"cut/{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
     return spark.read.parquet(path)
+
+
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Removes, at its end, the tables that ``materialize`` wrote inside.
+
+    What is computed from them must be written or collected before: a job
+    wraps itself in this, so that a long-lived application does not pile up
+    copies.  Without it they stay until the checkpoint folder is cleaned.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _scopes.pop():
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -30,7 +30,8 @@ def prepare_stream(spark: SparkSession, landing_dir: str, columns: list[str], ci
     ``False`` keeps running with a processing-time trigger.
     """
     reader = (spark.readStream.schema(string_schema(columns))
-              .option("header", "true").option("escape", '"').option("multiLine", "true"))
+              .option("header", "true").option("escape", '"').option("multiLine", "true")
+              .option("enforceSchema", "false"))  # a file with other columns fails, it is not read by position
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(landing_dir)
@@ -38,8 +39,7 @@ def prepare_stream(spark: SparkSession, landing_dir: str, columns: list[str], ci
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         prepared = attach_state(L.clean_listings(batch), dim)
-        # keys unique across batches: batch id in the high bits
-        prepared = prepared.withColumn("rowno", F.col("rowno") + (F.lit(batch_id).cast("long") * (1 << 40)))
+        # (batch_id, rowno) is the key: the batch is the output partition
         (prepared.write.mode("overwrite")
                  .parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}"))
 

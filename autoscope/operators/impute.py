@@ -1,9 +1,10 @@
 """Imputation (K1-K5): sentinel fill, mileage rule, group-mean fill.
 
 Group means are an aggregate (one partial row per task, so skew-proof)
-joined back on the group keys.  The means table has one row per group;
-AQE broadcasts it once it sees it is small and keeps a sort-merge join
-(with skew splitting on the big side) otherwise.  No window over a group:
+joined back on the group keys.  The means table has one row per group and is
+written before the join, so the planner knows its size: a small one is
+broadcast without shuffling the listings, a large one is sort-merge joined
+(with skew splitting on the big side).  No window over a group:
 a group holding a third of all rows would land in one task.
 """
 
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from autoscope.operators.stats import means_by
+from autoscope.session import materialize
 
 # Sentinel and the categorical columns filled before encoding.
 SENTINEL = "N/A"
@@ -84,7 +86,7 @@ def impute_group_means(df: DataFrame, keys: list[str], cols: list[str],
     ``mean_*`` columns stay unless ``keep_means=False``.
     """
     if means is None:
-        means = means_by(df, keys, cols)
+        means = materialize(means_by(df, keys, cols), "means")
     renamed = means.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                            *[F.col(f"mean_{c}") for c in cols])
     cond = None

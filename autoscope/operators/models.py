@@ -73,16 +73,14 @@ def grid(param, values) -> list:
 
 
 def cross_validate(estimator, param_maps: list, train: DataFrame, folds: int = 5,
-                   metric: str = "r2", parallelism: int | None = None, seed: int = SEED):
+                   metric: str = "r2", parallelism: int = 4, seed: int = SEED):
     """M6: k-fold grid search; the best setting is refit on all of ``train``.
 
     ``train`` should be lineage-cut (``cut_lineage``) first: the folds are
-    re-read ``2 * folds`` times.  Grid points are fitted concurrently
-    (``parallelism``, default: grid size up to 4) -- each fit is a series
-    of small distributed jobs, so overlapping them keeps executors busy.
+    re-read ``2 * folds`` times.  ``parallelism`` grid points are fitted
+    concurrently: each fit is a series of small distributed jobs, so
+    overlapping them keeps executors busy.
     """
-    if parallelism is None:
-        parallelism = max(1, min(len(param_maps), 4))
     cv = CrossValidator(estimator=Pipeline(stages=[estimator]), estimatorParamMaps=param_maps,
                         evaluator=r2_evaluator(metric), numFolds=folds, parallelism=parallelism,
                         seed=seed)

@@ -1,8 +1,8 @@
 """Group statistics, share tables, top-k and correlation.
 
-Every aggregate here is a hash aggregate with a partial (map-side) step, so
-a hot key -- one state or make holding a third of all rows -- ships one
-partial row per task, not its rows.  No window runs without a partition key
+Every aggregate here has a partial (map-side) step, so a hot key -- one state
+or make holding a third of all rows -- ships one partial row per task, not its
+rows.  (The second step of ``top_per_group`` sorts, over counted rows.)  No window runs without a partition key
 over unbounded input: the running share is an exact distributed prefix sum.
 """
 
@@ -55,10 +55,22 @@ def running_total(df: DataFrame, value: str, order: list[Column | str], out: str
 
 def dense_row_key(df: DataFrame, order: list[Column | str], out: str = "row_key") -> DataFrame:
     """C1, dense variant: 1..n in ``order`` order (a total order), layout
-    independent.  A running count, so the same distributed prefix sum:
-    no single-task window, no collect."""
-    one = "_one"
-    return running_total(df.withColumn(one, F.lit(1).cast("long")), one, order, out).drop(one)
+    independent, with one shuffle.
+
+    Rows are range-partitioned and sorted; the position inside a range comes
+    from ``monotonically_increasing_id``.  The numbered rows are written once,
+    which fixes the ranges; ranges then add the counts of those before them
+    (one row per range).
+    """
+    cols = _order_cols(order)
+    ranged = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    numbered = materialize(ranged.withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    rid, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = numbered.groupBy(rid.alias("_rid")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_rid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_rid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (numbered.withColumn("_rid", rid).join(F.broadcast(offsets), "_rid")
+                    .withColumn(out, place + 1 + F.col("_off")).drop("_id", "_rid", "_off"))
 
 
 def group_stats(df: DataFrame, key: str = "state_id") -> DataFrame:

@@ -315,13 +315,12 @@ def q_means_by_body(spark, d):
 
 
 @register("groups_still_missing", with_listings(
-    "SELECT model_name, make_name FROM (" + _MEANS_MODEL_SQL + ") m WHERE mean_horsepower IS NULL "
-    "OR mean_engine_cylinders IS NULL OR mean_fuel_tank_volume IS NULL"))
+    "SELECT model_name, make_name FROM (" + _MEANS_MODEL_SQL + ") m WHERE "
+    + " OR ".join(f"mean_{c} IS NULL" for c in impute.MODEL_MEASURES)))
 def q_groups_still_missing(spark, d):
     """Groups whose mean is still null -- imputation cannot help them."""
     m = impute.means_by_model(L.listings(spark, d))
-    return profile.groups_still_missing(
-        m, ["mean_horsepower", "mean_engine_cylinders", "mean_fuel_tank_volume"]).select("model_name", "make_name")
+    return profile.groups_still_missing(m, [f"mean_{c}" for c in impute.MODEL_MEASURES]).select("model_name", "make_name")
 
 
 # ---------------------------------------------------------------------------
@@ -341,11 +340,17 @@ def _mileage_sql(keep_observed: bool) -> str:
             f"LEFT JOIN ({_MEAN_MILEAGE_SQL}) m ON f.state_id = m.state_id")
 
 
+def _means(spark, d, name: str):
+    """A table of the means job, written once: its size is known before a
+    join on it is planned, so a small one is broadcast at once and the
+    listings are not shuffled for it."""
+    return testdata.landed(spark, d, name, lambda: getattr(impute, name)(L.listings(spark, d)))
+
+
 def _features_stage(spark, d, keep_observed: bool = False):
     """K1 -> K2 over the prepared listings, means from the means job."""
     lst = L.listings(spark, d)
-    state_means = impute.mileage_by_state(lst)
-    return impute.impute_mileage(impute.fill_sentinel(lst), state_means, keep_observed)
+    return impute.impute_mileage(impute.fill_sentinel(lst), _means(spark, d, "mileage_by_state"), keep_observed)
 
 
 def _mileage_query(keep_observed: bool):
@@ -383,7 +388,7 @@ _IMPUTED_COLS = ["listing_key", "make_name", "model_name"]
 def _imputed(spark, d):
     """K1 -> K2 -> K3/K4 with means from the means job."""
     stage = _features_stage(spark, d)
-    means = impute.means_by_model(L.listings(spark, d))
+    means = _means(spark, d, "means_by_model")
     return impute.impute_group_means(stage, ["make_name", "model_name"], impute.MODEL_MEASURES, means=means)
 
 
@@ -394,6 +399,22 @@ def q_impute_group_means(spark, d):
     return _imputed(spark, d).select(*_IMPUTED_COLS, *[rnd(c) for c in impute.MODEL_MEASURES])
 
 
+@register("spot_check_group_means", with_listings(
+    "SELECT listing_key, " + ", ".join(
+        f"CAST(g.{c} AS DOUBLE) AS old_{c}, round(coalesce(CAST(g.{c} AS DOUBLE), m.mean_{c}) + 1e-8, {R}) AS {c}"
+        for c in impute.MODEL_MEASURES)
+    + f" FROM ({_mileage_sql(False)}) g LEFT JOIN ({_MEANS_MODEL_SQL}) m "
+    "ON g.make_name = m.make_name AND g.model_name = m.model_name WHERE "
+    + " OR ".join(f"g.{c} IS NULL" for c in impute.MODEL_MEASURES)))
+def q_spot_check_group_means(spark, d):
+    """B8 on K3: rows that lacked a measure, all nine before and after."""
+    before = _features_stage(spark, d).withColumns({f"old_{c}": F.col(c).cast("double") for c in impute.MODEL_MEASURES})
+    after = impute.impute_group_means(before, ["make_name", "model_name"], impute.MODEL_MEASURES,
+                                      means=_means(spark, d, "means_by_model"))
+    return after.filter(profile.any_missing([f"old_{c}" for c in impute.MODEL_MEASURES])).select(
+        "listing_key", *[f"old_{c}" for c in impute.MODEL_MEASURES], *[rnd(c) for c in impute.MODEL_MEASURES])
+
+
 @register("impute_window", with_listings(
     "SELECT listing_key, make_name, model_name, " + ", ".join(
         f"round(coalesce(CAST({c} AS DOUBLE), avg({c}) OVER (PARTITION BY make_name, model_name)) + 1e-8, {R}) AS {c}"
@@ -460,23 +481,42 @@ def q_row_key(spark, d):
     return stats.dense_row_key(keys, ["listing_key"], "row_key")
 
 
+HASH32_SQL = "('0x' || substr(md5(coalesce(listing_key, '')), 1, 8))::BIGINT"
+TRAIN_BOUND = round(0.8 * 2**32)
+
+
 @register("hash_split", with_listings(
-    "SELECT listing_key, CASE WHEN b < 800 THEN 'train' ELSE 'test' END AS split FROM "
-    "(SELECT listing_key, (('0x' || substr(md5(listing_key), 1, 8))::BIGINT % 1000) AS b FROM listings) q"))
+    f"SELECT listing_key, CASE WHEN {HASH32_SQL} < {TRAIN_BOUND} THEN 'train' ELSE 'test' END AS split FROM listings"))
 def q_hash_split(spark, d):
     from autoscope.operators.split import with_split_label
     lst = L.listings(spark, d).select("listing_key")
     return with_split_label(lst, "listing_key", [0.8, 0.2], ["train", "test"])
 
 
-@register("random_split_sizes")
+# fixed values: the weights of the down-sample and of the two train/test splits
+RANDOM_SPLITS = {"sample": [0.9, 0.1], "notebook": [0.8, 0.2], "job": [0.7, 0.3]}
+
+
+@register("random_split_sizes", with_listings(" UNION ALL ".join(
+    f"SELECT '{k}' AS split, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_in_both, true AS near_weight FROM listings"
+    for k in RANDOM_SPLITS)))
 def q_random_split_sizes(spark, d):
-    """Down-sample 0.9 / 0.1 with seed 651; sizes of both parts."""
+    """The seeded splits; rows of both parts together, rows in both,
+    and whether the first part's share is within 4 sigma of its weight."""
+    from functools import reduce
+
     from autoscope.operators.split import random_split
-    lst = L.listings(spark, d).select("listing_key")
-    parts = random_split(lst, [0.9, 0.1])
-    return (parts[0].agg(F.count(F.lit(1)).alias("n_rows")).withColumn("part", F.lit(0))
-            .unionByName(parts[1].agg(F.count(F.lit(1)).alias("n_rows")).withColumn("part", F.lit(1))))
+    lst = L.listings(spark, d).select("rowno", "state_id")
+    rows = []
+    for name, weights in RANDOM_SPLITS.items():
+        a, b = (p.groupBy("rowno", "state_id").agg(F.count(F.lit(1)).alias(n)) for p, n in zip(random_split(lst, weights), "ab"))
+        both = a.join(b, (a.rowno == b.rowno) & a.state_id.eqNullSafe(b.state_id), "full").select("a", "b")
+        n, w = F.sum(F.coalesce("a", F.lit(0)) + F.coalesce("b", F.lit(0))), weights[0]
+        share = F.sum(F.coalesce("a", F.lit(0))) / n
+        rows.append(both.agg(F.lit(name).alias("split"), n.alias("n_rows"),
+                             F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("n_in_both"),
+                             (F.abs(share - w) < 4 * F.sqrt(F.lit(w * (1 - w)) / n)).alias("near_weight")))
+    return reduce(DataFrame.unionByName, rows)
 
 
 # ---------------------------------------------------------------------------
@@ -583,7 +623,12 @@ SIG = "%.6e"  # model outputs compared at 7 significant digits
 
 
 def sig(col, alias: str):
-    return F.format_string(SIG, col).alias(alias)
+    """A double rounded to 7 significant digits."""
+    return F.format_string(SIG, col).cast("double").alias(alias)
+
+
+def sig_sql(x: str) -> str:
+    return f"CAST(printf('{SIG}', {x}) AS DOUBLE)"
 
 
 def _one_feature(spark, d, part: str | None = None):
@@ -598,7 +643,7 @@ def _one_feature(spark, d, part: str | None = None):
 
 
 _ONE_DATA = ("SELECT listing_key, horsepower AS x, price AS y, "
-             "CASE WHEN ('0x' || substr(md5(listing_key), 1, 8))::BIGINT % 1000 < 800 THEN 'train' ELSE 'test' END AS split "
+             f"CASE WHEN {HASH32_SQL} < {TRAIN_BOUND} THEN 'train' ELSE 'test' END AS split "
              f"FROM ({_GROUP_FILL_SQL}) imp WHERE {_COMPLETE_WHERE.replace('imp.', '')} AND price IS NOT NULL")
 
 
@@ -613,8 +658,8 @@ _TRAIN = "WHERE split = 'train'"
 
 def _fit_sql(lam: float) -> str:
     return with_listings(
-        f"SELECT 'horsepower' AS term, printf('{SIG}', slope) AS value FROM cf "
-        f"UNION ALL SELECT 'intercept', printf('{SIG}', intercept) FROM cf",
+        f"SELECT 'horsepower' AS term, {sig_sql('slope')} AS value FROM cf "
+        f"UNION ALL SELECT 'intercept', {sig_sql('intercept')} FROM cf",
         f"one AS ({_ONE_DATA}), cf AS ({_closed_form(lam)})")
 
 
@@ -637,10 +682,10 @@ def q_glr_fit(spark, d):
 
 def _metrics_sql(pred_from: str, with_n: bool = True) -> str:
     n = "count(*) AS n, " if with_n else ""
-    return (f"SELECT {n}printf('{SIG}', 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))) AS r2, "
-            f"printf('{SIG}', sqrt(sum((y - p) * (y - p)) / count(*))) AS rmse, "
-            f"printf('{SIG}', avg(abs(y - p))) AS mae, "
-            f"printf('{SIG}', avg((p - (SELECT avg(y) FROM {pred_from})) * (p - (SELECT avg(y) FROM {pred_from})))) "
+    return (f"SELECT {n}{sig_sql('1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))')} AS r2, "
+            f"{sig_sql('sqrt(sum((y - p) * (y - p)) / count(*))')} AS rmse, "
+            f"{sig_sql('avg(abs(y - p))')} AS mae, "
+            f"{sig_sql(f'avg((p - (SELECT avg(y) FROM {pred_from})) * (p - (SELECT avg(y) FROM {pred_from})))')} "
             f"AS explained_variance FROM {pred_from}")
 
 
@@ -672,7 +717,7 @@ def q_eval_metrics(spark, d):
 
 
 @register("predict_ridge", with_listings(
-    f"SELECT listing_key, printf('{SIG}', slope * x + intercept) AS prediction FROM one, cf WHERE split = 'test'",
+    f"SELECT listing_key, {sig_sql('slope * x + intercept')} AS prediction FROM one, cf WHERE split = 'test'",
     f"one AS ({_ONE_DATA}), cf AS ({_closed_form(0.1, _TRAIN)})"))
 def q_predict_ridge(spark, d):
     """M4: batch scoring of the test part."""
@@ -757,7 +802,8 @@ def q_fm_scores(spark, d):
     return _scores(cvm, prep(test))
 
 
-@register("save_load_scores")
+@register("save_load_scores", with_listings(
+    "SELECT count(*) AS n_scored, count(*) AS n_equal FROM one WHERE split = 'test'", f"one AS ({_ONE_DATA})"))
 def q_save_load_scores(spark, d):
     """A5 + A6 + N3: fit, save under a run-stamped path, load, re-score;
     one row: rows scored, rows whose prediction is unchanged."""
@@ -770,11 +816,9 @@ def q_save_load_scores(spark, d):
     path = scratch_path(spark, f"models/ridge_{run_stamp()}")
     save_model(model, path)
     loaded = load_model(LinearRegressionModel, path)
-    a = model.transform(test).select("listing_key", F.col("prediction").alias("p1"))
-    b = loaded.transform(test).select("listing_key", F.col("prediction").alias("p2"))
-    j = a.join(b, "listing_key")
-    return j.agg(F.count(F.lit(1)).alias("n_scored"),
-                 F.count_if(F.col("p1") == F.col("p2")).alias("n_equal"))
+    both = loaded.setPredictionCol("again").transform(model.transform(test))
+    return both.agg(F.count(F.lit(1)).alias("n_scored"),
+                    F.count_if(F.col("prediction") == F.col("again")).alias("n_equal"))
 
 
 # ---------------------------------------------------------------------------
@@ -800,6 +844,35 @@ def q_polygon_parts(spark, d):
                     F.col("polygon")[0][0][0].alias("x0"))
 
 
+@register("geojson_parts", with_listings(
+    "SELECT layout, CASE WHEN layout = 'collection' THEN feature_pos END AS feature_pos, state_id, "
+    "CAST(part AS INTEGER) AS part, CAST(feature_pos * 100 + part AS DOUBLE) AS x0 "
+    f"FROM ({_PARTS_SQL}) p, (VALUES ('collection'), ('lines')) v(layout)"))
+def q_geojson_parts(spark, d):
+    """A7 + O1 + O2: polygons written as GeoJSON and read back, as one
+    collection and one feature per line; the outlier part is named by
+    position in the first and by state in the second."""
+    from autoscope.operators import geo
+    from autoscope.sources.io import read_geojson
+    nation = testdata.table(spark, d, "nation")
+    shapes = geo.features_from_states(nation, "n_nationkey", "n_name", "n_regionkey")
+    feature = F.concat(F.lit('{"type":"Feature","id":"'), F.col("state_id"), F.lit('","geometry":{"type":"'),
+                       F.col("geom_type"), F.lit('","coordinates":'), F.col("coordinates"), F.lit("}}"))
+    rows = shapes.select("feature_pos", feature.alias("f"))
+    # a collection is one document by nature: the states' outlines
+    listed = F.array_sort(F.collect_list(F.struct("feature_pos", "f")))
+    document = rows.agg(F.concat(F.lit('{"type":"FeatureCollection","features":['),
+                                 F.array_join(F.transform(listed, lambda x: x.f), ","), F.lit("]}")).alias("value"))
+    whole, lines = _scratch(spark, "collection"), _scratch(spark, "lines")
+    document.write.text(whole)
+    rows.select("f").write.text(lines)
+    outlier = nation.filter(F.col("n_nationkey") == geo.OUTLIER_PART[0]).first()["n_name"]
+    by_pos = geo.drop_part(geo.explode_parts(read_geojson(spark, whole)))
+    by_state = geo.drop_part(geo.explode_parts(read_geojson(spark, lines, per_line=True)), state_id=outlier)
+    both = by_pos.withColumn("layout", F.lit("collection")).unionByName(by_state.withColumn("layout", F.lit("lines")))
+    return both.select("layout", "feature_pos", "state_id", "part", F.col("polygon")[0][0][0].alias("x0"))
+
+
 _MAP_COLS = "p.state_id, feature_pos, CAST(part AS INTEGER) AS part"
 
 
@@ -863,38 +936,43 @@ def q_parquet_roundtrip(spark, d):
 # ---------------------------------------------------------------------------
 # B4, S1, N2, P1-P4
 # ---------------------------------------------------------------------------
-# Numeric columns summarised (the typed measures of the listings table).
-SUMMARY_COLUMNS = ["price", "mileage", "year", "horsepower", "engine_cylinders", "fuel_tank_volume",
-                   "back_legroom", "height", "width", "length", "daysonmarket", "seller_rating"]
+# Every column of the prepared listings, in their order, by kind.
+SUMMARY_NUMBERS = [
+    "engine_cylinders", "price", "mileage", "year", "horsepower", "engine_displacement", "city_fuel_economy",
+    "highway_fuel_economy", "latitude", "longitude", "savings_amount", "seller_rating", "fuel_tank_volume",
+    "back_legroom", "front_legroom", "height", "width", "length", "wheelbase", "maximum_seating", "power",
+    "torque", "daysonmarket", "dealer_zip", "owner_count", "fleet", "frame_damaged", "franchise_dealer",
+    "has_accidents", "isCab", "is_new", "salvage", "theft_title"]
+SUMMARY_TEXTS = [
+    "listing_key", "make_name", "model_name", "body_type", "engine_type", "listing_color", "exterior_color",
+    "interior_color", "transmission_display", "transmission", "fuel_type", "wheel_system", "wheel_system_display",
+    "trim_name", "major_options", "franchise_make", "sp_name", "city", "listed_date", "us_city", "state_id", "state_name"]
 
 
 def _summary_sql() -> str:
     parts = []
-    for c in SUMMARY_COLUMNS:
+    for c in SUMMARY_NUMBERS:
         x = f"CAST({c} AS DOUBLE)"
         parts.append(
             f"SELECT '{c}' AS col_name, count({x}) AS count, round(avg({x}) + 1e-8, {R}) AS mean, "
             f"round(stddev_samp({x}) + 1e-8, {R}) AS stddev, min({x}) AS min, "
             f"round(quantile_cont({x}, 0.25) + 1e-8, {R}) AS p25, round(quantile_cont({x}, 0.5) + 1e-8, {R}) AS p50, "
-            f"round(quantile_cont({x}, 0.75) + 1e-8, {R}) AS p75, max({x}) AS max FROM listings")
+            f"round(quantile_cont({x}, 0.75) + 1e-8, {R}) AS p75, max({x}) AS max, "
+            "CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text FROM listings")
+    for c in SUMMARY_TEXTS:
+        x, no = f"CAST({c} AS VARCHAR)", "CAST(NULL AS DOUBLE)"
+        parts.append(f"SELECT '{c}', count({x}), {', '.join([no] * 7)}, min({x}), max({x}) FROM listings")
     return with_listings(" UNION ALL ".join(parts))
 
 
 @register("summary_stats", _summary_sql())
 def q_summary_stats(spark, d):
-    """Count, mean, stddev, min, quartiles (exact), max per numeric column."""
+    """Every column; numbers with count, mean, stddev, min, exact
+    quartiles, max; texts and dates with count, min, max."""
     lst = L.listings(spark, d)
-    x = {c: F.col(c).cast("double") for c in SUMMARY_COLUMNS}
-    entries = [F.struct(F.lit(c).alias("col_name"), F.count(x[c]).alias("count"), F.avg(x[c]).alias("mean"),
-                        F.stddev_samp(x[c]).alias("stddev"), F.min(x[c]).alias("min"), F.max(x[c]).alias("max"))
-               for c in SUMMARY_COLUMNS]
-    moments = lst.agg(F.array(*entries).alias("a")).select(F.explode("a").alias("e")).select("e.*")
-    q = profile.exact_quantiles(lst, SUMMARY_COLUMNS, [0.25, 0.5, 0.75])
-    quart = q.groupBy("col_name").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value"))
-    quart = quart.toDF("col_name", "p25", "p50", "p75")
-    return (moments.join(quart, "col_name")
-                   .select("col_name", "count", rnd("mean"), rnd("stddev"), "min", rnd("p25"), rnd("p50"),
-                           rnd("p75"), "max"))
+    return profile.summary(lst, SUMMARY_NUMBERS, SUMMARY_TEXTS).select(
+        "col_name", "count", rnd("mean"), rnd("stddev"), "min", rnd("p25"), rnd("p50"), rnd("p75"), "max",
+        "min_text", "max_text")
 
 
 @register("price_sorted", with_listings(
@@ -907,7 +985,7 @@ def q_price_sorted(spark, d):
 
 
 @register("sample_predictions", with_listings(
-    f"SELECT listing_key, printf('{SIG}', slope * x + intercept) AS prediction, printf('{SIG}', y) AS label "
+    f"SELECT listing_key, {sig_sql('slope * x + intercept')} AS prediction, {sig_sql('y')} AS label "
     "FROM one, cf WHERE split = 'test' ORDER BY listing_key LIMIT 5",
     f"one AS ({_ONE_DATA}), cf AS ({_closed_form(0.1, _TRAIN)})"))
 def q_sample_predictions(spark, d):

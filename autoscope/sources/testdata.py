@@ -48,7 +48,8 @@ _ENGINE = ("CASE p_size % 5 WHEN 0 THEN {zero} WHEN 1 THEN 'I4' WHEN 2 THEN 'V6'
 RAW_LISTING_COLUMNS: list[tuple[str, str]] = [
     # identity (kept) and identity-like columns the prepare job drops
     ("listing_key", "cast(l_orderkey as string) || '-' || cast(l_linenumber as string) || '-' "
-                    "|| cast(l_partkey as string) || '-' || cast(l_suppkey as string)"),
+                    "|| cast(l_partkey as string) || '-' || cast(l_suppkey as string) || '-' "
+                    "|| cast(cast(round(l_extendedprice * 100) as bigint) as string)"),
     ("vin", "'VIN' || cast(l_orderkey as string) || 'L' || cast(l_linenumber as string)"),
     ("listing_id", "cast(l_orderkey * 10 + l_linenumber as string)"),
     ("sp_id", "cast(c_custkey as string)"),
@@ -79,7 +80,10 @@ RAW_LISTING_COLUMNS: list[tuple[str, str]] = [
     ("sp_name", "c_name"),
     ("city", _LISTING_CITY),
     # numbers as text
-    ("price", "CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE cast(l_extendedprice as string) END"),
+    # the price follows size, year and mileage, so that a learner has something to find
+    ("price", "CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE cast(cast(floor(l_extendedprice) as bigint) % 5000 "
+              "+ p_size * 700 + (year(o_orderdate) - 1990) * 900 - cast(floor(l_quantity) as bigint) * 150 + 20000 "
+              "as string) END"),
     ("mileage", "CASE WHEN l_linenumber = 5 THEN NULL "
                 "ELSE cast(cast(floor(l_quantity) as bigint) * 1013 + l_linenumber * 7 as string) END"),
     ("year", "cast(year(o_orderdate) as string)"),
@@ -97,7 +101,8 @@ RAW_LISTING_COLUMNS: list[tuple[str, str]] = [
     ("back_legroom", "CASE WHEN l_orderkey % 9 = 0 THEN NULL "
                      "ELSE cast(30 + p_size % 10 as string) || '.' || cast(l_linenumber as string) || ' in' END"),
     ("front_legroom", "cast(40 + p_size % 5 as string) || '.5 in'"),
-    ("height", "CASE WHEN l_orderkey % 12 = 5 THEN '--' ELSE cast(55 + p_size % 20 as string) || ' in' END"),
+    # some models have no height at all: their group mean is missing too
+    ("height", "CASE WHEN l_orderkey % 12 = 5 OR p_partkey % 29 = 4 THEN '--' ELSE cast(55 + p_size % 20 as string) || ' in' END"),
     ("width", "cast(70 + p_size % 11 as string) || '.2 in'"),
     ("length", "CASE WHEN l_orderkey % 14 = 3 THEN NULL ELSE cast(170 + p_size as string) || '.1 in' END"),
     ("wheelbase", "CASE WHEN l_partkey % 13 = 0 THEN '' ELSE cast(100 + p_size % 13 as string) || ' in' END"),
@@ -186,8 +191,8 @@ def raw_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def derive_raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw listings derivation itself (lazy plan over the test tables)."""
-    from autoscope.sources.io import spread
-    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    # one file with one row group: spread it before the joins
+    li = table(spark, sf_dir, "lineitem").repartition("l_orderkey")
     orders = table(spark, sf_dir, "orders")
     cust = table(spark, sf_dir, "customer")
     part = table(spark, sf_dir, "part")

@@ -40,7 +40,8 @@ def test_entry_and_contract(spark):
 
 FAST = ["state_stats", "share_model", "top_model_per_state", "null_profile", "clean_all",
         "impute_group_means", "corr_matrix", "row_key", "hash_split", "onehot_rows", "ridge_fit",
-        "map_table", "csv_roundtrip"]
+        "map_table", "csv_roundtrip", "summary_stats", "geojson_parts", "spot_check_group_means", "groups_still_missing",
+        "random_split_sizes", "eval_metrics", "save_load_scores"]
 
 
 @pytest.mark.parametrize("name", FAST)

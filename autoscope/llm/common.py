@@ -16,6 +16,11 @@ def id_remainder(doc_id: Column, n: int) -> Column:
     return F.crc32(text.cast("binary")) % n
 
 
+def named(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever characters their names hold."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
 #: rows of a key list that may be broadcast (long keys: tens of megabytes);
 #: longer lists are joined by shuffle
 BROADCAST_ROWS = 4_000_000

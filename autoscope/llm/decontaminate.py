@@ -144,9 +144,8 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     if found is None:
         return docs
     gone = materialize(found.select(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th")).distinct(), "gone")
-    marked = docs.withColumn("row_text_hash", F.xxhash64("text"))
-    return marked.join(bounded(gone), (F.col("row_text_hash") == F.col("gone_th"))
-                       & marked["doc_id"].eqNullSafe(F.col("gone_id")), "left_anti").select(*[marked[c] for c in docs.columns])
+    d, g = docs.alias("d"), bounded(gone).alias("g")
+    return d.join(g, (F.xxhash64("d.text") == F.col("g.gone_th")) & F.col("d.doc_id").eqNullSafe(F.col("g.gone_id")), "left_anti")
 
 
 #: DuckDB: every window of every item against every place in every document

@@ -368,11 +368,13 @@ def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """Rows whose language is known with posterior ``least`` or more; all
     columns of ``docs`` as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs))
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names of any kind
+    text = docs.columns.index("text")
 
     def run(batches):
         for b in batches:
-            lang, score = score_column(shared.value, b.column("text"))
+            lang, score = score_column(shared.value, b.column(text))
             keep = [k != UNKNOWN and s >= least for k, s in zip(lang, score)]
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from autoscope.session import materialize
 
-from .common import bounded
+from .common import bounded, named
 
 # fixed values of the mix
 WEIGHTS = (3, 1, 2)
@@ -68,14 +68,15 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndar
         return take
     if budget >= total:
         return counts.astype(np.int64)
-    take[:] = [c * budget // total for c in counts.tolist()]
-    left = budget - int((take * lengths).sum())
     order = np.argsort(-lengths, kind="stable")
     spare = int(lengths.max())
+    bulk = max(0, budget - 4 * spare)  # the knapsack keeps room to choose
+    take[:] = [c * bulk // total for c in counts.tolist()]
+    left = budget - int((take * lengths).sum())
     for i in order.tolist():  # large ones while the budget is far from used up
         size = int(lengths[i])
-        if size and left > 2 * spare:
-            more = min(int(counts[i] - take[i]), (left - spare) // size)
+        if size and left > 4 * spare:
+            more = min(int(counts[i] - take[i]), (left - 3 * spare) // size)
             take[i] += more
             left -= more * size
     # bounded knapsack: sums reached so far, and the step that first reached each
@@ -169,7 +170,7 @@ def mix(docs: DataFrame) -> DataFrame:
     picked = materialize(units.where("extra = 1").select(
         F.col("skey").alias("mix_key"), F.col("doc_id").alias("mix_id"), F.col("size").alias("mix_size")), "picked")
     base = bounded(sources.select(F.col("skey").alias("base_key"), "base"))
-    marked = docs.select(F.struct(*docs.columns).alias("row")).select(
+    marked = docs.select(F.struct(*named(docs)).alias("row")).select(
         "row", source_key(F.col("row.source")).alias("skey"), word_count(F.col("row.text")).alias("size"))
     joined = marked.join(base, F.col("skey") == F.col("base_key")).join(
         bounded(picked), (F.col("skey") == F.col("mix_key")) & (F.col("size") == F.col("mix_size"))

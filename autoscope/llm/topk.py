@@ -80,15 +80,19 @@ class Best:
         order = np.lexsort((d, -s))[:self.k]
         self.score[i], self.id[i] = s[order], d[order]
         if len(order) == self.k:
-            self.floor[i] = max(self.floor[i], float(self.score[i][-1]))
+            last = self.score[i][-1]
+            near = float(last)
+            # not above the score itself, where floats are coarser than longs
+            self.floor[i] = max(self.floor[i], near if near <= last else np.nextafter(near, -np.inf))
 
 
 def products(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Exact integer inner products, as floats where those are exact."""
-    if len(q) and len(rows) and np.abs(q).max() * np.abs(rows).max() * q.shape[1] < _EXACT:
+    """Exact integer inner products: as floats where those are exact, else as
+    whole numbers, held within the range of a long."""
+    if not len(q) or not len(rows) or np.abs(q).max() * np.abs(rows).max() * q.shape[1] < _EXACT:
         return q @ rows.T
-    return q.astype(object).dot(rows.astype(object).T) if not len(q) or not len(rows) else np.array(
-        [[sum(int(a) * int(b) for a, b in zip(x, y)) for y in rows] for x in q], object)
+    lo, hi = _LIMITS
+    return np.array([[min(max(sum(int(a) * int(b) for a, b in zip(x, y)), lo), hi) for y in rows] for x in q], object)
 
 
 def search(tree: BallTree, ids: np.ndarray, q: np.ndarray, best: Best) -> None:
@@ -185,6 +189,7 @@ def top_k(vectors: DataFrame, is_query, k: int = TOP) -> DataFrame:
 
     Ties go to the smaller vec_id.  Repeated rows count once; rows with the
     query's own id are no candidates.  Fewer candidates give fewer rows.
+    Scores beyond the range of a long count as its end.
     """
     rows = usable(vectors)
     trees = materialize(shards(rows), "trees")
@@ -218,8 +223,7 @@ def top_k(vectors: DataFrame, is_query, k: int = TOP) -> DataFrame:
         parts = []
         for _, ids, best in _search_blocks(left, right, k) if len(left) and len(right) else []:
             for i in range(len(ids)):
-                score = [min(max(int(s), _LIMITS[0]), _LIMITS[1]) for s in best.score[i].tolist()]
-                parts += [(int(ids[i]), int(d), s) for d, s in zip(best.id[i].tolist(), score)]
+                parts += [(int(ids[i]), int(d), int(s)) for d, s in zip(best.id[i].tolist(), best.score[i].tolist())]
         return pd.DataFrame(parts, columns=["query_id", "vec_id", "score"])
 
     found = here.groupBy("dim", "shard", "grp").cogroup(there.groupBy("dim", "shard", "grp")).applyInPandas(

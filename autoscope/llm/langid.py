@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import id_remainder
+from .common import bounded, id_remainder
 
 UNKNOWN = "und"
 #: expected labelled documents per language that training may read (a documented bound)
@@ -34,7 +34,7 @@ SAMPLE_PER_LANG = 300
 EM_ROUNDS = 4
 SMOOTHING = 0.1
 SLOT_BITS = 20
-CACHE_BITS = 21
+CACHE_BITS = 20
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -270,7 +270,7 @@ def fit(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, vocabulary_path: str |
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
     rate = F.lit(float(per_lang)) / F.col("n")
     draw = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1))), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = (rows.join(F.broadcast(sizes), "lang").where(draw < rate)
+    sample = (rows.join(bounded(sizes), "lang").where(draw < rate)
               .select("lang", "text"))
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -283,24 +283,13 @@ def fit(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, vocabulary_path: str |
     return Model([k for k, _ in learned], np.ascontiguousarray(prob), path)
 
 
-_caches: dict[str, tb.WordCache] = {}
-
-
-def word_cache(model: Model) -> tb.WordCache:
-    """The worker's word memory for this model; another model replaces it."""
-    if model.key not in _caches:
-        _caches.clear()
-        _caches[model.key] = tb.WordCache(CACHE_BITS, len(model.languages))
-    return _caches[model.key]
-
-
 def score_column(model: Model, column: pa.Array) -> tuple[list[str], list[float]]:
     """Predicted language and its posterior probability for each text."""
     count = len(column)
     if not model.languages:
         return [UNKNOWN] * count, [0.0] * count
     voc = vocabulary(model.vocabulary)
-    cache = word_cache(model)
+    cache = tb.word_cache(model.key, CACHE_BITS, len(model.languages))
     total = np.zeros((count, len(model.languages)))
     n_words = np.zeros(count, np.int64)
     for lo, hi, buf, starts, ends, bounds in letter_words(column):

@@ -15,7 +15,7 @@ from . import textbytes as tb
 
 #: ids held per word; longer words are encoded each time they occur
 HELD = 11
-CACHE_BITS = 21
+CACHE_BITS = 20
 JOINED = 512
 FENCE = "\x01"
 _STOPS = tb.byte_class(lambda b: b in b".,;:!?")
@@ -35,7 +35,7 @@ class Encoder:
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.vocab = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.uint16 if self.vocab <= 1 << 16 else np.uint32
-        self.cache = tb.WordCache(CACHE_BITS, HELD + 1, self.dtype)
+        self.path = path
         self.fence_id, = self.tokenizer.encode(FENCE, add_special_tokens=False).ids
 
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +98,7 @@ class Encoder:
         if not len(starts):
             return np.zeros(0, self.dtype), np.zeros(len(rows) - 1, np.int64)
         h = tb.mix(tb.span_hashes(tb.prefix_sums(buf), starts, ends))
-        held = self.cache.get(h, encode)
+        held = tb.word_cache(self.path, CACHE_BITS, HELD + 1, self.dtype).get(h, encode)
         n = held[:, 0].astype(np.int64)
         long_words = np.flatnonzero(n > HELD)
         for i in long_words.tolist():

@@ -160,3 +160,15 @@ class WordCache:
             # the key goes in last, for the word whose value stayed in the slot
             self.key[at] = h[miss[first]]
         return out
+
+
+_caches: dict[str, WordCache] = {}
+
+
+def word_cache(key: str, bits: int, width: int, dtype=np.float64) -> WordCache:
+    """The worker's cache of this name.  A worker that goes on to another
+    operator drops the one before, so memory holds one at a time."""
+    if key not in _caches:
+        _caches.clear()
+        _caches[key] = WordCache(bits, width, dtype)
+    return _caches[key]

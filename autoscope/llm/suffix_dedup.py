@@ -4,11 +4,11 @@ suffix array sorted deep-shallow.
 Suffixes are taken at anchors only: positions whose ``GRAM``-byte hash is the
 least in some run of neighbouring positions, so that every string of ``SPAN``
 bytes holds an anchor at the same place wherever it occurs.  Anchors meet by
-their gram.  Their surroundings, ``SPAN - GRAM`` bytes to the left and
-``SPAN`` to the right, are sorted in both directions (see ``suffix_sort``); a
-string of ``SPAN`` bytes that starts x bytes before an anchor occurs again if
-another anchor has the same x bytes to the left and ``SPAN - x`` to the
-right, which the two orders and their common-prefix lengths tell.
+their gram.  Their surroundings, ``SPAN - GRAM`` bytes before and after the
+gram, are sorted in both directions (see ``suffix_sort``); a string of ``SPAN``
+bytes that starts x bytes before an anchor occurs again if another anchor of
+the gram has the same x bytes before it and ``SPAN - GRAM - x`` after, which
+the two orders and their common-prefix lengths tell.
 
 Equal surroundings are one row from the first aggregation on, so copies cost
 one comparison however many there are.  Grams with more different
@@ -31,11 +31,13 @@ from . import textbytes as tb
 from .common import BROADCAST_ROWS, bounded
 from .suffix_sort import sort_groups
 
-SPAN, GRAM = 200, 32
+SPAN, GRAM = 200, 100
 LEFT = SPAN - GRAM
 RUN = SPAN - GRAM + 1
 #: different surroundings of one gram that are sorted in one task
 SORTED_AT_ONCE = 20_000
+#: places whose surroundings are looked up by a broadcast list (28 bytes each)
+BROADCAST_PLACES = 2_000_000
 #: surroundings sorted together in a task
 BATCH = 50_000
 
@@ -125,32 +127,54 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def surroundings(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """(gram, ctx, left, right): the bytes around one place of each ctx in
-    ``places`` (gram, ctx, doc, pos, l, r); left is reversed."""
-    spread = places.groupBy("doc").agg(F.collect_list(F.struct("gram", "ctx", "pos", "l", "r")).alias("at"))
-    texts = _documents(docs)
-    n = places.count()
-    if n > BROADCAST_ROWS:
-        joined = texts.dropDuplicates(["doc"]).join(spread, "doc")
-    else:
-        joined = texts.join(F.broadcast(spread), "doc")
-
-    def run(batches):
+    """(gram, ctx, left, right): the bytes before (reversed) and after the
+    gram at each of ``places`` (gram, ctx, doc, pos), one place a ctx."""
+    texts, schema = _documents(docs), "gram long, ctx long, left binary, right binary"
+
+    def cut(gram, ctx, raw, pos):
+        return [(g, c, raw[max(0, p - LEFT):p][::-1], raw[p + GRAM:p + SPAN]) for g, c, p in zip(gram, ctx, pos)]
+
+    def packed(out):
+        gram, ctx, left, right = zip(*out)
+        return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(ctx), pa.array(left, pa.binary()), pa.array(right, pa.binary())],
+                                          ["gram", "ctx", "left", "right"])
+
+    if places.count() > BROADCAST_PLACES:
+        spread = places.groupBy("doc").agg(F.collect_list(F.struct("gram", "ctx", "pos")).alias("at"))
+
+        def run(batches):
+            for b in tb.slices(batches, 256):
+                out = []
+                for text, at in zip(b.column("text").to_pylist(), b.column("at").to_pylist()):
+                    out += cut([x["gram"] for x in at], [x["ctx"] for x in at], text.encode(), [x["pos"] for x in at])
+                if out:
+                    yield packed(out)
+
+        return texts.dropDuplicates(["doc"]).join(spread, "doc").select("text", "at").mapInArrow(run, schema)
+
+    listed = places.select("doc", "pos", "gram", "ctx").toArrow()
+    doc = listed["doc"].to_numpy()
+    order = np.argsort(doc, kind="stable")
+    wanted = docs.sparkSession.sparkContext.broadcast(
+        (doc[order], listed["pos"].to_numpy()[order].astype(np.int32), listed["gram"].to_numpy()[order], listed["ctx"].to_numpy()[order]))
+
+    def look_up(batches):
+        doc, pos, gram, ctx = wanted.value
         seen: set[int] = set()
         for b in tb.slices(batches, 256):
+            keys = b.column("doc").to_numpy()
+            lo, hi = np.searchsorted(doc, keys), np.searchsorted(doc, keys, "right")
             out = []
-            for doc, text, at in zip(b.column("doc").to_pylist(), b.column("text").to_pylist(), b.column("at").to_pylist()):
-                if doc in seen:
-                    continue
-                seen.add(doc)
-                raw = text.encode()
-                out += [(x["gram"], x["ctx"], raw[x["pos"] - x["l"]:x["pos"]][::-1], raw[x["pos"]:x["pos"] + x["r"]]) for x in at]
+            for i in np.flatnonzero(hi > lo).tolist():
+                if int(keys[i]) not in seen:
+                    seen.add(int(keys[i]))
+                    own = slice(lo[i], hi[i])
+                    out += cut(gram[own].tolist(), ctx[own].tolist(), b.column("text")[i].as_py().encode(), pos[own].tolist())
             if out:
-                gram, ctx, left, right = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(ctx), pa.array(left, pa.binary()), pa.array(right, pa.binary())],
-                                                 ["gram", "ctx", "left", "right"])
+                yield packed(out)
 
-    return joined.select("doc", "text", "at").mapInArrow(run, "gram long, ctx long, left binary, right binary").dropDuplicates(["gram", "ctx"])
+    # copies of a text in several tasks give the same row
+    return texts.mapInArrow(look_up, schema).dropDuplicates(["gram", "ctx"])
 
 
 def reach(gram: np.ndarray, left: list[bytes], right: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +188,7 @@ def reach(gram: np.ndarray, left: list[bytes], right: list[bytes]) -> tuple[np.n
     size_left, size_right = np.fromiter(map(len, left), np.int64, m), np.fromiter(map(len, right), np.int64, m)
     class_left, class_right = np.empty(m, np.int64), np.empty(m, np.int64)
     for x in range(LEFT + 1):
-        class_right[by_right] = np.cumsum(shared_right < SPAN - x)
+        class_right[by_right] = np.cumsum(shared_right < LEFT - x)
         class_left[by_left] = np.cumsum(shared_left < x)
         key = class_right * (m + 1) + class_left
         order = np.argsort(key)
@@ -172,7 +196,7 @@ def reach(gram: np.ndarray, left: list[bytes], right: list[bytes]) -> tuple[np.n
         again = np.zeros(m, bool)
         again[order[1:][same]] = True
         again[order[:-1][same]] = True
-        again &= (size_left >= x) & (size_right >= SPAN - x)
+        again &= (size_left >= x) & (size_right >= LEFT - x)
         most_left[again] = x
         least_left[again & (least_left > x)] = x
     hit = most_left >= 0
@@ -223,12 +247,12 @@ def _counted_reach(rows: DataFrame) -> DataFrame:
         for batch in tb.slices(batches, 64):
             for gram, ctx, left, right in zip(*(batch.column(c).to_pylist() for c in ("gram", "ctx", "left", "right"))):
                 raw = np.frombuffer(left[::-1] + right, np.uint8)
-                n = len(raw) - SPAN + 1
+                n = len(raw) - LEFT + 1  # the gram, equal for all, is left out
                 if n < 1:
                     continue
                 c = tb.prefix_sums(raw)
                 at = np.arange(n)
-                h = tb.mix(tb.span_hashes(c, at, at + SPAN))
+                h = tb.mix(tb.span_hashes(c, at, at + LEFT))
                 x = len(left) - at
                 at = np.flatnonzero((x >= 0) & (x <= LEFT))
                 size = len(at)
@@ -252,11 +276,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     whole = alike.where(F.col("again") & (F.col("one.l") + F.col("one.r") >= SPAN)).select(
         "gram", "ctx", F.col("one.l").cast("long").alias("a"), F.col("one.r").cast("long").alias("b"))
     kinds = alike.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    compare = materialize(alike.join(kinds, "gram").select("gram", "ctx", "kinds", "one.doc", "one.pos", "one.l", "one.r"), "compare")
-    around = materialize(surroundings(docs, compare).join(kinds, "gram"), "around")
-    few, many = around.where(F.col("kinds") <= SORTED_AT_ONCE), around.where(F.col("kinds") > SORTED_AT_ONCE)
-    reached = _sorted_reach(few.drop("kinds")).where("a + b > 0")
-    if not many.isEmpty():
+    compare = materialize(alike.join(kinds, "gram").select("gram", "ctx", "one.doc", "one.pos"), "compare")
+    around = surroundings(docs, compare)
+    large = materialize(kinds.where(F.col("kinds") > SORTED_AT_ONCE).select("gram"), "large")
+    n_large = large.count()
+    if n_large:  # few by nature: each has so many surroundings
+        around = materialize(around, "around")
+        many, around = around.join(bounded(large, n_large), "gram", "left_semi"), around.join(bounded(large, n_large), "gram", "left_anti")
+    reached = _sorted_reach(around).where("a + b > 0")
+    if n_large:
         reached = reached.union(_counted_reach(many))
     best = whole.union(reached).groupBy("gram", "ctx").agg(F.max("a").alias("a"), F.max("b").alias("b"))
     spans = found.join(best, ["gram", "ctx"]).select("doc", (F.col("pos") - F.col("a")).alias("s"), (F.col("pos") + F.col("b")).alias("e"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-SHALLOW = 64
+SHALLOW = 32
 _STEP = 8
 
 

@@ -70,7 +70,7 @@ def line_twin(rows):
                 # rows with the same id and text are one document
                 seen.setdefault(line.translate(cases.LOWER), set()).add((-1 if i is None else i, t, n))
     lines = list(seen)
-    sets = [frozenset(x[j:j + 6] for j in range(max(1, len(x) - 5))) for x in lines]
+    sets = [frozenset(x[j:j + 10] for j in range(max(1, len(x) - 9))) for x in lines]
     groups, members = cases.similar_groups(sets), {}
     for n, x in enumerate(lines):
         members.setdefault(groups.find(n), set()).update(seen[x])

@@ -12,7 +12,7 @@ import __spark_entry__ as E
 
 pytestmark = pytest.mark.skipif(os.environ.get("AUTOSCOPE_FULL_ORACLE") != "1",
                                 reason="set AUTOSCOPE_FULL_ORACLE=1 to run every oracle query")
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "embeddings", "benchmark"]
 
 
 def canon(cols, rows):

@@ -6,14 +6,16 @@ sketch, then by hash.  Two sets with Jaccard similarity t or more share at
 least l shingles within the first ``n - ceil(t * n) + l`` of each, for every
 l.  Each document picks its own l: a longer prefix costs more entries, but a
 pair needs min(l, l') common entries before it is verified, so documents full
-of frequent passages ask for many.  Every candidate is verified exactly on
-the whole shingle sets.
+of frequent passages ask for many.  Once both sizes n, n' are known, the pair's
+own least overlap o is, and only entries among the first ``n - o + l`` count.
+Every candidate is verified exactly on the whole shingle sets.
 
 Only components are needed, so no group of copies is expanded:
 
 * documents with equal sets are one class from the start;
 * per shingle, members are first paired with a few representatives only
-  (least and greatest under several hash orders);
+  (least and greatest under several hash orders), in two rounds, the second
+  between components that are still apart;
 * then pairs are formed only between members whose components still differ,
   with the match count applied, which makes the result exact.
 """
@@ -29,7 +31,8 @@ from pyspark.sql import functions as F
 from autoscope.session import materialize
 
 from . import shingles
-from .common import BROADCAST_ROWS, bounded
+from . import textbytes as tb
+from .common import BROADCAST_ROWS, bounded, named
 from .components import components
 
 THRESHOLD = (4, 5)
@@ -41,7 +44,7 @@ MATCHES = (1, 2, 4, 8, 16, 32, 64)
 #: entries a verified candidate is worth
 CANDIDATE_COST = 1.0
 #: hash orders under which a shingle's least and greatest member represent it
-ORDERS = 4
+ORDERS = 3
 
 
 def _long(a: np.ndarray) -> pa.Array:
@@ -59,15 +62,16 @@ def survey(docs: DataFrame) -> DataFrame:
         press = zstandard.ZstdCompressor(level=1)
 
         def counts():
-            bucket = (np.concatenate(held) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-            full = np.bincount(bucket, minlength=1 << SKETCH_BITS).astype(np.uint32)
-            n = len(full) // size
-            blobs = [press.compress(full[i * size:(i + 1) * size].tobytes()) for i in range(n)]
+            bucket = np.sort(np.concatenate(held) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+            n = 1 << (SKETCH_BITS - SEGMENT_BITS)
+            cut = np.searchsorted(bucket, np.arange(n + 1) * size)
+            blobs = [press.compress(np.bincount(bucket[cut[i]:cut[i + 1]] - i * size, minlength=size).astype(np.uint32).tobytes())
+                     for i in range(n)]
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(n, b.column("doc_id").type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
                  pa.array(np.arange(n), pa.int32()), pa.array(blobs, pa.binary())], ["doc_id", "n", "k", "seg", "counts"])
 
-        for b in batches:
+        for b in tb.slices(batches):
             sets, offs = shingles.column_sets(b.column("text"))
             n = np.diff(offs)
             k = shingles.set_keys(sets, offs)
@@ -76,7 +80,7 @@ def survey(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(n), pa.array(k.view(np.int64), mask=n == 0), pa.nulls(len(n), pa.int32()),
                  pa.nulls(len(n), pa.binary())], ["doc_id", "n", "k", "seg", "counts"])
-            if pending > 1 << 22:
+            if pending > 1 << 21:
                 yield counts()
                 held, pending = [], 0
         if pending:
@@ -86,8 +90,8 @@ def survey(docs: DataFrame) -> DataFrame:
 
 
 def sketch_levels(parts: DataFrame) -> np.ndarray:
-    """Level of each sketch bucket: 0 for counts near the mean load, then one
-    more for each doubling.  Summed in tasks by segment; what reaches the
+    """Level of each sketch bucket: 0 for counts within four deviations of the
+    mean load, then one more for each factor of sqrt(2).  Summed in tasks by segment; what reaches the
     driver is one byte per bucket, a fixed size."""
     size = 1 << SEGMENT_BITS
     segments = 1 << (SKETCH_BITS - SEGMENT_BITS)
@@ -112,14 +116,15 @@ def sketch_levels(parts: DataFrame) -> np.ndarray:
                 [pa.array([float(np.frombuffer(x.as_py(), np.int64).sum()) for x in b.column("counts")])], ["mass"])
 
     total = sums.mapInArrow(mass, "mass double").agg(F.sum("mass")).first()[0] or 0.0
-    light = 4.0 * total / (1 << SKETCH_BITS) + 4.0
+    mean = total / (1 << SKETCH_BITS)
+    light = mean + 4.0 * mean ** 0.5 + 1.0
 
     def grade(batches):
         for b in batches:
             out = []
             for x in b.column("counts"):
                 c = np.frombuffer(x.as_py(), np.int64)
-                level = np.where(c <= light, 0, 1 + np.log2(np.maximum(c, 1) / light))
+                level = np.where(c <= light, 0, 1 + 2 * np.log2(np.maximum(c, 1) / light))
                 out.append(zstandard.compress(level.astype(np.uint8).tobytes()))
             yield pa.RecordBatch.from_arrays([b.column("seg"), pa.array(out, pa.binary())], ["seg", "levels"])
 
@@ -140,8 +145,8 @@ def prefix(tokens: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, int]:
     n = len(tokens)
     order = np.lexsort((tokens, level))
     base = n - least_overlap(n)
-    # estimated other holders of each entry: 0 at level 0, doubling above
-    cost = np.cumsum(np.where(level[order] > 0, 2.0 ** level[order], 0.0))
+    # estimated other holders of each entry: none at level 0, doubling every second level
+    cost = np.cumsum(np.where(level[order] > 0, 2.0 ** (level[order] / 2), 0.0))
     best, price = 1, None
     for match in MATCHES:
         if match > 1 and (base + match > n or match > n // 10):
@@ -154,15 +159,15 @@ def prefix(tokens: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def entries(docs: DataFrame, levels, wanted=None) -> DataFrame:
-    """(token, k, n, match, level): the prefix entries of every document.
-    ``level`` is the smallest match count whose prefix holds the entry.
+    """(token, k, n, match, pos): the prefix entries of every document and
+    their places in the global order within it.
     ``wanted``: broadcast sorted tokens to keep, if given."""
 
     def run(batches):
         table = levels.value
         only = wanted.value if wanted is not None else None
         shift = np.uint64(64 - SKETCH_BITS)
-        for b in batches:
+        for b in tb.slices(batches):
             sets, offs = shingles.column_sets(b.column("text"))
             keys = shingles.set_keys(sets, offs)
             grade = table[(sets >> shift).astype(np.int64)]
@@ -174,7 +179,7 @@ def entries(docs: DataFrame, levels, wanted=None) -> DataFrame:
                 seen.add(int(keys[i]))
                 pick, asked = prefix(sets[s:e], grade[s:e])
                 chosen = sets[s:e][pick]
-                at = np.maximum(1, np.arange(len(pick)) - (e - s - least_overlap(e - s)) + 1)
+                at = np.arange(len(pick))
                 if only is not None:
                     there = np.searchsorted(only, chosen)
                     keep = only[np.minimum(there, len(only) - 1)] == chosen if len(only) else np.zeros(len(chosen), bool)
@@ -188,9 +193,9 @@ def entries(docs: DataFrame, levels, wanted=None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [_long(np.concatenate(token)), _long(np.concatenate(key)), pa.array(np.concatenate(size), pa.int32()),
                      pa.array(np.concatenate(match), pa.int32()), pa.array(np.concatenate(place), pa.int32())],
-                    ["token", "k", "n", "match", "level"])
+                    ["token", "k", "n", "match", "pos"])
 
-    return docs.select("text").mapInArrow(run, "token long, k long, n int, match int, level int")
+    return docs.select("text").mapInArrow(run, "token long, k long, n int, match int, pos int")
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -200,11 +205,11 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     few = None
     if n <= BROADCAST_ROWS:
-        few = spark.sparkContext.broadcast(np.sort(np.array(keys.toPandas()["k"], np.int64)))
+        few = spark.sparkContext.broadcast(np.sort(keys.toArrow()["k"].to_numpy()))
 
     def texts(batches):
         seen = set()
-        for b in batches:
+        for b in tb.slices(batches):
             sets, offs = shingles.column_sets(b.column("text"))
             k = shingles.set_keys(sets, offs).view(np.int64)
             keep = np.diff(offs) > 0
@@ -225,7 +230,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def check(batches):
         a, b = THRESHOLD
-        for batch in batches:
+        for batch in tb.slices(batches, 256):
             (x, xo), (y, yo) = shingles.column_sets(batch.column("ta")), shingles.column_sets(batch.column("tb"))
             keep = []
             for i in range(batch.num_rows):
@@ -247,10 +252,15 @@ def _sizes_fit(x: str, y: str) -> F.Column:
 
 
 def _enough(pairs: DataFrame) -> DataFrame:
-    """Pairs that share as many entries as the less demanding of the two asks."""
-    return (pairs.where((F.col("level_a") <= F.least("match_a", "match_b")) & (F.col("level_b") <= F.least("match_a", "match_b"))
+    """Pairs that share as many entries as the less demanding of the two asks,
+    among the entries that count for sets of their sizes."""
+    a, b = THRESHOLD
+    both = F.col("n_a") + F.col("n_b")
+    overlap = F.ceil(both * a / (a + b) - 1e-9)
+    asked = F.least("match_a", "match_b")
+    return (pairs.where((F.col("pos_a") < F.col("n_a") - overlap + asked) & (F.col("pos_b") < F.col("n_b") - overlap + asked)
                         & _sizes_fit("n_a", "n_b"))
-            .groupBy("a", "b").agg(F.count("*").alias("shared"), F.first(F.least("match_a", "match_b")).alias("asked"))
+            .groupBy("a", "b").agg(F.count("*").alias("shared"), F.first(asked).alias("asked"))
             .where("shared >= asked").select("a", "b"))
 
 
@@ -266,40 +276,53 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     levels = spark.sparkContext.broadcast(sketch_levels(parts))
     info = parts.where("seg is null").select("doc_id", "n", "k")
 
-    order = [F.xxhash64("k", F.lit(i)) for i in range(1, ORDERS)]
     shared = materialize(entries(docs, levels).select("token", "k").groupBy("token")
                          .agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo < hi").select("token"), "tokens")
     if shared.count() <= BROADCAST_ROWS:
-        wanted = spark.sparkContext.broadcast(np.sort(np.array(shared.toPandas()["token"], np.int64).view(np.uint64)))
-        kept = entries(docs, levels, wanted)
+        wanted = spark.sparkContext.broadcast(np.sort(shared.toArrow()["token"].to_numpy().view(np.uint64)))
+        members = materialize(entries(docs, levels, wanted).distinct(), "members")
+        wanted.unpersist()
     else:
-        kept = entries(docs, levels).join(shared, "token", "left_semi")
-    members = materialize(kept.distinct(), "members")
+        members = materialize(entries(docs, levels).join(shared, "token", "left_semi").distinct(), "members")
+    levels.unpersist()
 
-    reps = members.groupBy("token").agg(
-        *[f(F.struct(o.alias("o"), "k", "n", "match", "level")).alias(f"r{i}{j}")
-          for i, o in enumerate([F.col("k"), *order]) for j, f in enumerate((F.min, F.max))])
-    listed = reps.select("token", F.explode(F.array_distinct(F.array(*[
-        F.struct(F.col(f"{c}.k"), F.col(f"{c}.n"), F.col(f"{c}.match"), F.col(f"{c}.level"))
-        for c in reps.columns if c != "token"]))).alias("r")).select("token", "r.*")
     # a representative may differ between shingles, so a pair's count here is
-    # a lower bound; pairs that it hides are formed in the second step
-    first = materialize(_enough(_sides(members, "a").join(_sides(listed, "b"), "token").where("a <> b")
-                                .withColumns({"p": F.least("a", "b"), "q": F.greatest("a", "b")})
-                                .dropDuplicates(["token", "p", "q"]).drop("p", "q"))
-                        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    # a lower bound; pairs that this hides are formed in the last step
+    first = materialize(_with_representatives(members, 0), "pairs")
     links = materialize(verified(docs, first), "links")
-    comp = components(links)
+    again = _apart(members, components(links))
+    second = materialize(_with_representatives(again, ORDERS).join(first, ["a", "b"], "left_anti"), "pairs")
+    links = materialize(links.union(verified(docs, second)), "links")
+    rest = _apart(again.drop("c"), components(links))
+    pairs = _sides(rest, "a").join(_sides(rest, "b"), "token").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")))
+    third = materialize(_enough(pairs).join(first.union(second), ["a", "b"], "left_anti"), "pairs")
+    return info, components(materialize(links.union(verified(docs, third)), "links"))
+
+
+def _with_representatives(members: DataFrame, seed: int) -> DataFrame:
+    """Candidate pairs (a < b) of members of a shingle and its least and
+    greatest members under ``ORDERS`` hash orders; if components ``c`` are
+    given, only pairs across them."""
+    columns = [c for c in members.columns if c != "token"]
+    orders = [F.xxhash64("k", F.lit(seed + i)) for i in range(ORDERS)]
+    reps = members.groupBy("token").agg(*[f(F.struct(o.alias("o"), *columns)).alias(f"r{i}{j}")
+                                          for i, o in enumerate(orders) for j, f in enumerate((F.min, F.max))])
+    listed = reps.select("token", F.explode(F.array_distinct(F.array(*[
+        F.struct(*[F.col(f"{r}.{c}") for c in columns]) for r in reps.columns if r != "token"]))).alias("r")).select("token", "r.*")
+    pairs = _sides(members, "a").join(_sides(listed, "b"), "token").where("a <> b")
+    if "c" in columns:
+        pairs = pairs.where("c_a <> c_b")
+    once = pairs.withColumns({"p": F.least("a", "b"), "q": F.greatest("a", "b")}).dropDuplicates(["token", "p", "q"]).drop("p", "q")
+    return _enough(once).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
 
+def _apart(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members of shingles that are in more than one component, with their
+    component c."""
     labelled = materialize(members.join(comp.withColumnRenamed("node", "k"), "k", "left")
                            .withColumn("c", F.coalesce("component", "k")).drop("component"), "labelled")
     split = labelled.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("token")
-    rest = labelled.join(split, "token", "left_semi")
-    second = (_sides(rest, "a").join(_sides(rest, "b"), "token")
-              .where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b"))))
-    second = materialize(_enough(second).join(first, ["a", "b"], "left_anti"), "pairs")
-    more = verified(docs, second)
-    return info, components(materialize(links.union(more), "links"))
+    return labelled.join(split, "token", "left_semi")
 
 
 def op1(docs: DataFrame) -> DataFrame:
@@ -323,11 +346,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     an id stay."""
     found = materialize(op1(docs), "near")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(bounded(gone), "doc_id", "left_anti").select(docs.columns)
+    kept = docs.join(bounded(gone), "doc_id", "left_anti").select(named(docs))
     again = materialize(found.where("doc_id = component_id and n_shingles > 0").groupBy("doc_id").count()
                         .where("count > 1").select("doc_id"), "repeated")
     n = again.count()
     if not n:
         return kept
-    once = kept.join(bounded(again, n), "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
-    return kept.join(bounded(again, n), "doc_id", "left_anti").select(docs.columns).unionByName(once)
+    once = kept.join(bounded(again, n), "doc_id", "left_semi").select(named(docs)).dropDuplicates(["doc_id"])
+    return kept.join(bounded(again, n), "doc_id", "left_anti").select(named(docs)).unionByName(once)

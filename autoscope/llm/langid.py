@@ -86,13 +86,8 @@ class Vocabulary:
         return found
 
 
-_vocabularies: dict[str, Vocabulary] = {}
-
-
 def vocabulary(path: str) -> Vocabulary:
-    if path not in _vocabularies:
-        _vocabularies[path] = Vocabulary(path)
-    return _vocabularies[path]
+    return tb.held("langid", path, lambda: Vocabulary(path))
 
 
 def letter_words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -289,7 +284,7 @@ def score_column(model: Model, column: pa.Array) -> tuple[list[str], list[float]
     if not model.languages:
         return [UNKNOWN] * count, [0.0] * count
     voc = vocabulary(model.vocabulary)
-    cache = tb.word_cache(model.key, CACHE_BITS, len(model.languages))
+    cache = tb.held("langid", model.key, lambda: tb.WordCache(CACHE_BITS, len(model.languages)))
     total = np.zeros((count, len(model.languages)))
     n_words = np.zeros(count, np.int64)
     for lo, hi, buf, starts, ends, bounds in letter_words(column):
@@ -335,7 +330,7 @@ def predict(docs: DataFrame, model: Model, pass_through: list[str]) -> DataFrame
                        enumerate(docs.select(*pass_through).schema.fields))
 
     def run(batches):
-        for b in batches:
+        for b in tb.slices(batches):
             lang, score = score_column(shared.value, b.column("t"))
             kept = [b.column(f"p{i}") for i in range(len(pass_through))]
             yield pa.RecordBatch.from_arrays(
@@ -361,7 +356,7 @@ def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     text = docs.columns.index("text")
 
     def run(batches):
-        for b in batches:
+        for b in tb.slices(batches):
             lang, score = score_column(shared.value, b.column(text))
             keep = [k != UNKNOWN and s >= least for k, s in zip(lang, score)]
             yield b.filter(pa.array(keep, pa.bool_()))

@@ -35,7 +35,7 @@ class Encoder:
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.vocab = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.uint16 if self.vocab <= 1 << 16 else np.uint32
-        self.path = path
+        self.cache = tb.WordCache(CACHE_BITS, HELD + 1, self.dtype)
         self.fence_id, = self.tokenizer.encode(FENCE, add_special_tokens=False).ids
 
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +98,7 @@ class Encoder:
         if not len(starts):
             return np.zeros(0, self.dtype), np.zeros(len(rows) - 1, np.int64)
         h = tb.mix(tb.span_hashes(tb.prefix_sums(buf), starts, ends))
-        held = tb.word_cache(self.path, CACHE_BITS, HELD + 1, self.dtype).get(h, encode)
+        held = self.cache.get(h, encode)
         n = held[:, 0].astype(np.int64)
         long_words = np.flatnonzero(n > HELD)
         for i in long_words.tolist():
@@ -139,10 +139,5 @@ def split_stops(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
     return np.insert(starts, at + 1, inner), np.insert(ends, at, inner)
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return tb.held("subwords", path, lambda: Encoder(path))

@@ -8,6 +8,7 @@ time (a single longer document is handled alone).
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,11 @@ NOT_SPACE = byte_class(lambda b: b != 0x20 and not 0x09 <= b <= 0x0D)
 #: lower-case ASCII letters and every byte of a non-ASCII character
 LETTERISH = byte_class(lambda b: 97 <= b <= 122 or b >= 128)
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _trim = None
+
 _rng = np.random.Generator(np.random.PCG64(20240607))
 BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _P = 0x9E3779B97F4A7C15 | 1
@@ -85,10 +91,16 @@ def arrow_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(batches, rows: int = 1024):
     """Record batches of at most ``rows`` rows, so that what a task makes
-    from one stays small."""
-    for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+    from one stays small.  At the end freed memory goes back to the system:
+    workers live on beside the executor's heap."""
+    try:
+        for b in batches:
+            for at in range(0, b.num_rows, rows):
+                yield b.slice(at, rows)
+    finally:
+        pa.default_memory_pool().release_unused()
+        if _trim is not None:
+            _trim(0)
 
 
 def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -162,13 +174,17 @@ class WordCache:
         return out
 
 
-_caches: dict[str, WordCache] = {}
+_held: dict[str, dict] = {}
 
 
-def word_cache(key: str, bits: int, width: int, dtype=np.float64) -> WordCache:
-    """The worker's cache of this name.  A worker that goes on to another
-    operator drops the one before, so memory holds one at a time."""
-    if key not in _caches:
-        _caches.clear()
-        _caches[key] = WordCache(bits, width, dtype)
-    return _caches[key]
+def held(owner: str, key: str, make):
+    """A large object that a worker keeps between tasks: a vocabulary, a
+    tokenizer, a word cache.  A worker that goes on to another owner's work
+    drops what it held before."""
+    if owner not in _held:
+        _held.clear()
+        _held[owner] = {}
+    kept = _held[owner]
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

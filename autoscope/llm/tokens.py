@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from autoscope.session import scratch_path
 
 from . import subwords, wavelet
+from . import textbytes as tb
 
 END_ID = 1
 SHARD_TOKENS = 1 << 20
@@ -54,7 +55,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, shard
             keys, parts, lengths, held, shard = [], [], [], 0, shard + 1
             return row
 
-        for b in batches:
+        for b in tb.slices(batches):
             ids, offs = enc.column(b.column("text"))
             ids = np.insert(ids, offs[1:], enc.dtype(end_id))
             n = np.diff(offs) + 1
@@ -84,7 +85,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     before it in its shard), n_tokens, ids_crc32."""
 
     def run(batches):
-        for b in batches:
+        for b in tb.slices(batches, 1):
             for part, shard, image in zip(b.column("part").to_pylist(), b.column("shard").to_pylist(), b.column("image")):
                 matrix, keys, lengths = wavelet.read_image(image.as_py())
                 ids = matrix.tokens().astype("<u4")

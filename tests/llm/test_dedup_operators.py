@@ -4,6 +4,7 @@ import os
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import cases
@@ -89,6 +90,37 @@ def test_line_dedup(spark):
     assert got == line_twin(cases.texts())
 
 
+def test_line_dedup_links_an_ordinary_line_with_one_character_changed(spark):
+    """69 characters: 64 runs of six, of which the change touches six, so the
+    similarity is 58 / 70; runs of ten would give 50 / 70."""
+    line = "Every seventh boat on the river carries salt, timber or wool to town."
+    assert len(line) == 69
+    rows = [(1, line + "\nfirst", "en", "a"), (2, "second\n" + line.replace("salt", "sald"), "en", "a")]
+    got = {r.doc_id: (r.n_lines, r.n_removed) for r in line_dedup.op4(cases.frame(spark, rows)).collect()}
+    assert got == {1: (2, 0), 2: (2, 1)}
+
+
+def test_no_similar_lines_fail_the_bound(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(400):
+        a = rng.choice(np.frombuffer(b"abcdefgh ", np.uint8), int(rng.integers(1, 900)))
+        b = a.copy()
+        for _ in range(int(rng.integers(0, 2 + len(a) // 60))):
+            b[rng.integers(len(b))] = 120
+        texts = [bytes(x[:max(1, int(len(x) * rng.choice([1, 1, 1, 0.9, 0.6])))]).decode() for x in (a, b)]
+        lines = next(line_dedup.chunk_lines(pa.array(texts)))
+        par = line_dedup.bands(lines, np.arange(2))[1].tolist()
+        p, q = line_dedup.line_sets(pa.array(texts))
+        both = len(np.intersect1d(p, q))
+        rows.append((i, 5 * both >= 4 * (len(p) + len(q) - both), *par))
+    names = ["n", *line_dedup._PARITY]
+    side = "struct<" + ", ".join(f"{c}: long" for c in names) + ">"
+    listed = spark.createDataFrame([(i, s, tuple(p), tuple(q)) for i, s, p, q in rows], f"i int, similar boolean, x {side}, y {side}")
+    got = listed.select("similar", line_dedup.may_be_similar("x", "y").alias("may")).collect()
+    assert sum(r.similar for r in got) > 50 and all(r.may for r in got if r.similar) and not all(r.may for r in got)
+
+
 def suffix_twin(rows):
     raw = [(t or "").encode() for _, t, *_ in rows]
     seen = Counter(b[k:k + 200] for b in raw for k in range(len(b) - 199))

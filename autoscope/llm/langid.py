@@ -287,9 +287,13 @@ def score_column(model: Model, column: pa.Array) -> tuple[list[str], list[float]
     cache = tb.held("langid", model.key, lambda: tb.WordCache(CACHE_BITS, len(model.languages)))
     total = np.zeros((count, len(model.languages)))
     n_words = np.zeros(count, np.int64)
+    ascii_letter = np.zeros(count, bool)
     for lo, hi, buf, starts, ends, bounds in letter_words(column):
         if not len(starts):
             continue
+        letters = np.r_[0, np.cumsum((buf >= 97) & (buf <= 122))]
+        in_words = np.r_[0, np.cumsum(letters[ends] > letters[starts])]
+        ascii_letter[lo:hi] = in_words[bounds[1:]] > in_words[bounds[:-1]]
 
         def word_logs(first: np.ndarray) -> np.ndarray:
             logs = np.empty((len(first), len(model.languages)))
@@ -308,8 +312,8 @@ def score_column(model: Model, column: pa.Array) -> tuple[list[str], list[float]
     score = odds.max(axis=1) / odds.sum(axis=1)
     lang, out = [], []
     for i in range(count):
-        text = column[i].as_py() if n_words[i] < 4 else None
-        if n_words[i] == 0 or (text is not None and not _LETTER.search(text)):
+        # a run of non-ASCII bytes may be symbols only
+        if n_words[i] == 0 or not (ascii_letter[i] or _LETTER.search(column[i].as_py())):
             lang.append(UNKNOWN)
             out.append(0.0)
         else:

@@ -51,6 +51,18 @@ def test_language_id_without_labels(spark):
     assert (got.lang_pred, got.score) == ("und", 0.0)
 
 
+def test_texts_without_a_letter_have_no_language():
+    """However many symbols they hold; one letter of any script is enough."""
+    none = ["12 — 34 — 56 — 78 — 90", "😀 😂 🎉 👍 🚀 " * 40, "• 1 • 2 • 3 • 4", "“ ” ‘ ’ « »", "€ 5 £ 6 ¥ 7 ₹ 8", "٣ ٤ ٥ ٦ ٧ ٨", "— — — — 5\n– – – –"]
+    some = ["— — — — — a", "A — — — — —", "• • • • • é", "• • • • • 語", "٣ ٤ ٥ ٦ ب ٧"]
+    path = langid.default_vocabulary()
+    prob = [langid.train_pieces(langid.vocabulary(path), [x]) for x in ("the sun and the sea", "der Tag und die schöne Nacht")]
+    model = langid.Model(["de", "en"], np.ascontiguousarray(np.array(prob[::-1]).T), path)
+    lang, score = langid.score_column(model, pa.array([x for pair in zip(none, some + some) for x in pair] + [None, ""]))
+    assert lang[0::2] == ["und"] * 8 and score[0::2] == [0.0] * 8 and lang[-1] == "und"
+    assert all(x != "und" for x in lang[1:14:2]) and all(x > 0 for x in score[1:14:2])
+
+
 def base_twin(t):
     t = t or ""
     out = [(m.start(), m.end(), 0) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]

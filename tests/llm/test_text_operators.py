@@ -214,6 +214,13 @@ def test_model_is_a_distribution_and_learns():
     assert math.isclose(net.log_probs(text, np.array([0, len(text)]))[0], direct, rel_tol=1e-4)
 
 
+def test_the_224_most_frequent_ids_have_classes_of_their_own():
+    counts = np.arange(2000, 0, -1)
+    voc = attention.Vocabulary.of(counts)
+    assert voc.classes == 256
+    assert (np.bincount(voc.to_class)[voc.to_class[:224]] == 1).all() and (voc.log_within[:224] == 0).all()
+
+
 def test_subword_ids_equal_the_tokenizers():
     enc = subwords.encoder(subwords.default_tokenizer())
     rng = random.Random(5)

@@ -1,7 +1,9 @@
 """Deep-shallow sorting of byte strings in groups.
 
-Shallow: multikey quicksort, eight bytes a step and all groups at once, down
-to ``SHALLOW`` bytes.  Deep: strings that still agree are ordered by a blind
+Shallow: a library sort by words of eight bytes, all groups at once, down to
+``SHALLOW`` bytes.  It stands in for the multikey quicksort of the usual
+method: numpy sorts whole columns, a three-way partition would be a Python
+loop.  The order is the same.  Deep: strings that still agree are ordered by a blind
 trie, whose nodes hold only the depth at which strings part and the byte that
 each part has there; one comparison with a leaf finds a string's place.
 """

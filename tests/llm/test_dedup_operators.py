@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 import cases
-from autoscope.llm import components, jaccard_join, line_dedup, suffix_dedup, suffix_sort
+from autoscope.llm import common, components, jaccard_join, line_dedup, suffix_dedup, suffix_sort
 
 
 def jaccard_twin(rows):
@@ -154,6 +154,17 @@ def test_suffix_dedup(spark, monkeypatch, sorted_at_once):
     assert suffix_got(suffix_dedup.op6(cases.frame(spark, rows))) == suffix_twin(rows)
 
 
+def test_line_and_suffix_dedup_beyond_the_broadcast_bounds(spark, monkeypatch):
+    """The shuffled ways, taken beyond the bounds, give the same."""
+    for module in (common, line_dedup, suffix_dedup):
+        monkeypatch.setattr(module, "BROADCAST_ROWS", 0, raising=False)
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_PLACES", 0)
+    rows = small(cases.texts())
+    assert suffix_got(suffix_dedup.op6(cases.frame(spark, rows))) == suffix_twin(rows)
+    got = sorted((str(r.doc_id), r.n_lines, r.n_removed, r.kept_sha256) for r in line_dedup.op4(cases.frame(spark)).collect())
+    assert got == line_twin(cases.texts())
+
+
 def test_anchors_cover_every_window():
     rng = np.random.default_rng(3)
     for text in (rng.integers(97, 123, 3000), np.tile(rng.integers(97, 123, 7), 300), np.full(700, 97)):

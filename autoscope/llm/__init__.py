@@ -1,5 +1,5 @@
-"""Operations of a training-data pipeline: ten operators on ``documents``,
-``benchmark`` and ``embeddings`` tables, each re-usable on its own.
+"""Operations of a training-data pipeline: thirteen operators on ``documents``,
+``benchmark``, ``embeddings`` and ``pages`` tables, each re-usable on its own.
 
 Nothing else in the library imports this subpackage.
 """

@@ -10,7 +10,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, langid, line_dedup, lm_scoring, mixing, pii, suffix_dedup, tokens, topk
+from . import (
+    decontaminate,
+    divergence,
+    jaccard_join,
+    langid,
+    line_dedup,
+    lm_scoring,
+    mixing,
+    pii,
+    resample,
+    suffix_dedup,
+    tokens,
+    topk,
+    url_cascade,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +90,27 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.op4(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_cascade.op11(table(spark, sf_dir, "pages"))
+
+
+ORACLE["op11_url_filters"] = url_cascade.ORACLE
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.op12(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op12_importance_resampling"] = resample.ORACLE
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.op13(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_source_divergence"] = divergence.ORACLE

@@ -34,6 +34,11 @@ SCALE_STEPS = 3  # shares are in 1000 ** 3 parts
 SPILL_ENTRIES = 150_000
 #: sources of a language whose pairs are summed in one pass (8 MB a task)
 TILE = 1024
+#: cells of pair sums that a task holds over all languages
+HELD_CELLS = 1 << 21
+#: counts of kept stripes that one task emits from: a task gives a row for
+#: every pair of sources, so tasks must not be many for few stripes
+EMIT_ENTRIES = 250_000
 #: cells of the (term, source) block that is worked on at a time
 CELLS = 1 << 19
 #: ASCII letters (lower-cased) and every byte of a non-ASCII character
@@ -189,9 +194,11 @@ class _Lang:
 
 
 def _emitter(groups: dict[str, dict[str, int]], terms: dict[str, int], tile: tuple[int, int], width: int):
-    """Task function: kept stripes (those of a language near each other) to divergences."""
+    """Task function: kept stripes (those of a language near each other) to
+    divergences, one row a pair of sources and task unless languages have so
+    many that ``HELD_CELLS`` is not enough for those of a task."""
     def emit(batches):
-        now = None
+        open_langs: dict[str, _Lang] = {}
         for batch in tb.slices(batches, 4096):
             lang, term = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             lists = batch.column(2)
@@ -200,10 +207,14 @@ def _emitter(groups: dict[str, dict[str, int]], terms: dict[str, int], tile: tup
             source, n = entries.field("source").to_pylist(), entries.field("n").to_numpy()
             at = 0
             while at < len(lang):
-                if now is None or now.name != lang[at]:
-                    if now is not None:
-                        yield from now.rows()
+                now = open_langs.get(lang[at])
+                if now is None:
                     now = _Lang(lang[at], groups[lang[at]], terms[lang[at]], tile, width)
+                    if now.pairs.size + sum(x.pairs.size for x in open_langs.values()) > HELD_CELLS:
+                        for x in open_langs.values():
+                            yield from x.rows()
+                        open_langs.clear()
+                    open_langs[now.name] = now
                 end = at + 1
                 while end < len(lang) and lang[end] == now.name:
                     end += 1
@@ -211,8 +222,8 @@ def _emitter(groups: dict[str, dict[str, int]], terms: dict[str, int], tile: tup
                 who = np.array([now.place[s] for s in source[part]], np.int64)
                 now.add(term[at:end], offsets[at:end + 1] - offsets[at], who, n[part])
                 at = end
-        if now is not None:
-            yield from now.rows()
+        for x in open_langs.values():
+            yield from x.rows()
 
     return emit
 
@@ -239,7 +250,8 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, spill: int
     groups: dict[str, dict[str, int]] = {}
     for r in found.join(sums, ["lang", "source"], "left").orderBy("lang", "source").toLocalIterator():
         groups.setdefault(r["lang"], {})[r["source"]] = r["n"] or 0
-    terms = {r["lang"]: r["n"] for r in kept.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = kept.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.size("counts")).alias("entries")).collect()
+    terms, tasks = {r["lang"]: r["n"] for r in sizes}, -(-sum(r["entries"] for r in sizes) // EMIT_ENTRIES)
     tiles = -(-max(map(len, groups.values()), default=0) // tile)
     schema = "lang string, source string, part string, item string, value long"
     g, h = found.alias("g"), found.alias("h")
@@ -247,7 +259,7 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, spill: int
         "g.lang", "g.source", F.lit("pair").alias("part"), F.col("h.source").alias("item"), F.lit(0).cast("long").alias("value"))
     for a in range(tiles):  # one pass, but for languages of more than ``tile`` sources
         for b in range(tiles):
-            parts = parts.union(kept.mapInArrow(_emitter(groups, terms, (a, b), tile), schema))
+            parts = parts.union(kept.coalesce(max(1, tasks)).mapInArrow(_emitter(groups, terms, (a, b), tile), schema))
     order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
     ranked = parts.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value")).withColumn("rank", F.row_number().over(order))
     return ranked.where((F.col("part") == "pair") | (F.col("rank") <= min(top, TOP)))

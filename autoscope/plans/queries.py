@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from autoscope.functions import clean as C
 from autoscope.operators import enrich, impute, profile, stats
 from autoscope.operators.features import NUMERIC_FEATURES
+from autoscope.plans import linear_sql
 from autoscope.plans import listings as L
 from autoscope.plans.oracle import rule, with_listings
 from autoscope.sources import testdata
@@ -614,16 +615,15 @@ def q_scaled_rows(spark, d):
 
 
 # ---------------------------------------------------------------------------
-# One-feature ridge / GLR, checkable in closed form
-# (normal-equation solver; penalty on standardised coefficients with the
-# label standardised: slope = corr / (1 + lambda / sd_y) * sd_y / sd_x,
-# population standard deviations)
+# M1-M11, N1, N2, A6 on the full feature vector.  Train / test is the
+# layout-independent hash split (80/20), folds another hash of the key.  The
+# linear models are solved again in SQL (``plans.linear_sql``).
 # ---------------------------------------------------------------------------
-SIG = "%.6e"  # model outputs compared at 7 significant digits
+SIG = "%.4e"  # model outputs compared at 5 significant digits
 
 
 def sig(col, alias: str):
-    """A double rounded to 7 significant digits."""
+    """A double rounded to 5 significant digits."""
     return F.format_string(SIG, col).cast("double").alias(alias)
 
 
@@ -631,53 +631,64 @@ def sig_sql(x: str) -> str:
     return f"CAST(printf('{SIG}', {x}) AS DOUBLE)"
 
 
-def _one_feature(spark, d, part: str | None = None):
-    """Complete-case rows with a label: ``(listing_key, features=[horsepower], label=price)``."""
-    from autoscope.operators import features as FE
-    from autoscope.operators.split import with_split_label
-    imp = profile.complete_cases(_imputed(spark, d), COMPLETE_CASE_COLUMNS).filter(F.col("price").isNotNull())
-    if part is not None:
-        imp = with_split_label(imp, "listing_key", [0.8, 0.2], ["train", "test"]).filter(F.col("split") == part)
-    asm = FE.assemble(imp.select("listing_key", "horsepower", "price"), ["horsepower"])
-    return asm.select("listing_key", "horsepower", "features", F.col("price").alias("label"))
+FOLDS = linear_sql.FOLDS
+FOLD_SQL = f"('0x' || substr(md5(coalesce(listing_key, '') || ':fold'), 1, 8))::BIGINT % {FOLDS}"
+_DESIGN = linear_sql.design(_ENC_CTES, _ENC_JOIN, _COMPLETE_WHERE,
+                            f"CASE WHEN {HASH32_SQL} < {TRAIN_BOUND} THEN 'train' ELSE 'test' END", FOLD_SQL)
+_TRAIN, _TEST = "split = 'train'", "split = 'test'"
 
 
-_ONE_DATA = ("SELECT listing_key, horsepower AS x, price AS y, "
-             f"CASE WHEN {HASH32_SQL} < {TRAIN_BOUND} THEN 'train' ELSE 'test' END AS split "
-             f"FROM ({_GROUP_FILL_SQL}) imp WHERE {_COMPLETE_WHERE.replace('imp.', '')} AND price IS NOT NULL")
+def _linear(select: str, penalties: list[float], rows: str = "true", folds: bool = False, more: str = "") -> str:
+    """SQL over the solved models; the elimination is a recursive CTE."""
+    return with_listings(select, f"{_DESIGN}, {linear_sql.solve(penalties, rows, folds)}{more}").replace("WITH ", "WITH RECURSIVE ", 1)
 
 
-def _closed_form(lam: float, where: str = "") -> str:
-    return (f"SELECT corr(x, y) / (1 + {lam} / stddev_pop(y)) * stddev_pop(y) / stddev_pop(x) AS slope, "
-            f"avg(y) - corr(x, y) / (1 + {lam} / stddev_pop(y)) * stddev_pop(y) / stddev_pop(x) * avg(x) AS intercept "
-            f"FROM one {where}")
+def _xy(spark, d):
+    """P3 output with split and fold: ``(listing_key, features, label, split,
+    fold)``, written once per application as the features job writes it."""
+    from autoscope.operators.split import hash32, with_split_label
 
+    def build():
+        _, asm = _assembled(spark, d)
+        xy = asm.filter(F.col("price").isNotNull()).select("listing_key", "features", F.col("price").alias("label"))
+        fold = hash32(F.concat(F.coalesce("listing_key", F.lit("")), F.lit(":fold"))) % FOLDS
+        return with_split_label(xy, "listing_key", [0.8, 0.2], ["train", "test"]).withColumn("fold", fold.cast("int"))
 
-_TRAIN = "WHERE split = 'train'"
+    return testdata.landed(spark, d, "xy", build)
 
 
-def _fit_sql(lam: float) -> str:
-    return with_listings(
-        f"SELECT 'horsepower' AS term, {sig_sql('slope')} AS value FROM cf "
-        f"UNION ALL SELECT 'intercept', {sig_sql('intercept')} FROM cf",
-        f"one AS ({_ONE_DATA}), cf AS ({_closed_form(lam)})")
+def _train_test(spark, d):
+    xy = _xy(spark, d)
+    return xy.filter(F.col("split") == "train"), xy.filter(F.col("split") == "test")
+
+
+def _scores(model, test):
+    from autoscope.operators.evaluate import regression_metrics
+    return regression_metrics(model.transform(test))
 
 
-def _coef_rows(spark, model):
-    from autoscope.operators.models import coefficients
-    return coefficients(spark, model, ["horsepower"]).select("term", sig(F.col("value"), "value"))
+_TERM_ROWS = f"SELECT term, {sig_sql('value')} AS value FROM terms"
 
 
-@register("ridge_fit", _fit_sql(0.1))
+def _coef_rows(spark, model, xy):
+    from autoscope.operators.models import coefficients, feature_names
+    return coefficients(spark, model, feature_names(xy)).select("term", sig(F.col("value"), "value"))
+
+
+@register("ridge_fit", _linear(_TERM_ROWS, [0.1], more=f", {linear_sql.TERMS}"))
 def q_ridge_fit(spark, d):
+    """M1, M3: ridge on the whole feature vector; its weights by name."""
     from autoscope.operators.models import ridge
-    return _coef_rows(spark, ridge().fit(_one_feature(spark, d)))
+    xy = _xy(spark, d)
+    return _coef_rows(spark, ridge().fit(xy), xy)
 
 
-@register("glr_fit", _fit_sql(0.2))
+@register("glr_fit", _linear(_TERM_ROWS, [0.2], more=f", {linear_sql.TERMS}"))
 def q_glr_fit(spark, d):
+    """M5, M3: gaussian GLR on the whole feature vector."""
     from autoscope.operators.models import glr
-    return _coef_rows(spark, glr(reg_param=0.2).fit(_one_feature(spark, d)))
+    xy = _xy(spark, d)
+    return _coef_rows(spark, glr(reg_param=0.2).fit(xy), xy)
 
 
 def _metrics_sql(pred_from: str, with_n: bool = True) -> str:
@@ -693,82 +704,77 @@ def _metric_cols(df):
     return df.select("n", *[sig(F.col(c), c) for c in ["r2", "rmse", "mae", "explained_variance"]])
 
 
-@register("fit_summary", with_listings(
-    _metrics_sql("pred", with_n=False),
-    f"one AS ({_ONE_DATA}), cf AS ({_closed_form(0.1)}), "
-    "pred AS (SELECT y, slope * x + intercept AS p FROM one, cf)"))
+@register("fit_summary", _linear(f"SELECT CAST(0 AS BIGINT) AS iterations, s.* FROM ({_metrics_sql('pred', with_n=False)}) s", [0.1],
+                                 more=f", {linear_sql.predicted('true')}"))
 def q_fit_summary(spark, d):
-    """M2: the ridge model's training summary (R^2, RMSE, MAE, explained variance)."""
+    """M2: the ridge model's training summary; the normal equations are solved
+    without iterations."""
     from autoscope.operators.models import ridge, training_summary
-    s = training_summary(spark, ridge().fit(_one_feature(spark, d)))
-    return s.select(*[sig(F.col(c), c) for c in ["r2", "rmse", "mae", "explained_variance"]])
+    s = training_summary(spark, ridge().fit(_xy(spark, d)))
+    return s.select("iterations", *[sig(F.col(c), c) for c in ["r2", "rmse", "mae", "explained_variance"]])
 
 
-@register("eval_metrics", with_listings(
-    _metrics_sql("pred"),
-    f"one AS ({_ONE_DATA}), cf AS ({_closed_form(0.1, _TRAIN)}), "
-    "pred AS (SELECT y, slope * x + intercept AS p FROM one, cf WHERE split = 'test')"))
+@register("eval_metrics", _linear(_metrics_sql("pred"), [0.1], _TRAIN, more=f", {linear_sql.predicted(_TEST)}"))
 def q_eval_metrics(spark, d):
     """Fit on the train part, score the test part, all metrics in one pass."""
-    from autoscope.operators.evaluate import regression_metrics
     from autoscope.operators.models import ridge
-    model = ridge().fit(_one_feature(spark, d, "train"))
-    return _metric_cols(regression_metrics(model.transform(_one_feature(spark, d, "test"))))
+    train, test = _train_test(spark, d)
+    return _metric_cols(_scores(ridge().fit(train), test))
 
 
-@register("predict_ridge", with_listings(
-    f"SELECT listing_key, {sig_sql('slope * x + intercept')} AS prediction FROM one, cf WHERE split = 'test'",
-    f"one AS ({_ONE_DATA}), cf AS ({_closed_form(0.1, _TRAIN)})"))
+@register("predict_ridge", _linear(f"SELECT listing_key, {sig_sql('p')} AS prediction FROM pred", [0.1], _TRAIN,
+                                   more=f", {linear_sql.predicted(_TEST)}"))
 def q_predict_ridge(spark, d):
     """M4: batch scoring of the test part."""
     from autoscope.operators.models import ridge
-    model = ridge().fit(_one_feature(spark, d, "train"))
-    return model.transform(_one_feature(spark, d, "test")).select("listing_key", sig(F.col("prediction"), "prediction"))
-
-
-# ---------------------------------------------------------------------------
-# M2-M11, A6, N3 on the full feature vector: iterative learners, no SQL twin
-# (checked by invariants in tests).  Train / test is the layout-independent
-# hash split (80/20); the training input is lineage-cut once.
-# ---------------------------------------------------------------------------
-def _xy(spark, d):
-    """P3 output with split labels: ``(listing_key, features, label, split)``."""
-    from autoscope.operators.models import cut_lineage
-    from autoscope.operators.split import with_split_label
-    _, asm = _assembled(spark, d)
-    xy = asm.filter(F.col("price").isNotNull()).select("listing_key", "features", F.col("price").alias("label"))
-    return cut_lineage(with_split_label(xy, "listing_key", [0.8, 0.2], ["train", "test"]))
-
-
-def _train_test(spark, d):
-    xy = _xy(spark, d)
-    return xy.filter(F.col("split") == "train"), xy.filter(F.col("split") == "test")
-
-
-def _scores(model, test):
-    from autoscope.operators.evaluate import regression_metrics
-    return regression_metrics(model.transform(test))
+    train, test = _train_test(spark, d)
+    return ridge().fit(train).transform(test).select("listing_key", sig(F.col("prediction"), "prediction"))
 
 
-@register("lr_report")
+@register("lr_report", _linear(
+    f"SELECT term, {sig_sql('value')} AS value, {sig_sql('1 - sse / sst')} AS r2, CAST(0 AS INTEGER) AS iterations FROM terms, "
+    "(SELECT sum((y - p) * (y - p)) AS sse, var_pop(y) * count(*) AS sst FROM pred) s", [0.1], _TRAIN,
+    more=f", {linear_sql.TERMS}, {linear_sql.predicted(_TRAIN)}"))
 def q_lr_report(spark, d):
-    """M1 + M2 + M3: ridge on all features; summary row and named weights."""
-    from autoscope.operators.models import coefficients, feature_names, ridge
+    """M1 + M2 + M3: ridge on the train part; summary and named weights."""
+    from autoscope.operators.models import ridge
     train, _ = _train_test(spark, d)
     model = ridge().fit(train)
-    coef = coefficients(spark, model, feature_names(train))
     summ = model.summary
-    return coef.withColumns({"r2": F.lit(float(summ.r2)), "iterations": F.lit(int(summ.totalIterations))})
+    return _coef_rows(spark, model, train).withColumns({"r2": sig(F.lit(float(summ.r2)), "r2"),
+                                                        "iterations": F.lit(int(summ.totalIterations))})
+
 
+# fixed values: the penalties of the grid
+PENALTIES = [0.0, 0.2, 0.4, 0.6, 0.8]
+#: a mean over folds at 10 significant digits: the penalties differ in the eighth
+_CV_SQL = f", {linear_sql.predicted(_TRAIN + ' AND fold = id')}, scores AS (SELECT lam, avg(r2) AS r2 FROM (SELECT id, lam, " \
+          "1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2 FROM pred GROUP BY id, lam) f GROUP BY lam)"
 
-@register("cv_glr")
+
+@register("cv_glr", _linear("SELECT 'regParam' AS param, lam AS value, CAST(printf('%.9e', r2) AS DOUBLE) AS avg_metric FROM scores",
+                            PENALTIES, _TRAIN, folds=True, more=_CV_SQL))
 def q_cv_glr(spark, d):
-    """M5 + M6 + M7 + M8: 5-fold CV of gaussian GLR over regParam {0,.2,.4,.6,.8}."""
-    from autoscope.operators.models import cross_validate, cv_report, glr, grid
+    """M5 + M6 + M7 + M8: 5-fold CV of gaussian GLR over regParam {0,.2,.4,.6,.8},
+    every fold and penalty solved from one pass of Gram matrices."""
+    from autoscope.operators import gram
     train, _ = _train_test(spark, d)
-    est = glr()
-    cvm = cross_validate(est, grid(est.regParam, [0.0, 0.2, 0.4, 0.6, 0.8]), train)
-    return cv_report(spark, cvm, "regParam")
+    mean, _, _ = gram.cross_validate(train, "fold", PENALTIES)
+    return spark.createDataFrame([("regParam", p, float(f"{m:.9e}")) for p, m in zip(PENALTIES, mean)],
+                                 "param string, value double, avg_metric double")
+
+
+@register("cv_glr_scores", _linear(
+    f"SELECT best AS value, m.* FROM (SELECT arg_max(lam, r2) AS best FROM scores) b, ({_metrics_sql('tested')}) m", PENALTIES, _TRAIN, folds=True,
+    more=_CV_SQL + f", tested AS (SELECT y, b0 + m_y + list_sum(list_transform(list_filter(e, lambda z: z.i BETWEEN 1 AND len(w)), "
+         f"lambda z: z.v * w[z.i])) AS p FROM x, fit, mu WHERE {_TEST} AND id = -1 AND lam = (SELECT arg_max(lam, r2) FROM scores))"))
+def q_cv_glr_scores(spark, d):
+    """M4 + N1 of the cross-validated GLR: the best penalty, refitted on the
+    train part and scored on the test part."""
+    from autoscope.operators import gram
+    train, test = _train_test(spark, d)
+    _, best, model = gram.cross_validate(train, "fold", PENALTIES)
+    return _metric_cols(_scores(model, test)).withColumn("value", F.lit(best))
 
 
 @register("gbt_scores")
@@ -781,12 +787,60 @@ def q_gbt_scores(spark, d):
 
 @register("boosted_alt_scores")
 def q_boosted_alt_scores(spark, d):
-    """The second boosted learner (re-aimed at GBT), scored on test."""
+    """The second-order boosted learner, scored on test."""
     from autoscope.operators.models import boosted_alt
     train, test = _train_test(spark, d)
     return _scores(boosted_alt().fit(train), test)
 
 
+def _root_sql() -> str:
+    """The best first split over all values, and its leaves, in SQL."""
+    long = " UNION ALL ".join(f"SELECT '{c}' AS name, n_{c} AS v, y FROM t" for c in NUMERIC_FEATURES)
+    return with_listings(
+        f"SELECT name AS feature, {sig_sql('v')} AS threshold, {sig_sql('gain')} AS gain, {sig_sql('-0.3 * gl / (nl + 1)')} AS left_value, "
+        f"{sig_sql('0.3 * gl / (n - nl + 1)')} AS right_value, CAST(nl AS BIGINT) AS left_rows, CAST(n - nl AS BIGINT) AS right_rows "
+        "FROM gains ORDER BY gain DESC LIMIT 1",
+        f"{_DESIGN}, t AS MATERIALIZED (SELECT * FROM xy WHERE {_TRAIN}), tot AS (SELECT avg(y) AS m, count(*) AS n FROM t), "
+        f"long AS (SELECT name, v, y FROM ({long}) l UNION ALL SELECT name, 1.0, y FROM x, unnest(e) u(z), names "
+        f"WHERE z.i = names.i AND z.i < (SELECT o_num FROM dims) AND {_TRAIN}), "
+        "stored AS (SELECT name, v, m - y AS g FROM long, tot WHERE v <> 0), "
+        "vals AS (SELECT name, v, sum(g) AS g, count(*) AS k FROM stored GROUP BY ALL UNION ALL "
+        "SELECT name, 0.0, -sum(g), any_value(n) - count(*) FROM stored, tot GROUP BY name), "
+        "run AS (SELECT name, v, sum(g) OVER w AS gl, sum(k) OVER w AS nl FROM vals WINDOW w AS (PARTITION BY name ORDER BY v)), "
+        "gains AS (SELECT name, v, gl, nl, n, gl * gl / (nl + 1) + gl * gl / (n - nl + 1) AS gain FROM run, tot "
+        "WHERE nl >= 1 AND n - nl >= 1)")
+
+
+@register("boosted_root", _root_sql())
+def q_boosted_root(spark, d):
+    """The first split of the first tree and its leaves, with bins as fine
+    as the values."""
+    from autoscope.operators.models import boosted_alt, feature_names
+    train, _ = _train_test(spark, d)
+    t = boosted_alt(max_depth=1, max_iter=1, max_bins=4096).fit(train).nodes(spark).collect()
+    root, left, right = t[0], t[t[0]["left"]], t[t[0]["left"] + 1]
+    return spark.createDataFrame([(feature_names(train)[root["feature"]], root["threshold"], root["gain"], left["value"], right["value"],
+                                   left["n_rows"], right["n_rows"])],
+                                 "feature string, threshold double, gain double, left_value double, right_value double, left_rows long, "
+                                 "right_rows long").withColumns({c: sig(F.col(c), c) for c in ("threshold", "gain", "left_value", "right_value")})
+
+
+@register("gbt_cv")
+def q_gbt_cv(spark, d):
+    """M9 + M6 + M7 + M8: 5-fold CV of boosted trees over depth {2, 10, 20}; one
+    row a depth, and the test R^2 of the best depth fitted on the train part."""
+    from autoscope.operators import boosting
+    from autoscope.operators.models import gbt_setting
+    train, test = _train_test(spark, d)
+    depths = [2, 10, 20]
+    mean, model = boosting.cross_validate(train, "fold", FOLDS, [gbt_setting(k) for k in depths])
+    best = depths[mean.index(max(mean))]
+    rows = spark.createDataFrame([("maxDepth", k, m, k == best) for k, m in zip(depths, mean)],
+                                 "param string, value int, avg_metric double, best boolean")
+    score = _scores(model, test).select(F.col("r2").alias("test_r2"))
+    return rows.join(score, F.col("best"), "left")
+
+
 @register("fm_scores")
 def q_fm_scores(spark, d):
     """L5 + M11 + M6: scale, then 5-fold CV of FM over factorSize {2,4,8};
@@ -803,9 +857,9 @@ def q_fm_scores(spark, d):
 
 
 @register("save_load_scores", with_listings(
-    "SELECT count(*) AS n_scored, count(*) AS n_equal FROM one WHERE split = 'test'", f"one AS ({_ONE_DATA})"))
+    f"SELECT count(*) AS n_scored, count(*) AS n_equal FROM xy WHERE {_TEST}", _DESIGN))
 def q_save_load_scores(spark, d):
-    """A5 + A6 + N3: fit, save under a run-stamped path, load, re-score;
+    """A5 + A6: fit, save under a run-stamped path, load, re-score;
     one row: rows scored, rows whose prediction is unchanged."""
     from pyspark.ml.regression import LinearRegressionModel
     from autoscope.operators.models import ridge
@@ -984,16 +1038,15 @@ def q_price_sorted(spark, d):
     return stats.top_n(lst, 20, [F.desc_nulls_last("price"), "listing_key", F.asc_nulls_first("state_id")])
 
 
-@register("sample_predictions", with_listings(
-    f"SELECT listing_key, {sig_sql('slope * x + intercept')} AS prediction, {sig_sql('y')} AS label "
-    "FROM one, cf WHERE split = 'test' ORDER BY listing_key LIMIT 5",
-    f"one AS ({_ONE_DATA}), cf AS ({_closed_form(0.1, _TRAIN)})"))
+@register("sample_predictions", _linear(
+    f"SELECT listing_key, {sig_sql('p')} AS prediction, {sig_sql('y')} AS label FROM pred ORDER BY listing_key, p LIMIT 5", [0.1], _TRAIN,
+    more=f", {linear_sql.predicted(_TEST)}"))
 def q_sample_predictions(spark, d):
     """A few scored test rows (ordered, so the rows are defined)."""
     from autoscope.operators.evaluate import sample_predictions
     from autoscope.operators.models import ridge
-    model = ridge().fit(_one_feature(spark, d, "train"))
-    pred = sample_predictions(model.transform(_one_feature(spark, d, "test")), 5, ["listing_key"])
+    train, test = _train_test(spark, d)
+    pred = sample_predictions(ridge().fit(train).transform(test), 5, ["listing_key", "prediction"])
     return pred.select("listing_key", sig(F.col("prediction"), "prediction"), sig(F.col("label"), "label"))
 
 

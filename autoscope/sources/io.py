@@ -83,7 +83,10 @@ def run_stamp(now: datetime | None = None) -> str:
 
 def save_model(model, path: str) -> None:
     """Persist a fitted model (overwrite)."""
-    model.write().overwrite().save(path)
+    if hasattr(model, "write"):
+        model.write().overwrite().save(path)
+    else:
+        model.save(SparkSession.getActiveSession(), path)
 
 
 def load_model(model_cls, path: str):

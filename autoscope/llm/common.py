@@ -26,8 +26,8 @@ def named(df: DataFrame) -> list[Column]:
 BROADCAST_ROWS = 4_000_000
 
 
-def bounded(keys: DataFrame, rows: int | None = None) -> DataFrame:
-    """``keys`` with a broadcast hint if it has at most ``BROADCAST_ROWS``
-    rows (counted here), else unchanged for a shuffled join."""
+def bounded(keys: DataFrame, rows: int | None = None, most: int | None = None) -> DataFrame:
+    """``keys`` with a broadcast hint if it has at most ``most`` rows
+    (``BROADCAST_ROWS``; counted here), else unchanged for a shuffled join."""
     n = keys.count() if rows is None else rows
-    return F.broadcast(keys) if n <= BROADCAST_ROWS else keys
+    return F.broadcast(keys) if n <= (BROADCAST_ROWS if most is None else most) else keys

@@ -43,6 +43,8 @@ SEGMENT_BITS = 16
 MATCHES = (1, 2, 4, 8, 16, 32, 64)
 #: entries a verified candidate is worth
 CANDIDATE_COST = 1.0
+#: (id, text hash) pairs that may be broadcast
+PAIR_ROWS = 1_000_000
 #: hash orders under which a shingle's least and greatest member represent it
 ORDERS = 3
 
@@ -52,10 +54,11 @@ def _long(a: np.ndarray) -> pa.Array:
 
 
 def survey(docs: DataFrame) -> DataFrame:
-    """One pass: per document its id, set size and set key (rows without
-    ``seg``), and the task's shingle counts by sketch segment."""
+    """One pass: per document its id, set size, set key and text hash (rows
+    without ``seg``), and the task's shingle counts by sketch segment."""
     key = docs.schema["doc_id"].dataType.simpleString()
     size = 1 << SEGMENT_BITS
+    names = ["doc_id", "n", "k", "th", "seg", "counts"]
 
     def run(batches):
         held, pending = [], 0
@@ -69,7 +72,7 @@ def survey(docs: DataFrame) -> DataFrame:
                      for i in range(n)]
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(n, b.column("doc_id").type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
-                 pa.array(np.arange(n), pa.int32()), pa.array(blobs, pa.binary())], ["doc_id", "n", "k", "seg", "counts"])
+                 pa.nulls(n, pa.int64()), pa.array(np.arange(n), pa.int32()), pa.array(blobs, pa.binary())], names)
 
         for b in tb.slices(batches):
             sets, offs = shingles.column_sets(b.column("text"))
@@ -78,15 +81,16 @@ def survey(docs: DataFrame) -> DataFrame:
             held.append(sets)
             pending += len(sets)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n), pa.array(k.view(np.int64), mask=n == 0), pa.nulls(len(n), pa.int32()),
-                 pa.nulls(len(n), pa.binary())], ["doc_id", "n", "k", "seg", "counts"])
-            if pending > 1 << 21:
+                [b.column("doc_id"), pa.array(n), pa.array(k.view(np.int64), mask=n == 0), b.column("th"), pa.nulls(len(n), pa.int32()),
+                 pa.nulls(len(n), pa.binary())], names)
+            if pending > 1 << 20:
                 yield counts()
                 held, pending = [], 0
         if pending:
             yield counts()
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {key}, n long, k long, seg int, counts binary")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(
+        run, f"doc_id {key}, n long, k long, th long, seg int, counts binary")
 
 
 def sketch_levels(parts: DataFrame) -> np.ndarray:
@@ -269,12 +273,12 @@ def _sides(members: DataFrame, side: str) -> DataFrame:
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, k) per document and (node, component) over the set keys k
+    """(doc_id, n, k, th) per document and (node, component) over the set keys k
     that have a link to another."""
     spark = docs.sparkSession
     parts = materialize(survey(docs), "survey")
     levels = spark.sparkContext.broadcast(sketch_levels(parts))
-    info = parts.where("seg is null").select("doc_id", "n", "k")
+    info = parts.where("seg is null").select("doc_id", "n", "k", "th")
 
     shared = materialize(entries(docs, levels).select("token", "k").groupBy("token")
                          .agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo < hi").select("token"), "tokens")
@@ -341,16 +345,32 @@ def op1(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each component the
-    row with the least id stays, once.  Rows without words and rows without
-    an id stay."""
-    found = materialize(op1(docs), "near")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(bounded(gone), "doc_id", "left_anti").select(named(docs))
-    again = materialize(found.where("doc_id = component_id and n_shingles > 0").groupBy("doc_id").count()
-                        .where("count > 1").select("doc_id"), "repeated")
-    n = again.count()
-    if not n:
+    """The rows of ``docs`` without near duplicates: one row of each component
+    stays, that with the least id (null last), of equal ids the one with the
+    least text hash, of equal rows any one.
+
+    Rows are matched by id and text, so an id that stands on two unlike texts
+    loses only the copy.  Rows without words (null and empty texts among them)
+    are in no component and all stay.  An empty table stays empty; all columns
+    of ``docs`` are kept as they are.
+    """
+    info, comp = classes(docs)
+    known = materialize(info.where("n > 0").join(comp.withColumnRenamed("node", "k"), "k", "left")
+                        .select("doc_id", "th", F.coalesce("component", "k").alias("c")), "near")
+    stays = known.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("stays"))
+    rows = known.groupBy("c", "doc_id", "th").agg(F.count("*").alias("rows")).join(stays, "c")
+    chosen = F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("th") == F.col("stays.th"))
+    told = materialize(rows.select("doc_id", "th", chosen.alias("keep"), "rows").where(~F.col("keep") | (F.col("rows") > 1)), "near")
+
+    def among(which: DataFrame, how: str) -> DataFrame:
+        d, w = docs.alias("d"), bounded(which.select("doc_id", "th"), most=PAIR_ROWS).alias("w")
+        match = (F.xxhash64("d.text") == F.col("w.th")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
+        return d.join(w, match, how).select(named(docs))
+
+    repeated = told.where("keep")
+    kept = among(told, "left_anti")
+    if not repeated.limit(1).count():
         return kept
-    once = kept.join(bounded(again, n), "doc_id", "left_semi").select(named(docs)).dropDuplicates(["doc_id"])
-    return kept.join(bounded(again, n), "doc_id", "left_anti").select(named(docs)).unionByName(once)
+    place = "_place" + "_" * max(map(len, docs.columns))  # a name that no column has
+    once = among(repeated, "left_semi").withColumn(place, F.xxhash64("text"))
+    return kept.unionByName(once.dropDuplicates(["doc_id", place]).drop(place))

@@ -34,7 +34,12 @@ SAMPLE_PER_LANG = 300
 EM_ROUNDS = 4
 SMOOTHING = 0.1
 SLOT_BITS = 20
-CACHE_BITS = 20
+CACHE_BITS = 17
+#: bytes of a run that are scored with others in one matrix; longer runs (texts
+#: without spaces, encoded data) go one by one, at a cost linear in their length
+LONG_RUN = 96
+#: training cuts longer runs into stretches of at most so many bytes
+TRAIN_RUN = 64
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -179,6 +184,36 @@ def forward(voc: Vocabulary, prob: np.ndarray, m: np.ndarray, n: np.ndarray) ->
     return out
 
 
+def forward_long(voc: Vocabulary, prob: np.ndarray, word: np.ndarray, ends: int = 2048) -> np.ndarray:
+    """``forward`` of one word (bytes with the blank in front): the pieces of
+    ``ends`` end positions are looked up at once, then one step a byte."""
+    reach, langs = voc.longest, prob.shape[1]
+    known = np.vstack([prob, np.zeros(langs)])  # no piece, no probability
+    alpha = np.zeros((reach + ends, langs))  # the last ``reach`` sums come first
+    alpha[reach - 1] = 1.0
+    scale = np.zeros(langs)
+    back = np.arange(reach, 0, -1)  # piece lengths, longest first
+    for at in range(0, len(word), ends):
+        lo = max(0, at - reach)
+        c = tb.prefix_sums(word[lo:at + ends])
+        end = np.arange(at + 1, min(at + ends, len(word)) + 1) - lo
+        start = end[:, None] - back
+        inside = start >= 0
+        start = np.maximum(start, 0)
+        h = (c[end][:, None] - c[start]) * tb.powers(tb._P_INV, len(c))[start]
+        piece = np.where(inside, voc.find(h.ravel()).reshape(h.shape), voc.size)
+        p = known[piece]
+        for i in range(len(end)):
+            alpha[reach + i] = (alpha[i:reach + i] * p[i]).sum(axis=0)
+            if i % 16 == 15:  # keep the numbers in range
+                top = alpha[i:reach + i + 1].max(axis=0)
+                top[top <= 0] = 1.0
+                alpha[i:reach + i + 1] /= top
+                scale += np.log(top)
+        alpha[:reach] = alpha[len(end):reach + len(end)].copy()
+    return np.log(alpha[reach - 1]) + scale
+
+
 def train_pieces(voc: Vocabulary, texts: list[str], rounds: int = EM_ROUNDS) -> np.ndarray:
     """Piece probabilities of one language by expectation maximisation."""
     column = pa.array([t or "" for t in texts], pa.large_string())
@@ -186,8 +221,13 @@ def train_pieces(voc: Vocabulary, texts: list[str], rounds: int = EM_ROUNDS) ->
     for _, _, buf, starts, ends, _ in letter_words(column):
         raw = buf.tobytes()
         for s, e in zip(starts.tolist(), ends.tolist()):
-            w = raw[s:e]
-            words[w] = words.get(w, 0) + 1
+            while s < e:
+                cut = e if e - s <= TRAIN_RUN else s + TRAIN_RUN
+                while cut < e and raw[cut] & 0xC0 == 0x80:  # between characters
+                    cut -= 1
+                w = raw[s:cut]
+                words[w] = words.get(w, 0) + 1
+                s = cut
     listed = sorted(words)
     joined = np.frombuffer(b"".join(listed), np.uint8)
     ends = np.cumsum([len(w) for w in listed], dtype=np.int64)
@@ -297,9 +337,13 @@ def score_column(model: Model, column: pa.Array) -> tuple[list[str], list[float]
 
         def word_logs(first: np.ndarray) -> np.ndarray:
             logs = np.empty((len(first), len(model.languages)))
-            for block in blocks_of(starts[first], ends[first]):
-                m, n = word_block(buf, starts[first[block]], ends[first[block]])
-                logs[block] = forward(voc, model.prob, m, n)
+            head, tail = starts[first], ends[first]
+            short = np.flatnonzero(tail - head <= LONG_RUN)
+            for block in blocks_of(head[short], tail[short]):
+                block = short[block]
+                logs[block] = forward(voc, model.prob, *word_block(buf, head[block], tail[block]))
+            for i in np.flatnonzero(tail - head > LONG_RUN).tolist():
+                logs[i] = forward_long(voc, model.prob, np.r_[np.uint8(tb.SPACE), buf[head[i]:tail[i]]])
             return logs
 
         h = tb.mix(tb.span_hashes(tb.prefix_sums(buf), starts, ends))

@@ -15,7 +15,7 @@ from . import textbytes as tb
 
 #: ids held per word; longer words are encoded each time they occur
 HELD = 11
-CACHE_BITS = 20
+CACHE_BITS = 18
 JOINED = 512
 FENCE = "\x01"
 _STOPS = tb.byte_class(lambda b: b in b".,;:!?")

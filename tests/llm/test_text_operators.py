@@ -46,6 +46,24 @@ def test_forward_sums_all_segmentations():
             assert math.isclose(got[k], math.log(sums[-1]), rel_tol=1e-9)
 
 
+def test_long_runs_cost_what_short_ones_do():
+    import time
+    voc = langid.vocabulary(langid.default_vocabulary())
+    prob = np.random.default_rng(0).dirichlet(np.full(voc.size, 0.3), 3).T.copy()
+    chinese = "".join(chr(0x4E00 + i * 7919 % 20000) for i in range(16000))
+    for word in (b"x" * 700, chinese[:300].encode(), b"ab\xc3\xa9" * 500):
+        raw = np.frombuffer(word, np.uint8)
+        m, n = langid.word_block(raw, np.array([0]), np.array([len(raw)]))
+        got = langid.forward_long(voc, prob, m[0], ends=64)
+        assert np.allclose(got, langid.forward(voc, prob, m, n)[0], rtol=1e-9)
+        assert np.allclose(got, langid.forward_long(voc, prob, m[0]), rtol=1e-9)
+    model = langid.Model(["a", "b", "c"], prob, langid.default_vocabulary())
+    start = time.perf_counter()
+    langid.score_column(model, pa.array([chinese, "x" * 100_000]))
+    assert time.perf_counter() - start < 10  # about 1 s; minutes before
+    assert langid.train_pieces(voc, [chinese[:3000]], 1).sum() == pytest.approx(1)
+
+
 def test_language_id_without_labels(spark):
     got = langid.op7(cases.frame(spark, [(1, "some text", None, None)])).first()
     assert (got.lang_pred, got.score) == ("und", 0.0)

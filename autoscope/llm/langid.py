@@ -98,7 +98,7 @@ def vocabulary(path: str) -> Vocabulary:
 def letter_words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Per chunk: rows lo..hi, lower-cased bytes, word starts and ends, and
     the bounds of each row's words."""
-    for lo, hi, buf, rows in tb.chunks(column):
+    for lo, hi, buf, rows in tb.chunks(column, tb.SMALL_CHUNK):
         buf = tb.LOWER[buf]
         starts, ends = tb.spans(buf, tb.LETTERISH)
         yield lo, hi, buf, starts, ends, tb.per_row(rows, starts)
@@ -115,7 +115,7 @@ def word_block(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
     return m, n
 
 
-def blocks_of(starts: np.ndarray, ends: np.ndarray, cells: int = 1 << 18) -> Iterator[np.ndarray]:
+def blocks_of(starts: np.ndarray, ends: np.ndarray, cells: int = 1 << 17) -> Iterator[np.ndarray]:
     """Word indexes by rising length in blocks of bounded matrix size."""
     n = ends - starts + 1
     order = np.argsort(n, kind="stable")

@@ -19,7 +19,7 @@ _MULTIPLIERS = np.random.Generator(np.random.PCG64(11)).integers(1, 2**63, WIDTH
 def column_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingles of all rows, and the len+1 row offsets."""
     parts, counts = [np.zeros(0, np.uint64)], np.zeros(len(column) + 1, np.int64)
-    for lo, hi, buf, rows in tb.chunks(column):
+    for lo, hi, buf, rows in tb.chunks(column, tb.SMALL_CHUNK):
         buf = tb.LOWER[buf]
         starts, ends = tb.spans(buf, tb.NOT_SPACE)
         if not len(starts):

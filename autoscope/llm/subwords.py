@@ -64,7 +64,7 @@ class Encoder:
     def column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the column in order, and the len+1 row offsets."""
         parts, counts = [], np.zeros(len(column), np.int64)
-        for lo, hi, raw, rows in tb.chunks(column):
+        for lo, hi, raw, rows in tb.chunks(column, tb.SMALL_CHUNK):
             ids, n = self._chunk(column, lo, raw, rows)
             parts.append(ids)
             counts[lo:hi] = n

@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK = 1 << 20
+#: for operators that keep much per byte of a chunk
+SMALL_CHUNK = 1 << 18
 SPACE = 0x20
 
 LOWER = np.arange(256, dtype=np.uint8)

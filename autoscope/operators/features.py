@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,10 +37,15 @@ def encoding_pipeline(cols: list[str] = CATEGORICAL_COLUMNS, handle_invalid: str
 
 
 def fit_encoding(df: DataFrame, cols: list[str] = CATEGORICAL_COLUMNS,
-                 fit_on: DataFrame | None = None) -> PipelineModel:
+                 fit_on: DataFrame | None = None, handle_invalid: str | None = None) -> PipelineModel:
     """Fit the encoding on ``fit_on`` (default: the whole table, as the
-    original job does -- pass the training split to avoid test leakage)."""
-    return encoding_pipeline(cols).fit(fit_on if fit_on is not None else df)
+    original job does -- pass the training split to avoid test leakage).
+
+    A level that the fit has not seen is an error when the table itself was
+    fitted; with ``fit_on`` it gets the index after the last level and an
+    all-zero one-hot vector, unless ``handle_invalid`` says otherwise."""
+    how = handle_invalid or ("error" if fit_on is None else "keep")
+    return encoding_pipeline(cols, how).fit(fit_on if fit_on is not None else df)
 
 
 def index_table(spark: SparkSession, model: PipelineModel,
@@ -61,13 +65,14 @@ def index_table(spark: SparkSession, model: PipelineModel,
 
 def hot_positions(df: DataFrame, cols: list[str] = CATEGORICAL_COLUMNS) -> DataFrame:
     """Per one-hot column the position of its 1.0 (-1 for the dropped
-    last level), alongside the raw value and index."""
+    last level), alongside the raw value and index.  Read from the sparse
+    vector's own positions; no array of all levels is built."""
     out = []
     for c in cols:
-        arr = vector_to_array(F.col(c + "_onehot"))
-        out.append((F.array_position(arr, F.lit(1.0)) - 1).alias(c + "_hot"))
-    return df.select(*[F.col(c) for c in df.columns if c not in
-                       set(index_cols(cols)) | set(onehot_cols(cols))], *out)
+        v = F.unwrap_udt(F.col(c + "_onehot"))
+        dense = F.array_position(v["values"], F.lit(1.0)) - 1
+        out.append(F.when(v["type"] == 0, F.coalesce(F.get(v["indices"], F.lit(0)), F.lit(-1))).otherwise(dense).cast("long").alias(c + "_hot"))
+    return df.select(*[F.col(c) for c in df.columns if c not in set(onehot_cols(cols))], *out)
 
 
 def assemble(df: DataFrame, inputs: list[str], out: str = "features",

@@ -731,6 +731,24 @@ def q_predict_ridge(spark, d):
     return ridge().fit(train).transform(test).select("listing_key", sig(F.col("prediction"), "prediction"))
 
 
+@register("run_output", _linear(
+    f"SELECT CASE WHEN lam = 0.1 THEN '1' ELSE '2' END AS run_id, count(*) AS n_rows, {sig_sql('avg(p)')} AS mean_prediction, "
+    f"{sig_sql('avg(abs(y - p))')} AS mae FROM pred GROUP BY lam", [0.1, 500.0], _TRAIN, more=f", {linear_sql.predicted(_TEST)}"))
+def q_run_output(spark, d):
+    """A5 + N3: the test predictions of two runs in one table, the first of
+    them written twice; what a reader of the table sees."""
+    from autoscope.operators.models import ridge
+    from autoscope.sources.io import read_runs, write_run
+    train, test = _train_test(spark, d)
+    path = _scratch(spark, "runs")
+    for run_id, penalty in (("1", 900.0), ("2", 500.0), ("1", 0.1)):
+        pred = ridge(reg_param=penalty).fit(train).transform(test)
+        write_run(pred.select("listing_key", "label", "prediction"), path, run_id)
+    return read_runs(spark, path).groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), sig(F.avg("prediction"), "mean_prediction"),
+        sig(F.avg(F.abs(F.col("label") - F.col("prediction"))), "mae"))
+
+
 @register("lr_report", _linear(
     f"SELECT term, {sig_sql('value')} AS value, {sig_sql('1 - sse / sst')} AS r2, CAST(0 AS INTEGER) AS iterations FROM terms, "
     "(SELECT sum((y - p) * (y - p)) AS sse, var_pop(y) * count(*) AS sst FROM pred) s", [0.1], _TRAIN,

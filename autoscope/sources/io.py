@@ -3,6 +3,7 @@ model persistence and run-stamped output locations (A1-A9)."""
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,6 +82,31 @@ def run_stamp(now: datetime | None = None) -> str:
     return (now or datetime.now()).strftime("%Y-%m-%d-%H-%M-%S")
 
 
+def write_run(df: DataFrame, path: str, run_id: str) -> None:
+    """A5 + N3: ``df`` as run ``run_id`` of the runs table at ``path``.
+
+    The rows go to a partition of their own attempt; then the manifest's row of
+    the run (a partition, overwritten alone) names that attempt.  Readers go by
+    the manifest, so they see whole runs only: a run that fails half-way, or is
+    being written again, shows its last whole attempt or nothing.
+    """
+    attempt = uuid.uuid4().hex
+    part = {"run_id": F.lit(run_id), "attempt": F.lit(attempt)}
+    df.withColumns(part).write.mode("append").partitionBy("run_id", "attempt").parquet(f"{path}/rows")
+    row = df.sparkSession.createDataFrame([(run_id, attempt)], "run_id string, attempt string")
+    row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(f"{path}/runs")
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all whole runs at ``path`` with their ``run_id``."""
+    def typed(name: str) -> DataFrame:  # partition values are text, whatever they look like
+        found = spark.read.parquet(f"{path}/{name}").schema
+        text = [T.StructField(f.name, T.StringType()) if f.name in ("run_id", "attempt") else f for f in found]
+        return spark.read.schema(T.StructType(text)).parquet(f"{path}/{name}")
+
+    return typed("rows").join(typed("runs"), ["run_id", "attempt"], "left_semi").drop("attempt")
+
+
 def save_model(model, path: str) -> None:
     """Persist a fitted model (overwrite)."""
     if hasattr(model, "write"):

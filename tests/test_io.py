@@ -84,3 +84,24 @@ def test_scratch_is_removed_and_a_cluster_needs_a_shared_folder(spark, monkeypat
     monkeypatch.setattr(session, "SparkSession", object)
     with pytest.raises(ValueError):
         session.ensure_checkpoint_dir(type("S", (), {"sparkContext": Context}))
+
+
+def test_runs_are_replaced_whole(spark, tmp_path):
+    from autoscope.sources.io import read_runs, write_run
+    path = str(tmp_path / "runs")
+    for run_id, n in (("1", 5), ("2024-01-01", 3), ("1", 2)):
+        write_run(spark.range(n).selectExpr("id", "id * 2.0 as prediction"), path, run_id)
+    # an attempt that never reached the manifest
+    spark.range(9).selectExpr("id", "id * 1.0 as prediction", "'3' as run_id", "'x' as attempt").write.mode("append").partitionBy(
+        "run_id", "attempt").parquet(f"{path}/rows")
+    got = {r["run_id"]: r["count"] for r in read_runs(spark, path).groupBy("run_id").count().collect()}
+    assert got == {"1": 2, "2024-01-01": 3}
+
+
+def test_level_that_only_the_test_part_holds(spark):
+    from autoscope.operators import features as FE
+    train = spark.createDataFrame([("a",), ("a",), ("b",)], "c string")
+    test = spark.createDataFrame([("b",), ("z",)], "c string")
+    model = FE.fit_encoding(test, ["c"], fit_on=train)
+    got = {r["c"]: (r["c_numeric"], r["c_hot"]) for r in FE.hot_positions(model.transform(test), ["c"]).collect()}
+    assert got == {"b": (1.0, 1), "z": (2.0, -1)}

@@ -16,6 +16,14 @@ def id_remainder(doc_id: Column, n: int) -> Column:
     return F.crc32(text.cast("binary")) % n
 
 
+def drawn(key: Column, rate: float) -> Column:
+    """Whether a 62-bit hash of ``key`` (a hash of 64 bits) lies in the first
+    ``rate`` of its range: fine enough that a few of 10**15 rows can be drawn.
+    The hash's low 20 bits come first."""
+    place = F.pmod(key, F.lit(1 << 20)) * F.lit(1 << 42) + F.shiftrightunsigned(key, 22)
+    return place < F.lit(int(min(1.0, rate) * (1 << 62)))
+
+
 def named(df: DataFrame) -> list[Column]:
     """All columns of ``df``, whatever characters their names hold."""
     return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
+from .common import drawn
 
 KINDS = ("email", "ip", "card", "phone")
 #: atoms in one entity at most
@@ -320,8 +321,8 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_stretches: int =
     ``sample_docs`` documents, both chosen by id hash, labelled by the base
     patterns."""
     n = docs.count()
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.lit(9)), F.lit(1 << 20))
-    chosen = docs.where(draw < int((1 << 20) * min(1.0, sample_docs / max(n, 1)))).select("doc_id", "text")
+    hashed = F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.lit(9))
+    chosen = docs.where(drawn(hashed, sample_docs / max(n, 1))).select("doc_id", "text")
 
     def cut(frames):
         for pdf in frames:

@@ -261,3 +261,17 @@ def test_word_cache_never_changes_results():
 def test_empty_table(spark, op, monkeypatch):
     monkeypatch.setattr(attention, "STEPS", 1)
     assert op(cases.frame(spark, [])).count() == 0
+
+
+def test_samples_of_any_rate(spark):
+    from pyspark.sql import functions as F
+
+    from autoscope.llm.common import drawn
+    rows = spark.range(1 << 18).select(F.xxhash64("id").alias("h"))
+    for rate in (1.0, 0.25, 1e-3):
+        n = rows.where(drawn(F.col("h"), rate)).count()
+        assert abs(n - rate * (1 << 18)) <= 5 * math.sqrt(rate * (1 - rate) * (1 << 18))
+    # 4,000 of 10**11 rows: the bound is not 0, and sharp
+    bound = int(4e-8 * 2**62)
+    few = spark.createDataFrame([(0,), ((bound - 1) << 22,), (bound << 22,), (1,)], "h long")
+    assert [r[0] for r in few.select(drawn(F.col("h"), 4e-8)).collect()] == [True, True, False, False]

@@ -2,14 +2,20 @@
 
 Words are runs of digits, ASCII letters (lower-cased) and non-ASCII
 characters.  A window is ``WINDOW`` consecutive words of a benchmark item, or
-the whole item if it has fewer.  Fingerprints are the least hashes of k words
-in every run of w neighbouring ones, with ``k + w - 1`` the length of the
-shortest window, so any shared window holds a fingerprint at the same place
-in both texts.  Fingerprints are joined, and each match is extended word by
-word in both directions; a match that reaches a whole window is a hit.
-
-Each fingerprint carries the few words around it that an extension can need,
-so that whole texts are never moved.
+the whole item if it has fewer.  Fingerprints of whole windows are the least
+hashes of ``GRAM`` words in every run of neighbouring ones, so any shared
+window holds a fingerprint at the same place in both texts.  Fingerprints are
+joined, and each match is extended word by word in both directions; a match
+that reaches a whole window is a hit.
+
+An item of fewer words is one gram of its own length, in a class by that
+length, and meets the documents' grams of the same length.  It changes nothing
+for longer items.
+
+Texts are split into words once.  While the benchmark's fingerprints can be
+broadcast, a document's words around a fingerprint are only looked at where it
+matches; beyond that each fingerprint carries the few words that an extension
+can need, so that whole texts are never moved.
 """
 
 from __future__ import annotations
@@ -25,45 +31,64 @@ WINDOW = 10
 GRAM = 5
 #: benchmark fingerprints that may be broadcast (about 50 MB)
 BROADCAST_FINGERPRINTS = 200_000
-# fixed value: the complement of the word characters, before lower-casing
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# fixed values: the ASCII characters that are in no word, and the letters to lower-case
+_BREAKS = "".join(map(chr, [*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), F.lit(_WORD), F.lit(0))
+    """Every break becomes a blank; splitting there is far cheaper than
+    matching words by a regular expression."""
+    plain = F.translate(F.coalesce(text, F.lit("")), _BREAKS + _UPPER, " " * len(_BREAKS) + _LOWER)
+    return F.array_remove(F.split(plain, " "), "")
 
 
-def word_count(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(_WORD)).cast("long")
-
-
-def fingerprints(rows: DataFrame, k: int, w: int) -> DataFrame:
+def fingerprints(rows: DataFrame, needs: list[int], header: bool = False) -> DataFrame:
     """``rows`` (any columns and ``words``) to one row per fingerprint:
-    ``p`` the first word's index, ``h`` its hash, ``left`` the words before
-    it, nearest first, ``right`` those from it on.  Rows of fewer than
-    k + w - 1 words have none."""
-    keep = [c for c in rows.columns if c != "words"]
-    grams = rows.where(F.size("words") >= k + w - 1).withColumn("grams", F.transform(
-        F.sequence(F.lit(0), F.size("words") - k), lambda i: F.xxhash64(*[F.get("words", i + j) for j in range(k)])))
-    if w > 1:
-        grams = grams.withColumn("least", F.transform(
-            F.sequence(F.lit(0), F.size("grams") - w), lambda i: F.least(*[F.get("grams", i + j) for j in range(w)])))
-        # chosen: the least of some run of w that it lies in
-        chosen = F.filter(F.sequence(F.lit(0), F.size("grams") - 1), lambda p: F.get("grams", p) == F.greatest(
-            *[F.get("least", p - j) for j in range(w)]))
-    else:
-        chosen = F.sequence(F.lit(0), F.size("grams") - 1)
-    reach = WINDOW - k
-
-    def mark(p: Column) -> Column:
-        before = F.least(p, F.lit(reach))
-        return F.struct(p.alias("p"), F.get("grams", p).alias("h"),
-                        F.reverse(F.slice("words", p - before + 1, before)).alias("left"),
-                        F.slice("words", p + 1, F.lit(WINDOW)).alias("right"))
-
-    return grams.withColumn("chosen", chosen).select(
-        *keep, F.explode(F.transform("chosen", mark)).alias("f")).select(*keep, "f.*")
+    ``need`` its class (the window's length), ``p`` the first word's index,
+    ``h`` its hash.  Rows of fewer than ``need`` words have none of a class.
+    With ``header``, each row comes once more with a null ``need``, and a hash
+    that spreads these rows.
+
+    One row per run (one per gram in the classes of short items) is exploded and most are
+    filtered at once, in generated code; a lambda would be interpreted."""
+    kept = rows.columns
+    rows = rows.withColumn("hashes", F.transform("words", lambda x: F.xxhash64(x)))
+    runs = [F.array(F.lit(-1).cast("long"))] if header else []
+    for need in needs:
+        k = GRAM if need == WINDOW else need
+        rows = rows.withColumn(f"g{need}", F.when(F.size("words") >= need, F.transform(
+            F.sequence(F.lit(0), F.size("words") - k), _gram_at(k))))
+        base, number = need << 32, F.size("words") - need  # a class and a place in one number
+        runs.append(F.when(number >= 0, F.sequence(F.lit(base), base + number.cast("long"))).otherwise(F.array().cast("array<bigint>")))
+    rows = rows.withColumn("at", F.explode(F.concat(*runs))).withColumns({
+        "need": F.when(F.col("at") >= 0, F.shiftright("at", 32).cast("int")), "p": F.when(F.col("at") >= 0, F.col("at").bitwiseAND(0xFFFFFFFF)).otherwise(0).cast("int")})
+    found = F.coalesce(*[F.when(F.col("need") == n, F.get(f"g{n}", F.col("p"))) for n in needs if n < WINDOW],
+                       F.xxhash64(*[c for c in kept if c != "words"]))
+    if WINDOW in needs:
+        reach = WINDOW - GRAM
+        grams = [F.get(f"g{WINDOW}", F.col("p") + j) for j in range(-1, reach + 1)]
+        least = F.least(*grams[1:])
+        # the least (of equal ones the first) is not that of the run before
+        fresh = (F.col("p") == 0) | (grams[0] <= least) | (grams[-1] < F.least(*grams[1:-1]))
+        whole = F.col("need") == WINDOW
+        rows = rows.where(F.col("need").isNull() | ~whole | fresh)
+        place = F.col("p") + F.array_position(F.slice(f"g{WINDOW}", F.col("p") + 1, reach + 1), least).cast("int") - 1
+        return rows.select(*kept, "need", F.when(whole, place).otherwise(F.col("p")).alias("p"), F.when(whole, least).otherwise(found).alias("h"))
+    return rows.select(*kept, "need", "p", found.alias("h"))
+
+
+def _gram_at(k: int):
+    return lambda i: F.xxhash64(*[F.get("hashes", i + j) for j in range(k)])
+
+
+def around(rows: DataFrame) -> DataFrame:
+    """Fingerprints with ``left``, the words before each, nearest first, and
+    ``right``, those from it on, in place of ``words``."""
+    before = F.when(F.col("need") == WINDOW, F.least(F.col("p"), F.lit(WINDOW - GRAM))).otherwise(0)
+    return rows.withColumns({
+        "left": F.reverse(F.slice("words", F.col("p") - before + 1, before)),
+        "right": F.slice("words", F.col("p") + 1, F.coalesce("need", F.lit(0)))}).drop("words")
 
 
 def common_start(a: Column, b: Column) -> Column:
@@ -73,31 +98,41 @@ def common_start(a: Column, b: Column) -> Column:
     return F.when(first == 0, F.size(same)).otherwise(first - 1).cast("int")
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
-    """One row per extended match: doc_id, th (text hash), p, l, r, ctx; the
-    words [p - l, p + r) of the document are those of a benchmark passage.
-    None if no item has a word."""
+def scan(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(found, known).  ``found``: per row of ``docs`` one with a null ``ctx``
+    (doc_id, th the text hash, n_words), and one per hit: ctx, and p, l, r,
+    where the words [p - l, p + r) are those of a benchmark passage.
+    ``known``: the items of each ctx.  One pass over the texts."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
-                             words(F.col("text")).alias("words")).where(F.size("words") > 0)
-    items = items.withColumn("need", F.least(F.size("words"), F.lit(WINDOW)))
-    shortest = items.agg(F.min("need")).first()[0]
-    if shortest is None:
-        return None
-    k = min(GRAM, shortest)
-    marks = fingerprints(items, k, shortest - k + 1)
+                             words(F.col("text")).alias("words"))
+    size = items.select(F.least(F.size("words"), F.lit(WINDOW)).alias("size"), "item", "words")
+    needs = sorted(r[0] for r in size.select("size").distinct().collect() if r[0])  # ten values at most
+    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), words(F.col("text")).alias("words"))
+    rows = rows.withColumn("n_words", F.size("words").cast("long"))
+    if not needs:
+        plain = rows.select("doc_id", "th", "n_words", *[F.lit(None).cast(t).alias(c) for c, t in (
+            ("ctx", "long"), ("p", "int"), ("l", "int"), ("r", "int"))])
+        return plain, items.select(F.lit(0).cast("long").alias("ctx"), "item").limit(0)
+    # an item belongs to the class of its size alone
+    marks = around(fingerprints(size, needs).where(F.col("need") == F.col("size")))
     known = materialize(marks.select("h", "left", "right", "need", "item").distinct()
                         .withColumn("ctx", F.xxhash64("h", "left", "right", "need")), "benchmark")
     contexts = known.select("h", "left", "right", "need", "ctx").distinct()
-    n = contexts.count()
-    if n <= BROADCAST_FINGERPRINTS:
-        contexts = F.broadcast(contexts)
-    found = fingerprints(docs.select("doc_id", F.xxhash64("text").alias("th"), words(F.col("text")).alias("words")),
-                         k, shortest - k + 1)
-    both = found.alias("d").join(contexts.alias("b"), F.col("d.h") == F.col("b.h"))
-    spans = both.select("doc_id", "th", "p", "need", "ctx", common_start(F.col("d.left"), F.col("b.left")).alias("l"),
-                        common_start(F.col("d.right"), F.col("b.right")).alias("r"))
-    hits = materialize(spans.where((F.col("r") >= k) & (F.col("l") + F.col("r") >= F.col("need"))).drop("need"), "hits")
-    return hits.join(bounded(known.select("ctx", "item").distinct()), "ctx")
+    few = contexts.count() <= BROADCAST_FINGERPRINTS
+    places = fingerprints(rows, needs, header=True)
+    d, b = (places if few else around(places)).alias("d"), (F.broadcast(contexts) if few else contexts).select(
+        "h", "need", "ctx", F.col("left").alias("b_left"), F.col("right").alias("b_right")).alias("b")
+    both = d.join(b, (F.col("d.h") == F.col("b.h")) & (F.col("d.need") == F.col("b.need")), "left").where(
+        F.col("d.need").isNull() | F.col("ctx").isNotNull()).drop(F.col("b.need"), F.col("b.h"))
+    both = around(both) if few else both
+    # written before the comparison: its lambdas would keep a document's words
+    # in every fingerprint's row, if they became part of the filter after the join
+    met = materialize(both.select("doc_id", "th", "n_words", "need", "ctx", "p", "left", "right", "b_left", "b_right"), "met")
+    spans = met.select("doc_id", "th", "n_words", "need", "ctx", "p", common_start(F.col("left"), F.col("b_left")).alias("l"),
+                       common_start(F.col("right"), F.col("b_right")).alias("r"))
+    k = F.when(F.col("need") == WINDOW, GRAM).otherwise(F.col("need"))
+    hits = spans.where(F.col("need").isNull() | ((F.col("r") >= k) & (F.col("l") + F.col("r") >= F.col("need")))).drop("need")
+    return hits, known.select("ctx", "item").distinct()
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -106,22 +141,21 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Null and empty texts have no words; items without words match nothing; a
     null item_id counts as one item with an empty name.  Rows repeated in the
-    table are each reported.
+    table are each reported.  A text of any length is one row until its
+    fingerprints are taken.  An empty ``docs`` gives an empty result, an empty
+    benchmark no hits; other columns of either are not read.
     """
-    base = docs.select("doc_id", F.xxhash64("text").alias("th"), word_count(F.col("text")).alias("n_words"))
-    found = matches(docs, benchmark)
-    if found is None:
-        return base.select("*", F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"),
-                           F.sha2(F.lit(""), 256).alias("items_sha256"), F.lit(False).alias("contaminated"))
+    found, known = scan(docs, benchmark)
+    base, hits = found.where("ctx is null").select("doc_id", "th", "n_words"), found.where("ctx is not null")
     # one span per place, then the length of the union of a document's spans
-    spans = found.groupBy("doc_id", "th", "p").agg(F.max("l").alias("l"), F.max("r").alias("r")).select(
+    spans = hits.groupBy("doc_id", "th", "p").agg(F.max("l").alias("l"), F.max("r").alias("r")).select(
         "doc_id", "th", (F.col("p") - F.col("l")).alias("s"), (F.col("p") + F.col("r")).alias("e"))
     before = Window.partitionBy("doc_id", "th").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
     fresh = spans.withColumn("past", F.coalesce(F.max("e").over(before), F.lit(0)))
     hit = fresh.groupBy("doc_id", "th").agg(
         F.sum(F.greatest(F.lit(0), F.col("e") - F.greatest("s", "past"))).cast("long").alias("n_hit"))
-    named = found.select("doc_id", "th", "item").distinct().groupBy("doc_id", "th").agg(
-        F.count("*").alias("n_items"), F.sha2(F.array_join(F.array_sort(F.collect_list("item")), ","), 256).alias("items_sha256"))
+    named = hits.select("doc_id", "th", "ctx").distinct().join(bounded(known), "ctx").select("doc_id", "th", "item").distinct().groupBy(
+        "doc_id", "th").agg(F.count("*").alias("n_items"), F.sha2(F.array_join(F.array_sort(F.collect_list("item")), ","), 256).alias("items_sha256"))
     b, h, n = base.alias("b"), hit.alias("h"), named.alias("n")
 
     def same(x: str) -> Column:
@@ -139,11 +173,13 @@ def op5(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark window."""
-    found = matches(docs, benchmark)
-    if found is None:
-        return docs
-    gone = materialize(found.select(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th")).distinct(), "gone")
+    """The rows of ``docs`` that hold no benchmark window, with all columns.
+
+    Null and empty texts stay; an empty benchmark keeps all; rows are matched
+    by id (a null id too) and text, so an id on two texts loses only the hit one.
+    """
+    hits = scan(docs, benchmark)[0].where("ctx is not null")
+    gone = materialize(hits.select(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th")).distinct(), "gone")
     d, g = docs.alias("d"), bounded(gone).alias("g")
     return d.join(g, (F.xxhash64("d.text") == F.col("g.gone_th")) & F.col("d.doc_id").eqNullSafe(F.col("g.gone_id")), "left_anti")
 

@@ -191,10 +191,26 @@ def test_keep_clean(spark):
 
 
 def test_decontamination_beyond_the_broadcast_bound(spark, monkeypatch):
+    items = [*BENCH, (6, "fox")]
     monkeypatch.setattr(decontaminate, "BROADCAST_FINGERPRINTS", 0)
-    bench = spark.createDataFrame([(i, t, "h", "p") for i, t in BENCH], cases.BENCH_SCHEMA)
+    bench = spark.createDataFrame([(i, t, "h", "p") for i, t in items], cases.BENCH_SCHEMA)
     got = decontaminate.op5(cases.frame(spark), bench)
-    assert sum(r.n_hit for r in got.collect()) == sum(x[2] for x in contamination_twin(cases.texts(), BENCH))
+    assert sum(r.n_hit for r in got.collect()) == sum(x[2] for x in contamination_twin(cases.texts(), items))
+
+
+def test_short_items_change_nothing_for_long_ones(spark):
+    docs = cases.frame(spark).selectExpr("doc_id", "text").where("doc_id between 400 and 419")
+    rows = docs.withColumn("words", decontaminate.words(docs.text)).drop("text")
+
+    def whole(needs):
+        found = decontaminate.fingerprints(rows, needs).where("need = 10")
+        return sorted((r.doc_id, r.p, r.h) for r in found.collect())
+
+    assert whole([1, 3, 10]) == whole([10])
+    # a row too short for a class has no fingerprint of it; with a header it comes anyway
+    short = spark.createDataFrame([(1, ["a", "b"]), (2, [])], "doc_id int, words array<string>")
+    assert [(r.doc_id, r.need) for r in decontaminate.fingerprints(short, [10], header=True).orderBy("doc_id").collect()] == [(1, None), (2, None)]
+    assert decontaminate.op5(cases.frame(spark, []), spark.createDataFrame([(1, "fox", "h", "p")], cases.BENCH_SCHEMA)).count() == 0
 
 
 def test_model_scoring(spark, monkeypatch):

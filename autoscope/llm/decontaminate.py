@@ -59,36 +59,45 @@ def fingerprints(rows: DataFrame, needs: list[int], header: bool = False) -> Dat
         k = GRAM if need == WINDOW else need
         rows = rows.withColumn(f"g{need}", F.when(F.size("words") >= need, F.transform(
             F.sequence(F.lit(0), F.size("words") - k), _gram_at(k))))
-        base, number = need << 32, F.size("words") - need  # a class and a place in one number
-        runs.append(F.when(number >= 0, F.sequence(F.lit(base), base + number.cast("long"))).otherwise(F.array().cast("array<bigint>")))
-    rows = rows.withColumn("at", F.explode(F.concat(*runs))).withColumns({
-        "need": F.when(F.col("at") >= 0, F.shiftright("at", 32).cast("int")), "p": F.when(F.col("at") >= 0, F.col("at").bitwiseAND(0xFFFFFFFF)).otherwise(0).cast("int")})
-    found = F.coalesce(*[F.when(F.col("need") == n, F.get(f"g{n}", F.col("p"))) for n in needs if n < WINDOW],
-                       F.xxhash64(*[c for c in kept if c != "words"]))
+        # a class and a place in one number: the place itself for whole windows
+        base, number = (0 if need == WINDOW else need << 32), F.size("words") - need
+        runs.append(F.when(number >= 0, F.sequence(F.lit(base).cast("long"), base + number.cast("long"))).otherwise(
+            F.array().cast("array<bigint>")))
+    rows, at = rows.withColumn("at", F.explode(F.concat(*runs))), F.col("at")
+    place, h = F.greatest(at, F.lit(0)).bitwiseAND(0x7FFFFFFF).cast("int"), F.xxhash64(*[c for c in kept if c != "words"])
+    need = F.shiftright(at, 32).cast("int")
+    for n in needs:
+        if n < WINDOW:
+            h = F.when(need == n, F.get(f"g{n}", place)).otherwise(h)
     if WINDOW in needs:
-        reach = WINDOW - GRAM
-        grams = [F.get(f"g{WINDOW}", F.col("p") + j) for j in range(-1, reach + 1)]
+        grams, whole = [F.get(f"g{WINDOW}", at + j) for j in range(-1, WINDOW - GRAM + 1)], (at >= 0) & (at < 1 << 32)
         least = F.least(*grams[1:])
         # the least (of equal ones the first) is not that of the run before
-        fresh = (F.col("p") == 0) | (grams[0] <= least) | (grams[-1] < F.least(*grams[1:-1]))
-        whole = F.col("need") == WINDOW
-        rows = rows.where(F.col("need").isNull() | ~whole | fresh)
-        place = F.col("p") + F.array_position(F.slice(f"g{WINDOW}", F.col("p") + 1, reach + 1), least).cast("int") - 1
-        return rows.select(*kept, "need", F.when(whole, place).otherwise(F.col("p")).alias("p"), F.when(whole, least).otherwise(found).alias("h"))
-    return rows.select(*kept, "need", "p", found.alias("h"))
+        rows = rows.where(~whole | (at == 0) | (grams[0] <= least) | (grams[-1] < F.least(*grams[1:-1])))
+        place = F.when(whole, place + F.array_position(F.slice(f"g{WINDOW}", place + 1, WINDOW - GRAM + 1), least).cast("int") - 1).otherwise(place)
+        h = F.when(whole, least).otherwise(h)
+    return rows.select(*kept, F.when(at >= 0, F.when(need == 0, WINDOW).otherwise(need)).alias("need"), place.alias("p"), h.alias("h"))
 
 
 def _gram_at(k: int):
     return lambda i: F.xxhash64(*[F.get("hashes", i + j) for j in range(k)])
 
 
+def _before() -> Column:
+    return F.when(F.col("need") == WINDOW, F.least(F.col("p"), F.lit(WINDOW - GRAM))).otherwise(0)
+
+
 def around(rows: DataFrame) -> DataFrame:
-    """Fingerprints with ``left``, the words before each, nearest first, and
-    ``right``, those from it on, in place of ``words``."""
-    before = F.when(F.col("need") == WINDOW, F.least(F.col("p"), F.lit(WINDOW - GRAM))).otherwise(0)
-    return rows.withColumns({
-        "left": F.reverse(F.slice("words", F.col("p") - before + 1, before)),
-        "right": F.slice("words", F.col("p") + 1, F.coalesce("need", F.lit(0)))}).drop("words")
+    """Fingerprints with ``near``, the words that an extension can need, in
+    place of ``words``."""
+    return rows.withColumn("near", F.slice("words", F.col("p") - _before() + 1, _before() + F.coalesce("need", F.lit(0)))).drop("words")
+
+
+def sides(rows: DataFrame) -> DataFrame:
+    """``near`` as ``left``, the words before a fingerprint, nearest first, and
+    ``right``, those from it on."""
+    return rows.withColumns({"left": F.reverse(F.slice("near", 1, _before())),
+                             "right": F.slice("near", _before() + 1, F.coalesce("need", F.lit(0)))}).drop("near")
 
 
 def common_start(a: Column, b: Column) -> Column:
@@ -114,7 +123,7 @@ def scan(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
             ("ctx", "long"), ("p", "int"), ("l", "int"), ("r", "int"))])
         return plain, items.select(F.lit(0).cast("long").alias("ctx"), "item").limit(0)
     # an item belongs to the class of its size alone
-    marks = around(fingerprints(size, needs).where(F.col("need") == F.col("size")))
+    marks = sides(around(fingerprints(size, needs).where(F.col("need") == F.col("size"))))
     known = materialize(marks.select("h", "left", "right", "need", "item").distinct()
                         .withColumn("ctx", F.xxhash64("h", "left", "right", "need")), "benchmark")
     contexts = known.select("h", "left", "right", "need", "ctx").distinct()
@@ -127,8 +136,8 @@ def scan(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     both = around(both) if few else both
     # written before the comparison: its lambdas would keep a document's words
     # in every fingerprint's row, if they became part of the filter after the join
-    met = materialize(both.select("doc_id", "th", "n_words", "need", "ctx", "p", "left", "right", "b_left", "b_right"), "met")
-    spans = met.select("doc_id", "th", "n_words", "need", "ctx", "p", common_start(F.col("left"), F.col("b_left")).alias("l"),
+    met = materialize(both.select("doc_id", "th", "n_words", "need", "ctx", "p", "near", "b_left", "b_right"), "met")
+    spans = sides(met).select("doc_id", "th", "n_words", "need", "ctx", "p", common_start(F.col("left"), F.col("b_left")).alias("l"),
                        common_start(F.col("right"), F.col("b_right")).alias("r"))
     k = F.when(F.col("need") == WINDOW, GRAM).otherwise(F.col("need"))
     hits = spans.where(F.col("need").isNull() | ((F.col("r") >= k) & (F.col("l") + F.col("r") >= F.col("need")))).drop("need")

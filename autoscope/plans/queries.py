@@ -996,6 +996,19 @@ def q_csv_roundtrip(spark, d):
     return read_csv(spark, path, columns=raw.columns, null_value=NULL_MARKER)
 
 
+@register("csv_split_scan", with_listings(
+    "SELECT " + ", ".join(n for n, _ in testdata.RAW_LISTING_COLUMNS) + " FROM raw"))
+def q_csv_split_scan(spark, d):
+    """A1: the raw listings written as quoted CSV, each file scanned by as many
+    tasks as it has splits."""
+    from autoscope.sources.csv_split import read_csv_split
+    from autoscope.sources.io import NULL_MARKER, write_csv
+    raw = testdata.raw_listings(spark, d)
+    path = _scratch(spark, "csv")
+    write_csv(raw, path)
+    return read_csv_split(spark, path, raw.columns, null_value=NULL_MARKER)
+
+
 @register("parquet_roundtrip", with_listings("SELECT * FROM clean"))
 def q_parquet_roundtrip(spark, d):
     """A2 + A4: cleaned listings written as Parquet and read back."""

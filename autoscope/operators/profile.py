@@ -6,11 +6,15 @@ caller decides whether to collect the small result.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from autoscope.operators.stats import running_total
+from autoscope.session import materialize
+
 
 def shape(df: DataFrame) -> DataFrame:
     """B1: row count and column count as one row."""
@@ -41,14 +45,21 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct().orderBy(F.asc_nulls_first(col))
 
 
+#: relative rank error of the quantile sketch is one over this
+ACCURACY = 2000
+_LEAST, _MOST = float("-inf"), float("nan")  # NaN is the greatest double in Spark's order
+
+
 def summary(df: DataFrame, numbers: list[str], texts: list[str]) -> DataFrame:
     """One row per column.
 
     Numbers: count, mean, stddev, min, exact quartiles, max.  Texts and other
-    types: count, min_text, max_text.  The moments of all columns are one
-    aggregate; the quartiles come from counted distinct values.  A column
-    without values has count 0 and nulls.
+    types: count, min_text, max_text.  The moments of all columns and a
+    quantile sketch of each number are one aggregate; the quartiles are then
+    made exact (``exact_quantiles``).  A column without values has count 0
+    and nulls.
     """
+    probs = [0.25, 0.5, 0.75]
     entries = []
     for c in numbers:
         x, none = F.col(f"`{c}`").cast("double"), F.lit(None)
@@ -60,61 +71,128 @@ def summary(df: DataFrame, numbers: list[str], texts: list[str]) -> DataFrame:
         entries.append(F.struct(
             F.lit(c).alias("col_name"), F.count(x).alias("count"), none.alias("mean"), none.alias("stddev"), none.alias("min"),
             none.alias("max"), F.min(x).alias("min_text"), F.max(x).alias("max_text")))
-    moments = df.agg(F.array(*entries).alias("a")).select(F.explode("a").alias("e")).select("e.*")
-    quartiles = exact_quantiles(df, numbers, [0.25, 0.5, 0.75]).groupBy("col_name").pivot("p", [0.25, 0.5, 0.75]).agg(
+    once = materialize(df.agg(F.array(*entries).alias("a"), *_sketches(numbers, probs)), "moments")
+    moments = once.select(F.explode("a").alias("e")).select("e.*")
+    quartiles = exact_quantiles(df, numbers, probs, once.drop("a").first()).groupBy("col_name").pivot("p", probs).agg(
         F.first("value")).toDF("col_name", "p25", "p50", "p75")
     return moments.join(quartiles, "col_name", "left")
 
 
-def _unpivot_values(df: DataFrame, cols: list[str]) -> DataFrame:
-    entries = [F.struct(F.lit(c).alias("col_name"), F.col(f"`{c}`").cast("double").alias("v")) for c in cols]
-    return df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").filter(F.col("v").isNotNull())
+def _sketches(cols: list[str], probs: list[float]) -> list[Column]:
+    """Per column the values a little before and after each probability, from
+    Spark's mergeable quantile sketch: what a task sends has a fixed size."""
+    at = [min(max(p + side * 2 / ACCURACY, 0.0), 1.0) for p in probs for side in (-1, 1)]
+    return [F.percentile_approx(F.col(f"`{c}`").cast("double"), at, ACCURACY).alias(f"q{i}") for i, c in enumerate(cols)]
+
+
+def _brackets(ends: list[float] | None, probs: list[float]) -> list[tuple[float, float]]:
+    """The interval of values that should hold each probability's ranks."""
+    if not ends:
+        return [(_LEAST, _MOST)] * len(probs)
+    return [(_LEAST if p <= 2 / ACCURACY else ends[2 * i], _MOST if p >= 1 - 2 / ACCURACY else ends[2 * i + 1])
+            for i, p in enumerate(probs)]
+
+
+def _above(x: float) -> tuple[bool, float]:
+    """Sort key of a double in Spark's order, NaN last."""
+    return (x != x, 0.0 if x != x else x)
 
 
-def _wanted_ranks(counts: DataFrame, probs: list[float]) -> DataFrame:
-    """Per column and probability: the two 0-based ranks ``quantile_cont`` interpolates."""
-    wanted = []
-    for p in probs:
-        pos = (F.col("n") - 1) * F.lit(p)
-        wanted.append(F.struct(F.lit(p).alias("p"), F.floor(pos).cast("long").alias("lo"),
-                               F.ceil(pos).cast("long").alias("hi"), (pos - F.floor(pos)).alias("frac")))
-    return counts.select("col_name", "n", F.explode(F.array(*wanted)).alias("w")).select("col_name", "n", "w.*")
+def _disjoint(intervals: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Intervals that meet become one."""
+    merged: list[tuple[float, float]] = []
+    for lo, hi in sorted(intervals, key=lambda t: (_above(t[0]), _above(t[1]))):
+        if merged and _above(lo) <= _above(merged[-1][1]):
+            merged[-1] = (merged[-1][0], max(merged[-1][1], hi, key=_above))
+        else:
+            merged.append((lo, hi))
+    return merged
 
 
-def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
-    """``(col_name, v, n)``: every distinct value of several numeric columns
-    with its frequency.  Ties -- one value may hold most of a column --
-    collapse in the map-side step."""
-    return _unpivot_values(df, cols).groupBy("col_name", "v").agg(F.count(F.lit(1)).alias("n"))
+def _held(df: DataFrame, cols: list[str], intervals: list[list[tuple[float, float]]]) -> list[tuple[int, list[tuple[int, int]]]]:
+    """Per column its number of values and, per interval, how many values are
+    below it and in it: one aggregate, one row."""
+    aggs = []
+    for i, (c, parts) in enumerate(zip(cols, intervals)):
+        x = F.col(f"`{c}`").cast("double")
+        aggs.append(F.count(x).alias(f"n{i}"))
+        for j, (lo, hi) in enumerate(parts):
+            aggs += [F.count_if(x < F.lit(lo)).alias(f"b{i}_{j}"), F.count_if((x >= F.lit(lo)) & (x <= F.lit(hi))).alias(f"h{i}_{j}")]
+    row = df.agg(*aggs).first()
+    return [(row[f"n{i}"], [(row[f"b{i}_{j}"], row[f"h{i}_{j}"]) for j in range(len(parts))]) for i, parts in enumerate(intervals)]
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+def _ranks(n: int, p: float) -> tuple[int, int, float]:
+    """The two 0-based ranks ``quantile_cont`` interpolates, and how far."""
+    pos = (n - 1) * p
+    lo = math.floor(pos)
+    return lo, min(math.ceil(pos), n - 1), pos - lo
+
+
+def value_counts(df: DataFrame, cols: list[str], intervals: list[list[tuple[float, float]]] | None = None) -> DataFrame:
+    """``(col_name, part, v, n)``: every distinct value of several numeric
+    columns with its frequency; only values in a column's ``intervals`` (the
+    number of the interval is ``part``) if these are given.  Ties -- one value
+    may hold most of a column -- collapse in the map-side step."""
+    entries = []
+    for c, parts in zip(cols, intervals or [[(_LEAST, _MOST)]] * len(cols)):
+        x = F.col(f"`{c}`").cast("double")
+        part = F.lit(None).cast("int")
+        for j, (lo, hi) in enumerate(parts):
+            part = F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), j).otherwise(part)
+        entries.append(F.when(x.isNotNull() & part.isNotNull(), F.struct(F.lit(c).alias("col_name"), part.alias("part"), x.alias("v"))))
+    return (df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+            .groupBy("col_name", "part", "v").agg(F.count(F.lit(1)).alias("n")))
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], sketch: Row | None = None) -> DataFrame:
     """Exact interpolated quantiles (``quantile_cont``) of several columns:
     ``(col_name, p, value)``, null for a column without values.
 
-    Distinct values are counted first; a distributed prefix sum over the
-    counts gives each value the range of ranks it holds, and the value that
-    holds a wanted rank is picked.  No row travels but one per distinct
-    value and task.  The wanted ranks (columns x probabilities) are broadcast.
+    A quantile sketch brackets each wanted rank; a count below and inside each
+    bracket proves that it holds the rank (where it does not, the bracket
+    becomes the whole column).  Only values inside a bracket travel, about
+    ``6 / ACCURACY`` of a column for each probability, counted by value first.
+    A distributed prefix sum over the counts gives each value its ranks.
+
+    ``df`` is read three times, or twice if the row of ``_sketches`` is handed
+    in; the driver sees one row of it for each pass.
     """
-    from autoscope.operators.stats import running_total
-
-    counts = running_total(value_counts(df, cols), "n", ["col_name", "v"], "upto")
-    sizes = counts.groupBy("col_name").agg(F.sum("n").alias("total"), F.max("upto").alias("last"))
-    held = (counts.join(F.broadcast(sizes), "col_name")
-                  .withColumn("after", F.col("upto") - (F.col("last") - F.col("total")))
-                  .select("col_name", "v", (F.col("after") - F.col("n")).alias("first"), "after"))
-    need = _wanted_ranks(sizes.select("col_name", F.col("total").alias("n")), probs)
-
-    def at(rank: str, name: str) -> DataFrame:
-        found = held.join(F.broadcast(need), "col_name").where((F.col(rank) >= F.col("first")) & (F.col(rank) < F.col("after")))
-        return found.select("col_name", "p", "frac", F.col("v").alias(name))
-
-    both = at("lo", "v_lo").join(at("hi", "v_hi").drop("frac"), ["col_name", "p"])
-    value = F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))
-    asked = [F.struct(F.lit(c).alias("col_name"), F.lit(p).alias("p")) for c in cols for p in probs]
-    wanted = df.sparkSession.range(1).select(F.explode(F.array(*asked)).alias("e")).select("e.*")
-    return wanted.join(both.select("col_name", "p", value.alias("value")), ["col_name", "p"], "left")
+    spark = df.sparkSession
+    empty = spark.createDataFrame([], "col_name string, p double, value double")
+    if not cols or not probs:
+        return empty
+    sketch = sketch or df.agg(*_sketches(cols, probs)).first()
+    brackets = [_brackets(sketch[f"q{i}"], probs) for i in range(len(cols))]
+    intervals = [_disjoint(b) for b in brackets]
+    held = _held(df, cols, intervals)
+    wanted: list[tuple] = []
+    for i, c in enumerate(cols):
+        n, counts = held[i]
+        if not n:
+            intervals[i] = []
+            continue
+        ranks = [_ranks(n, p) for p in probs]
+        places = [next((j for j, (below, here) in enumerate(counts) if below <= lo and hi < below + here), None) for lo, hi, _ in ranks]
+        if None in places:
+            intervals[i], counts, places = [(_LEAST, _MOST)], [(0, n)], [0] * len(probs)
+        wanted += [(c, j, p, counts[j][0], *r) for j, p, r in zip(places, probs, ranks)]
+
+    asked = spark.createDataFrame([(c, p) for c in cols for p in probs], "col_name string, p double")
+    if not wanted:
+        return asked.join(empty, ["col_name", "p"], "left")
+    need = F.broadcast(spark.createDataFrame(wanted, "col_name string, part int, p double, below long, lo long, hi long, frac double"))
+    counts = running_total(value_counts(df, cols, intervals), "n", ["col_name", "part", "v"], "upto")
+    starts = counts.groupBy("col_name", "part").agg(F.min(F.col("upto") - F.col("n")).alias("start"))
+    placed = counts.join(F.broadcast(starts), ["col_name", "part"]).join(need, ["col_name", "part"]).withColumn(
+        "after", F.col("below") + F.col("upto") - F.col("start")).withColumn("first", F.col("after") - F.col("n"))
+    has = lambda rank: (F.col(rank) >= F.col("first")) & (F.col(rank) < F.col("after"))
+    # both ranks of a probability are found among the bracketed values: one row each
+    both = placed.where(has("lo") | has("hi")).groupBy("col_name", "p", "frac").agg(
+        F.max(F.when(has("lo"), F.col("v"))).alias("v_lo"), F.max(F.when(has("hi"), F.col("v"))).alias("v_hi"))
+    value = F.when(F.col("v_lo") == F.col("v_hi"), F.col("v_lo")).otherwise(
+        F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo")))
+    return asked.join(both.select("col_name", "p", value.alias("value")), ["col_name", "p"], "left")
 
 
 def all_present(cols: list[str]) -> Column:

@@ -113,3 +113,46 @@ def test_counted_values_merge_ties_before_ranking(spark):
     df = spark.createDataFrame([(1.0,)] * 400 + [(float(i),) for i in range(600)], "a double").repartition(5)
     counts = profile.value_counts(df, ["a"])
     assert counts.count() == 600 and counts.where("v = 1").first().n == 401
+
+
+def _quantiles(got):
+    return {(r.col_name, r.p): r.value for r in got.collect()}
+
+
+def test_only_bracketed_values_travel(spark, monkeypatch):
+    """Continuous values beside a tie that holds a third of its column."""
+    import numpy as np
+    df = spark.range(0, 60_000, 1, 8).selectExpr("(id * 7919) % 60013 + 0.5D as a", "if(id % 3 = 0, 5.0, cast(id as double)) as b")
+    sent, counted = [], profile.value_counts
+
+    def count(*args):
+        sent.append(counted(*args))
+        return sent[-1]
+
+    monkeypatch.setattr(profile, "value_counts", count)
+    probs = [0.0, 0.25, 0.5, 1.0]
+    got = _quantiles(profile.exact_quantiles(df, ["a", "b"], probs))
+    rows = df.toPandas()
+    for (c, p), v in got.items():
+        assert math.isclose(v, float(np.quantile(rows[c], p)), rel_tol=1e-12)
+    most = 8 * len(probs) / profile.ACCURACY
+    per = {r.col_name: r["count"] for r in sent[0].groupBy("col_name").count().collect()}
+    assert all(n <= most * 60_000 for n in per.values()), per
+
+
+def test_a_bracket_without_the_rank_is_widened(spark):
+    from pyspark.sql import Row
+    df = spark.range(1, 1002).selectExpr("cast(id as double) as a")
+    wrong = Row(q0=[900.0, 901.0, 2.0, 3.0])
+    assert _quantiles(profile.exact_quantiles(df, ["a"], [0.25, 0.5], wrong)) == {("a", 0.25): 251.0, ("a", 0.5): 501.0}
+
+
+def test_quantiles_of_awkward_columns(spark):
+    """Infinities and NaN (the greatest value), one value, no values, no rows."""
+    inf = float("inf")
+    df = spark.createDataFrame([(-inf, 3.0, None), (1.0, None, None), (inf, None, None), (float("nan"), None, None)],
+                               "a double, `b.c` double, z double")
+    got = _quantiles(profile.exact_quantiles(df, ["a", "b.c", "z"], [0.0, 0.5]))
+    assert got == {("a", 0.0): -inf, ("a", 0.5): inf, ("b.c", 0.0): 3.0, ("b.c", 0.5): 3.0, ("z", 0.0): None, ("z", 0.5): None}
+    assert _quantiles(profile.exact_quantiles(df.limit(0), ["a"], [0.5])) == {("a", 0.5): None}
+    assert profile.exact_quantiles(df, [], [0.5]).collect() == []

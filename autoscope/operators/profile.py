@@ -109,19 +109,6 @@ def _disjoint(intervals: list[tuple[float, float]]) -> list[tuple[float, float]]
     return merged
 
 
-def _held(df: DataFrame, cols: list[str], intervals: list[list[tuple[float, float]]]) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Per column its number of values and, per interval, how many values are
-    below it and in it: one aggregate, one row."""
-    aggs = []
-    for i, (c, parts) in enumerate(zip(cols, intervals)):
-        x = F.col(f"`{c}`").cast("double")
-        aggs.append(F.count(x).alias(f"n{i}"))
-        for j, (lo, hi) in enumerate(parts):
-            aggs += [F.count_if(x < F.lit(lo)).alias(f"b{i}_{j}"), F.count_if((x >= F.lit(lo)) & (x <= F.lit(hi))).alias(f"h{i}_{j}")]
-    row = df.agg(*aggs).first()
-    return [(row[f"n{i}"], [(row[f"b{i}_{j}"], row[f"h{i}_{j}"]) for j in range(len(parts))]) for i, parts in enumerate(intervals)]
-
-
 def _ranks(n: int, p: float) -> tuple[int, int, float]:
     """The two 0-based ranks ``quantile_cont`` interpolates, and how far."""
     pos = (n - 1) * p
@@ -131,68 +118,71 @@ def _ranks(n: int, p: float) -> tuple[int, int, float]:
 
 def value_counts(df: DataFrame, cols: list[str], intervals: list[list[tuple[float, float]]] | None = None) -> DataFrame:
     """``(col_name, part, v, n)``: every distinct value of several numeric
-    columns with its frequency; only values in a column's ``intervals`` (the
-    number of the interval is ``part``) if these are given.  Ties -- one value
-    may hold most of a column -- collapse in the map-side step."""
+    columns with its frequency.  With disjoint ascending ``intervals`` a column,
+    values outside them are only counted: part 2j holds those before interval
+    j (without ``v``), part 2j + 1 the values inside it.  Ties -- one value may
+    hold most of a column -- collapse in the map-side step, and so does
+    everything outside the intervals."""
     entries = []
     for c, parts in zip(cols, intervals or [[(_LEAST, _MOST)]] * len(cols)):
         x = F.col(f"`{c}`").cast("double")
-        part = F.lit(None).cast("int")
-        for j, (lo, hi) in enumerate(parts):
-            part = F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), j).otherwise(part)
-        entries.append(F.when(x.isNotNull() & part.isNotNull(), F.struct(F.lit(c).alias("col_name"), part.alias("part"), x.alias("v"))))
-    return (df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
-            .groupBy("col_name", "part", "v").agg(F.count(F.lit(1)).alias("n")))
+        part = F.lit(2 * len(parts))
+        for j, (lo, hi) in reversed(list(enumerate(parts))):
+            part = F.when(x < F.lit(lo), 2 * j).when(x <= F.lit(hi), 2 * j + 1).otherwise(part)
+        entries.append(F.struct(F.lit(c).alias("col_name"), part.alias("part"), x.alias("v")))
+    inside = F.when(F.col("e.part") % 2 == 1, F.col("e.v"))
+    return (df.select(F.explode(F.array(*entries)).alias("e")).where("e.v is not null")
+            .select("e.col_name", "e.part", inside.alias("v")).groupBy("col_name", "part", "v").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _at_ranks(df: DataFrame, cols: list[str], intervals: list[list[tuple[float, float]]], probs: list[float]) -> dict:
+    """{(column, probability): quantile, or None where a rank is outside the
+    column's intervals}; columns without values are left out."""
+    spark = df.sparkSession
+    counts = running_total(value_counts(df, cols, intervals), "n", ["col_name", "part", "v"], "upto")
+    sizes = counts.groupBy("col_name").agg(F.sum("n").alias("total"), F.max("upto").alias("last"))
+    wanted, before = {}, []
+    for r in sizes.collect():  # a row a column
+        before.append((r.col_name, r["last"] - r.total))
+        wanted |= {(r.col_name, p): _ranks(r.total, p) for p in probs}
+    if not wanted:
+        return {}
+    ranks = spark.createDataFrame([(c, rank) for c, rank in {(c, rank) for (c, _), w in wanted.items() for rank in w[:2]}],
+                                  "col_name string, rank long")
+    starts = spark.createDataFrame(before, "col_name string, start long")
+    after = F.col("upto") - F.col("start")
+    found = counts.join(F.broadcast(starts), "col_name").join(F.broadcast(ranks), "col_name").where(
+        (F.col("rank") >= after - F.col("n")) & (F.col("rank") < after)).select("col_name", "rank", "v")
+    at = {(r.col_name, r["rank"]): r.v for r in found.collect()}  # at most two rows a column and probability
+    out = {}
+    for (c, p), (lo, hi, frac) in wanted.items():
+        x, y = at[c, lo], at[c, hi]
+        out[c, p] = None if x is None or y is None else x if x == y or not frac else x + frac * (y - x)
+    return out
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], sketch: Row | None = None) -> DataFrame:
     """Exact interpolated quantiles (``quantile_cont``) of several columns:
     ``(col_name, p, value)``, null for a column without values.
 
-    A quantile sketch brackets each wanted rank; a count below and inside each
-    bracket proves that it holds the rank (where it does not, the bracket
-    becomes the whole column).  Only values inside a bracket travel, about
-    ``6 / ACCURACY`` of a column for each probability, counted by value first.
-    A distributed prefix sum over the counts gives each value its ranks.
+    A quantile sketch brackets each wanted rank.  Then values inside a bracket
+    are counted by value, about ``6 / ACCURACY`` of a column for each
+    probability, and all others by the gap they are in, so that a distributed
+    prefix sum gives every bracketed value its ranks.  A column of which a
+    rank falls into a gap is counted again without brackets.
 
-    ``df`` is read three times, or twice if the row of ``_sketches`` is handed
-    in; the driver sees one row of it for each pass.
+    ``df`` is read twice, or once if the row of ``_sketches`` is handed in.
+    The driver sees a row a column and probability.
     """
-    spark = df.sparkSession
-    empty = spark.createDataFrame([], "col_name string, p double, value double")
-    if not cols or not probs:
-        return empty
-    sketch = sketch or df.agg(*_sketches(cols, probs)).first()
-    brackets = [_brackets(sketch[f"q{i}"], probs) for i in range(len(cols))]
-    intervals = [_disjoint(b) for b in brackets]
-    held = _held(df, cols, intervals)
-    wanted: list[tuple] = []
-    for i, c in enumerate(cols):
-        n, counts = held[i]
-        if not n:
-            intervals[i] = []
-            continue
-        ranks = [_ranks(n, p) for p in probs]
-        places = [next((j for j, (below, here) in enumerate(counts) if below <= lo and hi < below + here), None) for lo, hi, _ in ranks]
-        if None in places:
-            intervals[i], counts, places = [(_LEAST, _MOST)], [(0, n)], [0] * len(probs)
-        wanted += [(c, j, p, counts[j][0], *r) for j, p, r in zip(places, probs, ranks)]
-
-    asked = spark.createDataFrame([(c, p) for c in cols for p in probs], "col_name string, p double")
-    if not wanted:
-        return asked.join(empty, ["col_name", "p"], "left")
-    need = F.broadcast(spark.createDataFrame(wanted, "col_name string, part int, p double, below long, lo long, hi long, frac double"))
-    counts = running_total(value_counts(df, cols, intervals), "n", ["col_name", "part", "v"], "upto")
-    starts = counts.groupBy("col_name", "part").agg(F.min(F.col("upto") - F.col("n")).alias("start"))
-    placed = counts.join(F.broadcast(starts), ["col_name", "part"]).join(need, ["col_name", "part"]).withColumn(
-        "after", F.col("below") + F.col("upto") - F.col("start")).withColumn("first", F.col("after") - F.col("n"))
-    has = lambda rank: (F.col(rank) >= F.col("first")) & (F.col(rank) < F.col("after"))
-    # both ranks of a probability are found among the bracketed values: one row each
-    both = placed.where(has("lo") | has("hi")).groupBy("col_name", "p", "frac").agg(
-        F.max(F.when(has("lo"), F.col("v"))).alias("v_lo"), F.max(F.when(has("hi"), F.col("v"))).alias("v_hi"))
-    value = F.when(F.col("v_lo") == F.col("v_hi"), F.col("v_lo")).otherwise(
-        F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo")))
-    return asked.join(both.select("col_name", "p", value.alias("value")), ["col_name", "p"], "left")
+    asked = [(c, p) for c in cols for p in probs]
+    at: dict = {}
+    if asked:
+        sketch = sketch or df.agg(*_sketches(cols, probs)).first()
+        at = _at_ranks(df, cols, [_disjoint(_brackets(sketch[f"q{i}"], probs)) for i in range(len(cols))], probs)
+        again = sorted({c for (c, _), v in at.items() if v is None})
+        if again:
+            at |= _at_ranks(df, again, [[(_LEAST, _MOST)]] * len(again), probs)
+    return df.sparkSession.createDataFrame([(c, p, at.get((c, p))) for c, p in asked], "col_name string, p double, value double")
 
 
 def all_present(cols: list[str]) -> Column:

@@ -5,9 +5,10 @@ are taken first; the rest of the budget is filled by a subset of its
 documents.  Documents are counted by exact length; lengths are taken in
 proportion, then greedily, and a bounded-knapsack over the lengths left over
 closes the remaining budget.  Which documents of a length are taken follows a
-seeded hash of the id, so reruns agree.
+seeded hash of id and text, so reruns agree.
 
-Rows with the same source, id and size are taken together.
+The unit is the row: rows with the same source, id and text are counted, not
+added up, so a unit's length is never more than one document's.
 """
 
 from __future__ import annotations
@@ -112,69 +113,89 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndar
 
 def decide(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(per source: skey, source_size, target, base copies; per distinct
-    skey, doc_id and size: rows, extra 0 or 1)."""
-    rows = docs.select(source_key(F.col("source")).alias("skey"), "doc_id", word_count(F.col("text")).alias("size"))
-    units = materialize(rows.groupBy("skey", "doc_id", "size").agg(F.count("*").alias("m"))
-                        .withColumn("length", F.col("size") * F.col("m")), "units")
-    sources = materialize(targets(units).withColumn(
+    skey, doc_id, size and text hash: m rows, of which ``extra`` get one more copy)."""
+    rows = docs.select(source_key(F.col("source")).alias("skey"), "doc_id", word_count(F.col("text")).alias("size"),
+                       F.xxhash64("text").alias("th"))
+    units = materialize(rows.groupBy("skey", "doc_id", "size", "th").agg(F.count("*").alias("m")), "units")
+    sources = materialize(targets(units.withColumn("length", F.col("size") * F.col("m"))).withColumn(
         "base", F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)).cast("long"))
         .withColumn("budget", F.greatest(F.lit(0).cast("long"), F.round("target").cast("long") - F.col("base") * F.col("source_size"))),
         "sources")
-    counted = units.where("length > 0").groupBy("skey", "length").agg(F.count("*").alias("n")).join(
+    counted = units.where("size > 0").groupBy("skey", "size").agg(F.sum("m").alias("n")).join(
         bounded(sources.select("skey", "budget")), "skey")
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("length")
-        extra = fit_lengths(pdf["length"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64), int(pdf["budget"].iloc[0]))
-        return pd.DataFrame({"skey": pdf["skey"], "length": pdf["length"], "n": pdf["n"], "extra": extra})
-
-    wanted = materialize(counted.groupBy("skey").applyInPandas(fit, "skey string, length long, n long, extra long")
-                         .where("extra > 0"), "wanted")
-    draw = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(SEED))
-    among = units.join(wanted, ["skey", "length"]).withColumn("draw", draw).withColumn("bucket", F.pmod("draw", F.lit(BUCKETS)))
-    whole = among.where("extra = n")
-    part = among.where("extra < n")
+        pdf = pdf.sort_values("size")
+        take = fit_lengths(pdf["size"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64), int(pdf["budget"].iloc[0]))
+        return pd.DataFrame({"skey": pdf["skey"], "size": pdf["size"], "n": pdf["n"], "take": take})
+
+    wanted = materialize(counted.groupBy("skey").applyInPandas(fit, "skey string, size long, n long, take long")
+                         .where("take > 0"), "wanted")
+    # the text counts too: rows without an id, or of one id, spread over the buckets
+    draw = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "th", F.lit(SEED))
+    among = units.join(wanted, ["skey", "size"]).withColumn("draw", draw).withColumn("bucket", F.pmod("draw", F.lit(BUCKETS)))
+    whole = among.where("take = n")
+    part = among.where("take < n")
     # ranked by bucket first: only the bucket in which the count runs out is
-    # ranked row by row
-    per = part.groupBy("skey", "length", "bucket").agg(F.count("*").alias("here")).withColumn("before", F.coalesce(
-        F.sum("here").over(Window.partitionBy("skey", "length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
+    # ranked unit by unit
+    per = part.groupBy("skey", "size", "bucket").agg(F.sum("m").alias("here")).withColumn("before", F.coalesce(
+        F.sum("here").over(Window.partitionBy("skey", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)))
-    placed = part.join(per, ["skey", "length", "bucket"]).where("before < extra")
-    inside = placed.where("before + here <= extra")
-    rank = F.row_number().over(Window.partitionBy("skey", "length", "bucket").orderBy("draw", "doc_id", "size"))
-    edge = placed.where("before + here > extra").withColumn("rank", rank).where("rank <= extra - before")
-    columns = ["skey", "doc_id", "size"]
-    chosen = whole.select(columns).union(inside.select(columns)).union(edge.select(columns)).withColumn("extra", F.lit(1))
+    placed = part.join(per, ["skey", "size", "bucket"]).where("before < take")
+    inside = placed.where("before + here <= take")
+    ahead = F.sum("m").over(Window.partitionBy("skey", "size", "bucket").orderBy("draw", "doc_id", "th")
+                            .rowsBetween(Window.unboundedPreceding, -1))
+    edge = (placed.where("before + here > take").withColumn("left", F.col("take") - F.col("before") - F.coalesce(ahead, F.lit(0)))
+            .where("left > 0").withColumn("extra", F.least("m", "left")))
+    columns = ["skey", "doc_id", "size", "th"]
+    chosen = whole.union(inside.select(whole.columns)).withColumn("extra", F.col("m")).select(*columns, "extra").union(
+        edge.select(*columns, "extra"))
     u, c = units.alias("u"), chosen.alias("c")
-    same = (F.col("u.skey") == F.col("c.skey")) & (F.col("u.size") == F.col("c.size")) & F.col("u.doc_id").eqNullSafe(F.col("c.doc_id"))
+    same = ((F.col("u.skey") == F.col("c.skey")) & (F.col("u.size") == F.col("c.size"))
+            & F.col("u.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("u.th") == F.col("c.th")))
     return sources, u.join(c, same, "left").select(
-        "u.skey", "u.doc_id", "u.size", "u.m", F.coalesce("c.extra", F.lit(0)).cast("long").alias("extra"))
+        "u.skey", "u.doc_id", "u.size", "u.th", "u.m", F.coalesce("c.extra", F.lit(0)).cast("long").alias("extra"))
 
 
 def op8(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken for every row of ``docs``.
 
     Null texts have size 0 and nothing of them is taken; null sources are one
-    source, last in order; an empty table gives an empty result.
+    source, last in order; an empty table gives an empty result.  Rows
+    without an id, or of a repeated one, are documents like any other; which
+    of several rows with the same source, id and text takes the extra copy
+    makes no difference.  Only doc_id, source and text are read.
     """
     sources, units = decide(docs)
     rows = units.join(bounded(sources), "skey").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "m")))
-    return rows.select("doc_id", "size", "source_size", "target",
-                       (F.col("size") * (F.col("base") + F.col("extra"))).alias("taken"))
+    more = (F.col("copy") <= F.col("extra")).cast("long")
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * (F.col("base") + more)).alias("taken"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it.  Rows without
-    words stay as they are: they use no budget."""
+    """The rows of ``docs``, each as often as the mix takes it.
+
+    Rows without words (null and empty texts among them) stay as they are:
+    they use no budget.  Of rows with the same source, id and text all, some
+    or none take an extra copy; where only some do, the extra copies are of
+    the row that is least as JSON.  An empty table stays empty; all columns
+    are kept as they are.
+    """
     sources, units = decide(docs)
-    picked = materialize(units.where("extra = 1").select(
-        F.col("skey").alias("mix_key"), F.col("doc_id").alias("mix_id"), F.col("size").alias("mix_size")), "picked")
+    picked = materialize(units.where("extra > 0").select(
+        F.col("skey").alias("mix_key"), F.col("doc_id").alias("mix_id"), F.col("size").alias("mix_size"), F.col("th").alias("mix_th"),
+        (F.col("extra") == F.col("m")).alias("all"), "extra"), "picked")
     base = bounded(sources.select(F.col("skey").alias("base_key"), "base"))
     marked = docs.select(F.struct(*named(docs)).alias("row")).select(
-        "row", source_key(F.col("row.source")).alias("skey"), word_count(F.col("row.text")).alias("size"))
-    joined = marked.join(base, F.col("skey") == F.col("base_key")).join(
-        bounded(picked), (F.col("skey") == F.col("mix_key")) & (F.col("size") == F.col("mix_size"))
-        & F.col("row.doc_id").eqNullSafe(F.col("mix_id")), "left")
-    copies = F.when(F.col("size") == 0, 1).otherwise((F.col("base") + F.when(F.col("mix_key").isNotNull(), 1).otherwise(0)).cast("int"))
-    return (joined.select("row", copies.alias("copies")).where("copies > 0")
-            .select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*"))
+        "row", source_key(F.col("row.source")).alias("skey"), word_count(F.col("row.text")).alias("size"),
+        F.xxhash64("row.text").alias("th"))
+    same = ((F.col("skey") == F.col("mix_key")) & (F.col("size") == F.col("mix_size"))
+            & F.col("row.doc_id").eqNullSafe(F.col("mix_id")) & (F.col("th") == F.col("mix_th")))
+    joined = marked.join(base, F.col("skey") == F.col("base_key")).join(bounded(picked), same, "left")
+    copies = F.when(F.col("size") == 0, 1).otherwise((F.col("base") + F.when(F.col("all"), 1).otherwise(0)).cast("int"))
+    every = joined.select("row", copies.alias("copies")).where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
+    # at most one such unit a source and size
+    some = bounded(picked.where(~F.col("all")))
+    least = marked.join(some, same).groupBy("mix_key", "mix_id", "mix_size", "mix_th").agg(
+        F.min_by("row", F.to_json("row")).alias("row"), F.first("extra").alias("extra"))
+    return every.union(least.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "extra"))).select("row.*"))

@@ -62,6 +62,33 @@ def test_mix_repeats_rows(spark):
     assert got == {k: sum(v) for k, v in taken.items() if sum(v)}
 
 
+def test_mixing_rows_without_an_id_and_repeated_rows(spark):
+    """Units are rows: many of no id and one size, and copies of one row, can
+    be taken in part, and the sums meet the targets."""
+    rows = [(None, f"w{i} " + "x " * 9, "en", "a") for i in range(600)]
+    rows += [(7, "same text here", lang, "b") for lang in ["en", "de"] * 500]
+    rows += [(i, "y " * (i % 30 + 1), "en", "c") for i in range(100, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(6)
+    sizes, target = mixing_targets([(i, t, g, s) for i, t, g, s in rows])
+    got = mixing.op8(docs).collect()
+    assert len(got) == len(rows)
+    took = dict.fromkeys(sizes, 0)
+    for r in got:
+        assert r.taken in (0, r.size, 2 * r.size)
+        s = "a" if r.doc_id is None else "b" if r.doc_id == 7 else "c"
+        took[s] += r.taken
+    assert all(abs(took[s] - target[s]) <= 10 for s in sizes), (took, target)
+    _, units = mixing.decide(docs)
+    split = units.where("extra > 0 and extra < m").collect()
+    assert [(r.doc_id, r.m) for r in split] == [(7, 1000)]
+    mixed = mixing.mix(docs).collect()
+    assert {s: sum(len(cases.words(r.text)) for r in mixed if r.source == s) for s in sizes} == took
+    # whole copies for every row, the rest of the row that is least as JSON
+    count = {g: sum(r.lang == g for r in mixed if r.source == "b") for g in ("en", "de")}
+    assert count["de"] - count["en"] == split[0].extra and count["en"] % 500 == 0
+    assert sorted(map(str, mixing.mix(docs.repartition(3)).collect())) == sorted(map(str, mixed))
+
+
 def test_fit_lengths_meets_the_budget():
     rng = np.random.default_rng(6)
     for _ in range(50):

@@ -173,6 +173,23 @@ def test_top_k(spark, monkeypatch, shard):
     assert sorted(map(tuple, topk.op10(df).collect())) == top_twin(df)
 
 
+def test_top_k_of_every_row(spark, monkeypatch, tmp_path):
+    """The registered query: all rows but the query's own, repeated ones and those without an id too."""
+    monkeypatch.setattr(topk, "SHARD_ROWS", 60)
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.integers(-3, 4, 4)]) for i in range(260)]
+    rows += [rows[7]] * 14 + [rows[100]] * 2 + [(200, [3.0] * 4), (None, [3.0] * 4), (None, None), (300, [float("nan")] * 4)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    good = [(i, [int(1024 * x) for x in v]) for i, v in rows if v and np.isfinite(v).all()]
+    want = []
+    for n, (q, a) in enumerate(good):
+        if q is not None and q % 100 == 0:
+            best = sorted((-sum(x * y for x, y in zip(a, b)), i is None, i or 0) for m, (i, b) in enumerate(good) if m != n)[:10]
+            want += [(q, r + 1, None if none else i, -s) for r, (s, none, i) in enumerate(best)]
+    got = entry.queries()["op10_topk_search"](spark, str(tmp_path)).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
 def test_ball_tree_leaves_nodes_out():
     rng = np.random.default_rng(0)
     rows = np.concatenate([rng.normal(c, 1, (500, 6)) for c in (-50, 0, 50)])

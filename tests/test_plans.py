@@ -66,3 +66,13 @@ def test_dense_key_shuffles_once(spark, monkeypatch):
     monkeypatch.setattr(stats, "materialize", lambda df, name="cut": written.append(df) or df)
     stats.dense_row_key(spark.range(100).selectExpr("cast(id as string) as k"), ["k"])
     assert plan(written[0], "simple").count("Exchange") == 1
+
+
+def test_queries_prepare_only_their_columns(spark):
+    """An analysis of few columns has no others derived, shuffled or written."""
+    for name, columns in (("unmatched_total", ["us_city"]), ("hash_split", ["listing_key"])):
+        files = E.queries()[name](spark, SF_SMALL).inputFiles()
+        assert spark.read.parquet(*files).columns == columns
+    assert E.queries()["clean_int"](spark, SF_SMALL).inputFiles()[0].endswith(".parquet")
+    assert "tables/" not in str(E.queries()["clean_int"](spark, SF_SMALL).inputFiles())
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"

@@ -105,3 +105,19 @@ def test_level_that_only_the_test_part_holds(spark):
     model = FE.fit_encoding(test, ["c"], fit_on=train)
     got = {r["c"]: (r["c_numeric"], r["c_hot"]) for r in FE.hot_positions(model.transform(test), ["c"]).collect()}
     assert got == {"b": (1.0, 1), "z": (2.0, -1)}
+
+
+def test_compressed_csv_round_trip(spark, tmp_path):
+    rows = [("a", 'say "x"\nand, more', None), ("b", "", " pad "), ("c", "é\n\n", "\\")]
+    path = str(tmp_path / "csv")
+    io.write_csv(spark.createDataFrame(rows, "k string, t string, u string").repartition(2), path, compression="lz4")
+    assert all(f.name.endswith(".csv.lz4") for f in (tmp_path / "csv").glob("part-*"))
+    got = io.read_csv(spark, path, columns=["k", "t", "u"], null_value=io.NULL_MARKER).collect()
+    assert sorted(map(tuple, got)) == rows
+
+
+def test_round_trip_query_writes_the_rows_once_and_compressed(spark, tmp_path):
+    from autoscope.plans.queries import QUERIES
+    df = QUERIES["csv_roundtrip"](spark, "/root/testdata/sf0.001")
+    files = df.inputFiles()
+    assert files and all(f.endswith(".csv.lz4") for f in files)

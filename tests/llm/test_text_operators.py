@@ -291,3 +291,18 @@ def test_samples_of_any_rate(spark):
     bound = int(4e-8 * 2**62)
     few = spark.createDataFrame([(0,), ((bound - 1) << 22,), (bound << 22,), (1,)], "h long")
     assert [r[0] for r in few.select(drawn(F.col("h"), 4e-8)).collect()] == [True, True, False, False]
+
+
+def test_the_network_learns_from_documents_outside_its_sample(spark, monkeypatch):
+    monkeypatch.setattr(attention, "STEPS", 5)
+    monkeypatch.setattr(lm_scoring, "SAMPLE_DOCS", 0)  # nothing is drawn
+    monkeypatch.setattr(lm_scoring, "SHARD_DOCS", 7, raising=False)  # several shards
+    docs = cases.frame(spark)
+    path = subwords.default_tokenizer()
+    nets = [lm_scoring.fit(d, path)[0] for d in (docs, docs.repartition(5))]
+    start = attention.Network(nets[0].v)
+    # classes follow all training documents, and the weights moved from their start
+    assert any(not np.array_equal(nets[0].p[k], start.p[k]) for k in start.p)
+    assert nets[0].v.log_within.max() < 0 or len(np.unique(nets[0].v.log_within)) > 1
+    # however the rows lie
+    assert all(np.allclose(nets[0].p[k], nets[1].p[k], atol=1e-5) for k in start.p)

@@ -157,3 +157,23 @@ def test_quantiles_of_awkward_columns(spark):
     assert got == {("a", 0.0): -inf, ("a", 0.5): inf, ("b.c", 0.0): 3.0, ("b.c", 0.5): 3.0, ("z", 0.0): None, ("z", 0.5): None}
     assert _quantiles(profile.exact_quantiles(df.limit(0), ["a"], [0.5])) == {("a", 0.5): None}
     assert profile.exact_quantiles(df, [], [0.5]).collect() == []
+
+
+def test_summary_of_many_values(spark, monkeypatch):
+    """A column of more values than a task keeps: bracketed by its sketch, then
+    counted; equal to the exact quantiles.  One pass serves the others."""
+    monkeypatch.setattr(profile, "POINTS", 50)
+    n = 4001
+    df = spark.range(n).selectExpr("cast((id * 7919) % 4001 as double) / 3 a", "id % 4 b", "if(id % 2 = 0, double('nan'), id) c",
+                                   "cast(null as int) d", "concat('é', id) s").repartition(4)
+    spread, asked = profile._at_ranks, []
+    monkeypatch.setattr(profile, "_at_ranks", lambda df, cols, *rest: asked.append(cols) or spread(df, cols, *rest))
+    got = {r.col_name: r for r in profile.summary(df, ["a", "b", "c", "d"], ["s"]).collect()}
+    assert asked == [["a", "c"]]
+    a, b, c = got["a"], got["b"], got["c"]
+    assert (a["count"], a["min"], a.p25, a.p50, a.p75, a["max"]) == (n, 0.0, 1000 / 3, 2000 / 3, 1000.0, 4000 / 3)
+    assert math.isclose(a.stddev, math.sqrt(n * (n + 1) / 12) / 3, rel_tol=1e-12)
+    assert (b.p25, b.p50, b.p75) == (0.0, 1.0, 2.0)
+    assert c["min"] == 1.0 and c["max"] != c["max"] and c.p25 == 2001.0 and c.p75 != c.p75
+    assert got["d"]["count"] == 0 and got["d"].p50 is None and got["d"]["mean"] is None
+    assert (got["s"].min_text, got["s"].max_text, got["s"]["count"]) == ("é0", "é999", n)

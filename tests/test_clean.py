@@ -64,3 +64,21 @@ def test_row_number_unique(spark):
     df = C.with_row_number(spark.range(1000).repartition(7))
     assert df.select(F.countDistinct("rowno")).first()[0] == 1000
     assert df.agg(F.min("rowno")).first()[0] >= 1
+
+
+def test_city_and_number_rules_equal_the_patterns(spark):
+    """Prefixes and units are cut without patterns, with the patterns' results,
+    and a row costs one pattern for the city and none for a number."""
+    cities = ["Fort Ann", "fort", "FORT  X", " fort x", "Saint Fort Y", "fort saint z", "Fortuna", "saint ", "", None, "Fort Ünal é", "st x", "fort fort q"]
+    numbers = ["38.2 in", " 5", "", "--", "7", "1  2", None, "3.é x", "-4 x y"]
+    p = spark.createDataFrame([(c,) for c in cities], "x string")
+    old = F.lower("x")
+    for long, short in (("^fort ", "ft "), ("^saint ", "st ")):
+        old = F.regexp_replace(old, long, short)
+    for r in p.select(C.city_key("x").alias("a"), F.regexp_replace(old, "[^a-zA-Z]", "").alias("b")).collect():
+        assert r.a == r.b
+    n = spark.createDataFrame([(c,) for c in numbers], "x string")
+    for r in n.select(C.number_before_space("x").alias("a"), F.split("x", " ").getItem(0).try_cast("double").alias("b")).collect():
+        assert r.a == r.b
+    plan = p.select(C.city_key("x").alias("a"), C.number_before_space("x").alias("n"))._jdf.queryExecution().toString()
+    assert plan.count("regexp_replace") <= 4 and "split(" not in plan  # one in each of the four plans

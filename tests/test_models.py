@@ -3,6 +3,7 @@ import math
 import random
 
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegressionModel
 
 from autoscope.operators import evaluate, features as FE, models
@@ -66,3 +67,11 @@ def test_boosted_and_fm_fit(spark):
     scaled = FE.fit_scaler(df).transform(df).selectExpr("scaledFeatures as features", "label")
     fm = models.fm(factor_size=2, maxIter=50, stepSize=0.1).fit(scaled)
     assert fm.transform(scaled).count() == 200
+
+
+def test_vector_totals_read_the_held_entries(spark):
+    """A sparse vector is never spread out to its whole size."""
+    rows = [(1, Vectors.sparse(2_000_000_000, [3, 7, 9], [2.0, 0.0, 1.5])), (2, Vectors.dense([0.0, 4.0, -1.0])),
+            (3, Vectors.sparse(5, [], []))]
+    got = FE.vector_totals(spark.createDataFrame(rows, ["key", "features"])).orderBy("key").collect()
+    assert [tuple(r) for r in got] == [(1, 2_000_000_000, 2, 3.5), (2, 3, 2, 3.0), (3, 5, 0, 0.0)]

@@ -16,8 +16,9 @@ Only components are needed, so no group of copies is expanded:
 * per shingle, members are first paired with a few representatives only
   (least and greatest under several hash orders), in two rounds, the second
   between components that are still apart;
-* then pairs are formed only between members whose components still differ,
-  with the match count applied, which makes the result exact.
+* then pairs are formed only between members whose components still differ
+  and whose sets may be similar by their sizes and parities (a bound that no
+  similar pair fails), with the match count applied, which makes the result exact.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from autoscope.session import materialize
+from autoscope.session import materialize, small_batches
 
 from . import shingles
 from . import textbytes as tb
@@ -47,6 +48,9 @@ CANDIDATE_COST = 1.0
 PAIR_ROWS = 1_000_000
 #: hash orders under which a shingle's least and greatest member represent it
 ORDERS = 3
+#: longs of parity bits of a set (see ``shingles.parities``)
+PARITY = 16
+_PARITY = [f"p{i}" for i in range(PARITY)]
 
 
 def _long(a: np.ndarray) -> pa.Array:
@@ -54,13 +58,14 @@ def _long(a: np.ndarray) -> pa.Array:
 
 
 def survey(docs: DataFrame) -> DataFrame:
-    """One pass: per document its id, set size, set key and text hash (rows
-    without ``seg``), and the task's shingle counts by sketch segment."""
+    """One pass: per document its id, set size, set key, text hash and parities
+    (rows without ``seg``), and the task's shingle counts by sketch segment."""
     key = docs.schema["doc_id"].dataType.simpleString()
     size = 1 << SEGMENT_BITS
-    names = ["doc_id", "n", "k", "th", "seg", "counts"]
+    names = ["doc_id", "n", "k", "th", "seg", "counts", "odd"]
 
     def run(batches):
+        tb.keep_only("jaccard_join")
         held, pending = [], 0
         press = zstandard.ZstdCompressor(level=1)
 
@@ -72,17 +77,19 @@ def survey(docs: DataFrame) -> DataFrame:
                      for i in range(n)]
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(n, b.column("doc_id").type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
-                 pa.nulls(n, pa.int64()), pa.array(np.arange(n), pa.int32()), pa.array(blobs, pa.binary())], names)
+                 pa.nulls(n, pa.int64()), pa.array(np.arange(n), pa.int32()), pa.array(blobs, pa.binary()),
+                 pa.nulls(n, pa.list_(pa.int64()))], names)
 
         for b in tb.slices(batches):
             sets, offs = shingles.column_sets(b.column("text"))
             n = np.diff(offs)
             k = shingles.set_keys(sets, offs)
+            odd = pa.array(shingles.parities(sets, offs, PARITY).ravel())
             held.append(sets)
             pending += len(sets)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(n), pa.array(k.view(np.int64), mask=n == 0), b.column("th"), pa.nulls(len(n), pa.int32()),
-                 pa.nulls(len(n), pa.binary())], names)
+                 pa.nulls(len(n), pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * PARITY, pa.int32()), odd)], names)
             if pending > 1 << 20:
                 yield counts()
                 held, pending = [], 0
@@ -90,7 +97,7 @@ def survey(docs: DataFrame) -> DataFrame:
             yield counts()
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(
-        run, f"doc_id {key}, n long, k long, th long, seg int, counts binary")
+        run, f"doc_id {key}, n long, k long, th long, seg int, counts binary, odd array<bigint>")
 
 
 def sketch_levels(parts: DataFrame) -> np.ndarray:
@@ -168,6 +175,7 @@ def entries(docs: DataFrame, levels, wanted=None) -> DataFrame:
     ``wanted``: broadcast sorted tokens to keep, if given."""
 
     def run(batches):
+        tb.keep_only("jaccard_join")
         table = levels.value
         only = wanted.value if wanted is not None else None
         shift = np.uint64(64 - SKETCH_BITS)
@@ -206,6 +214,8 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of set keys whose shingle sets are similar enough."""
     keys = materialize(pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct(), "keys")
     n = keys.count()
+    if not n:
+        return pairs.select("a", "b")
     spark = docs.sparkSession
     few = None
     if n <= BROADCAST_ROWS:
@@ -275,7 +285,7 @@ def _sides(members: DataFrame, side: str) -> DataFrame:
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, k, th) per document and (node, component) over the set keys k
     that have a link to another."""
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     parts = materialize(survey(docs), "survey")
     levels = spark.sparkContext.broadcast(sketch_levels(parts))
     info = parts.where("seg is null").select("doc_id", "n", "k", "th")
@@ -298,7 +308,8 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     second = materialize(_with_representatives(again, ORDERS).join(first, ["a", "b"], "left_anti"), "pairs")
     links = materialize(links.union(verified(docs, second)), "links")
     rest = _apart(again.drop("c"), components(links))
-    pairs = _sides(rest, "a").join(_sides(rest, "b"), "token").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")))
+    odd = parts.where("k is not null").select("k", *[F.get("odd", F.lit(i)).alias(c) for i, c in enumerate(_PARITY)])
+    pairs = _pairs_apart(rest.join(odd.dropDuplicates(["k"]), "k"))
     third = materialize(_enough(pairs).join(first.union(second), ["a", "b"], "left_anti"), "pairs")
     return info, components(materialize(links.union(verified(docs, third)), "links"))
 
@@ -320,6 +331,17 @@ def _with_representatives(members: DataFrame, seed: int) -> DataFrame:
     return _enough(once).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _pairs_apart(members: DataFrame) -> DataFrame:
+    """Pairs (a < b) of members of a shingle, in components that differ, whose
+    sets may be similar.  Sets of similarity 4/5 have 9 |A xor B| <= |A| + |B|,
+    and every bit in which the parities differ stands for a member of A xor B."""
+    a, b = THRESHOLD
+    differ = sum((F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in _PARITY), F.lit(0))
+    near = (a + b) * differ <= (b - a) * (F.col("n_a") + F.col("n_b"))
+    pairs = _sides(members, "a").join(_sides(members, "b"), "token")
+    return pairs.where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _sizes_fit("n_a", "n_b") & near)
+
+
 def _apart(members: DataFrame, comp: DataFrame) -> DataFrame:
     """Members of shingles that are in more than one component, with their
     component c."""

@@ -47,6 +47,21 @@ def column_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), np.cumsum(counts)
 
 
+def parities(sets: np.ndarray, offsets: np.ndarray, longs: int) -> np.ndarray:
+    """(rows, longs): bit i of a row tells whether an odd number of its
+    shingles end in i.  Every bit in which two rows differ stands for a shingle
+    that only one of them has."""
+    rows, bits = len(offsets) - 1, 64 * longs
+    out = np.zeros((rows, longs), np.int64)
+    for lo in range(0, rows, 256):
+        hi = min(rows, lo + 256)
+        row = np.repeat(np.arange(hi - lo), np.diff(offsets[lo:hi + 1]))
+        at = row * bits + (sets[offsets[lo]:offsets[hi]] & np.uint64(bits - 1)).astype(np.int64)
+        count = np.bincount(at, minlength=(hi - lo) * bits).reshape(hi - lo, bits)
+        out[lo:hi] = np.packbits((count & 1).astype(np.uint8), axis=1).view(np.int64)
+    return out
+
+
 def set_keys(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A 64-bit key per row, equal for equal sets; 0 for the empty set."""
     run = np.zeros(len(sets) + 1, np.uint64)

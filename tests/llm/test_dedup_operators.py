@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 import cases
-from autoscope.llm import common, components, jaccard_join, line_dedup, suffix_dedup, suffix_sort
+from autoscope.llm import common, components, jaccard_join, line_dedup, shingles, suffix_dedup, suffix_sort
 
 
 def jaccard_twin(rows):
@@ -35,6 +35,32 @@ def test_jaccard_join_beyond_the_broadcast_bound(spark, monkeypatch):
     assert got == jaccard_twin(cases.texts())
 
 
+def test_parities_differ_in_no_more_bits_than_the_sets_in_members():
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 2**63, 900, dtype=np.uint64)
+    sets = [np.sort(rng.choice(pool, n, replace=False)) for n in (0, 1, 5, 300, 310, 800)] * 60
+    offs = np.r_[0, np.cumsum([len(s) for s in sets])]
+    odd = shingles.parities(np.concatenate(sets), offs, 16).view(np.uint64)
+    assert (odd[:6] == odd[354:]).all() and not odd[0].any()
+    for i in range(6):
+        for j in range(6):
+            assert np.bitwise_count(odd[i] ^ odd[j]).sum() <= len(np.setxor1d(sets[i], sets[j]))
+
+
+def test_unlike_texts_of_one_passage_make_no_pairs(spark):
+    """All pairs of a frequent shingle's members were formed in the last step."""
+    rng = np.random.default_rng(6)
+    base, rows = rng.integers(0, 2**63, 100, dtype=np.uint64), []
+    for i in range(60):  # 30 members that share 40 of 100 shingles, 30 that share 95
+        kept = 40 if i < 30 else 95
+        rows.append(np.unique(np.r_[base[:kept], rng.integers(0, 2**63, 100 - kept, dtype=np.uint64)]))
+    odd = shingles.parities(np.concatenate(rows), np.arange(61) * 100, jaccard_join.PARITY).tolist()
+    members = spark.createDataFrame([(7, i, 100, 1, 0, i, *p) for i, p in enumerate(odd)],
+                                    "token long, k long, n int, match int, pos int, c long, " + ", ".join(f"{p} long" for p in jaccard_join._PARITY))
+    got = {(r.a, r.b) for r in jaccard_join._pairs_apart(members).collect()}
+    assert got == {(i, j) for i in range(30, 60) for j in range(i + 1, 60)}
+
+
 def test_prefix_lengths_follow_the_cost():
     tokens = np.arange(1000, dtype=np.uint64)
     rare = jaccard_join.prefix(tokens, np.zeros(1000, np.uint8))

@@ -70,7 +70,8 @@ def fingerprints(rows: DataFrame, needs: list[int], header: bool = False) -> Dat
         if n < WINDOW:
             h = F.when(need == n, F.get(f"g{n}", place)).otherwise(h)
     if WINDOW in needs:
-        grams, whole = [F.get(f"g{WINDOW}", at + j) for j in range(-1, WINDOW - GRAM + 1)], (at >= 0) & (at < 1 << 32)
+        # by place, not at: both sides of | may be computed, and a class in at is more than an int holds
+        grams, whole = [F.get(f"g{WINDOW}", place + j) for j in range(-1, WINDOW - GRAM + 1)], (at >= 0) & (at < 1 << 32)
         least = F.least(*grams[1:])
         # the least (of equal ones the first) is not that of the run before
         rows = rows.where(~whole | (at == 0) | (grams[0] <= least) | (grams[-1] < F.least(*grams[1:-1])))

@@ -121,3 +121,31 @@ def test_round_trip_query_writes_the_rows_once_and_compressed(spark, tmp_path):
     df = QUERIES["csv_roundtrip"](spark, "/root/testdata/sf0.001")
     files = df.inputFiles()
     assert files and all(f.endswith(".csv.lz4") for f in files)
+
+
+def test_listings_in_parts_are_the_same_rows(spark, monkeypatch, tmp_path):
+    """Parts prepared one after the other make the same table, and leave no CSV and no setting behind."""
+    from collections import Counter
+
+    from autoscope.plans import jobs, listings, queries
+    from autoscope.sources import testdata
+    d, setting = "/root/testdata/sf0.001", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    rows = lambda df: Counter(tuple(r) for r in df.drop("rowno").collect())
+    plain = testdata.derive_raw_listings(spark, d)
+    prepared = listings.prepare(plain, testdata.raw_cities(spark, d))
+    assert len(testdata.raw_listing_parts(spark, d)) == 1
+    monkeypatch.setattr(testdata, "PART_BYTES", 50_000)
+    monkeypatch.setattr(testdata, "_LANDED", {})
+    monkeypatch.setattr(queries, "_scratch", lambda spark, name: str(tmp_path / f"{name}-{len(list(tmp_path.iterdir()))}"))
+    parts = testdata.raw_listing_parts(spark, d)
+    assert len(parts) > 1 and all(p.count() for p in parts)
+    for name in ("csv_roundtrip", "csv_split_scan"):
+        assert rows(queries.QUERIES[name](spark, d)) == rows(plain)
+    assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == ["rows", "rows"]
+    whole = listings.listings(spark, d)
+    assert rows(whole.select(prepared.columns)) == rows(prepared)
+    assert whole.select("rowno").distinct().count() == plain.count()
+    done = jobs.prepare(spark, parts, testdata.raw_cities(spark, d), str(tmp_path / "jobs"))
+    assert rows(spark.read.parquet(done.cleaned).select(prepared.columns)) == rows(prepared)
+    assert spark.conf.get(setting) == before

@@ -149,3 +149,20 @@ def test_listings_in_parts_are_the_same_rows(spark, monkeypatch, tmp_path):
     done = jobs.prepare(spark, parts, testdata.raw_cities(spark, d), str(tmp_path / "jobs"))
     assert rows(spark.read.parquet(done.cleaned).select(prepared.columns)) == rows(prepared)
     assert spark.conf.get(setting) == before
+
+
+def test_materialize_leaves_no_shuffle_files(spark):
+    import time
+
+    from autoscope.session import materialize
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {f for f in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+    before = held()
+    df = spark.range(10_000).selectExpr("id % 1000 AS k").groupBy("k").count()
+    written = [materialize(df) for _ in range(2)]
+    for _ in range(100):
+        if not held() - before:
+            break
+        time.sleep(0.1)
+    assert not held() - before
+    assert [w.count() for w in written] == [1000, 1000] and df.count() == 1000
